@@ -252,8 +252,8 @@ def nearest_releases(requests: DataFrame, releases: DataFrame, k: int = 3) -> Da
     ranked = F.array_sort(
         F.transform(
             "months",
-            lambda m: F.struct(
-                F.abs(F.datediff(m, F.col("requested"))).alias("days"), m.alias("release_date")
+            lambda m: F.named_struct(
+                F.lit("days"), F.abs(F.datediff(m, F.col("requested"))), F.lit("release_date"), m
             ),
         )
     )

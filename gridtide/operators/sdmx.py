@@ -33,7 +33,7 @@ def _resolve(dims: Column, key: Column) -> Column:
     def entry(dim: Column, position: Column) -> Column:
         index = F.get(indexes, position).try_cast("int")
         code = F.when(index >= 0, F.get(dim["values"], index)["id"])
-        return F.struct(dim["id"].alias("id"), code.alias("code"))
+        return F.named_struct(F.lit("id"), dim["id"], F.lit("code"), code)
 
     resolved = F.transform(F.coalesce(dims, F.array().cast(_DIMS)), entry)
     return F.filter(resolved, lambda e: e["code"].isNotNull() & e["id"].isNotNull())
@@ -45,7 +45,9 @@ def _merged(first: Column, second: Column) -> Column:
     last = F.filter(
         F.transform(
             entries,
-            lambda e, i: F.struct(e["id"].alias("id"), e["code"].alias("code"), i.alias("at")),
+            lambda e, i: F.named_struct(
+                F.lit("id"), e["id"], F.lit("code"), e["code"], F.lit("at"), i
+            ),
         ),
         lambda e: ~F.exists(
             F.slice(entries, e["at"] + 2, F.size(entries)), lambda later: later["id"] == e["id"]
