@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from gridtide.functions.periods import month_number
-from gridtide.functions.text import clean_text, collapse, strip
+from gridtide.functions.text import collapse, strip
 from gridtide.functions.urls import without_query
 
 MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
@@ -63,7 +63,3 @@ def is_release_url(url: Column, page_url: Column) -> Column:
     return below & (dated | F.coalesce(named, F.lit(False)))
 
 
-__all__ = [
-    "clean_text", "is_release_url", "release_from_url", "release_key",
-    "release_month", "release_page", "release_text",
-]

@@ -132,11 +132,15 @@ def select_files(index: DataFrame, requests: DataFrame) -> DataFrame:
     plain = wanted.where(open_file & latest).join(by_kind, kind)
     at_release = wanted.where(open_file & ~latest).join(by_release, dated)
 
-    sliced = candidates.withColumn("slice", F.pmod(F.xxhash64("ranked.row.url"), F.lit(SLICES)))
+    # Requests that say the same are answered once, and a large catalogue is compared
+    # with them in slices.
+    spec = [*kind, "wanted_release", "file_key"]
     asked = wanted.where(~open_file).withColumnRenamed("release_key", "wanted_release")
-    spread = asked.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
-    spread = spread.withColumn("slice", F.col("slice").cast("bigint"))
-    matches = sliced.join(spread, [*kind, "slice"]).where(
+    specs = asked.select(*spec).distinct().withColumn(
+        "slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)))
+    )
+    slice_no = F.pmod(F.xxhash64("ranked.row.url"), F.lit(SLICES)).cast("int")
+    matches = candidates.withColumn("slice", slice_no).join(specs, [*kind, "slice"]).where(
         (F.col("wanted_release").isNull() | (F.col("wanted_release") == F.col("release_key")))
         & (
             F.col("title_key").contains(F.col("file_key"))
@@ -144,7 +148,9 @@ def select_files(index: DataFrame, requests: DataFrame) -> DataFrame:
             | (F.col("table_key") == F.col("file_key"))
         )
     )
-    by_file = matches.groupBy("request_id").agg(F.min("ranked").alias("best"))
+    answers = matches.groupBy(*spec).agg(F.min("ranked").alias("best"))
+    same = [asked[name].eqNullSafe(answers[name]) for name in spec]
+    by_file = asked.join(answers, same).select(asked["request_id"], answers["best"])
 
     chosen = (
         plain.select("request_id", "best")
