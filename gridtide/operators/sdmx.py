@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
@@ -107,23 +106,24 @@ def collect_named(documents: DataFrame, names: Sequence[str], depth: int = 8) ->
     does not go on inside them. ``path`` lists the positions leading to the row.
     """
     level = documents.select(
-        "doc_id", F.col("tree").alias("node"), F.array().cast("array<int>").alias("path")
+        "doc_id", F.col("tree").alias("node"), F.array().cast("array<int>").alias("path"),
+        F.lit(False).alias("done"),
     )
     spark = documents.sparkSession
-    found = []
+    done = F.col("done")
     for _ in range(depth):
-        children = level.lateralJoin(
-            spark.tvf.variant_explode_outer(F.col("node").outer())
-        ).where(F.col("pos").isNotNull())
-        children = children.select(
-            "doc_id", "key", F.col("value").alias("node"),
-            F.concat("path", F.array("pos")).alias("path"),
+        # Nodes already found pass through, all others are replaced by their children.
+        children = level.withColumn("open", F.when(~done, F.col("node"))).lateralJoin(
+            spark.tvf.variant_explode_outer(F.col("open").outer())
         )
-        hit = F.coalesce(F.col("key").isin(list(names)), F.lit(False))
-        members = children.where(hit)
-        found.append(members.select("doc_id", "node", "path"))
-        level = children.where(~hit).select("doc_id", "node", "path")
-    heads = reduce(DataFrame.unionByName, found)
+        is_named = F.coalesce(F.col("key").isin(list(names)), F.lit(False))
+        level = children.where(done | F.col("pos").isNotNull()).select(
+            "doc_id",
+            F.when(done, F.col("node")).otherwise(F.col("value")).alias("node"),
+            F.when(done, F.col("path")).otherwise(F.concat("path", F.array("pos"))).alias("path"),
+            (done | is_named).alias("done"),
+        )
+    heads = level.where(done).select("doc_id", "node", "path")
     nested = heads.lateralJoin(spark.tvf.variant_explode_outer(F.col("node").outer()))
     return nested.select(
         "doc_id",

@@ -19,12 +19,12 @@ ROW_BITS, COL_BITS = 14, 10
 
 
 def block(ordinal: Column, bits: int) -> Column:
-    return F.shiftright(ordinal - 1, bits)
+    return F.shiftright(ordinal - 1, bits).cast("bigint")
 
 
 def blocks(last: Column, bits: int) -> Column:
     """One row per block up to the last row or column."""
-    return F.explode(F.sequence(F.lit(0), block(last, bits)))
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), block(last, bits)))
 
 
 def with_periods(cells: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def down_series(
     row, and only columns with a proper identifier count.
     """
     if label_only:
-        sheets = sheets.withColumn("first_date_row", F.lit(None).cast("int"))
+        sheets = sheets.withColumn("first_date_row", F.lit(None).cast("bigint"))
     else:
         sheets = sheets.where(F.col("first_date_row").isNotNull() & (F.col("max_col") > 1))
     labels = _label_cells(cells, sheets)
@@ -115,7 +115,7 @@ def down_series(
         .select(*SHEET, "col_no")
         .distinct()
         .select(
-            "*", _no_text().alias("role"), F.lit(None).cast("int").alias("priority"),
+            "*", _no_text().alias("role"), F.lit(None).cast("bigint").alias("priority"),
             _no_text().alias("label_text"),
         )
     )

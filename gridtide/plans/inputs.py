@@ -179,7 +179,7 @@ def brand_sheet_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         }
     )
     sheets = parts.select(*SHEET).distinct()
-    row = (F.col("p_partkey") + 2).cast("int")
+    row = F.col("p_partkey") + 2
     return [
         *[part_cells(sheets, 1, i, F.lit(n)) for i, n in enumerate(["Part", "Type", "Size"], 1)],
         part_cells(parts, row, 1, F.col("p_partkey"), "n"),
@@ -215,11 +215,11 @@ def supplier_label_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def customer_head_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """One sheet per customer whose first rows tell catalogue, release and table."""
+    """One workbook per customer whose first rows tell catalogue, release and table."""
     customer = table(spark, sf_dir, "customer").withColumns(
         {
-            "source_file": F.lit("customers"),
-            "sheet_no": (F.col("c_custkey") + 1).cast("int"),
+            "source_file": F.concat(F.lit("customers/"), F.col("c_custkey").cast("string")),
+            "sheet_no": F.lit(1),
             "sheet": F.concat(F.lit("Table "), (F.col("c_custkey") + 1).cast("string")),
         }
     )
@@ -244,7 +244,7 @@ def customer_head_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def supplier_footer_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """One sheet per supplier and a row per order, some of which read as footers."""
+    """One workbook per supplier and a row per order, some of which read as footers."""
     rows = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_orderkey").agg(
         F.sum("l_quantity").alias("quantity"), F.max("l_tax").alias("tax")
     )
@@ -252,13 +252,13 @@ def supplier_footer_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     name = F.when(F.col("s_acctbal") < 0, "Notes ").otherwise("Supplier ")
     rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).withColumns(
         {
-            "source_file": F.lit("footers"),
-            "sheet_no": (F.col("l_suppkey") + 1).cast("int"),
+            "source_file": F.concat(F.lit("footers/"), F.col("l_suppkey").cast("string")),
+            "sheet_no": F.lit(1),
             "sheet": F.concat(name, F.col("l_suppkey").cast("string")),
         }
     )
     sheets = rows.select(*SHEET).distinct()
-    row = (F.col("l_orderkey") + 2).cast("int")
+    row = F.col("l_orderkey") + 2
     text = F.when((F.col("tax") >= 0.08) & (F.col("quantity") <= 2), "Source: orders").otherwise(
         F.when(F.col("quantity") == 50, "All cells in")
     )

@@ -163,7 +163,7 @@ SELECT 'Nation ' || s_nationkey AS sheet, 'B' || lpad(CAST(s_suppkey AS VARCHAR)
        'Dollars' AS unit, 'semiannual' AS frequency, s_name AS series
 FROM supplier WHERE s_acctbal >= 0""",
     "sheet_context": """
-SELECT CAST(c_custkey + 1 AS INTEGER) AS sheet_no, (c_nationkey + 5000) || '.0' AS cat_no,
+SELECT 'customers/' || c_custkey AS source_file, (c_nationkey + 5000) || '.0' AS cat_no,
        lower(strftime(DATE '2020-01-01' + to_months(c_nationkey), '%b-%Y')) AS release_date,
        'Table ' || (c_custkey + 1) AS table,
        CASE WHEN c_acctbal >= 0 THEN c_nationkey || 'b' ELSE CAST(c_custkey + 1 AS VARCHAR) END
@@ -190,7 +190,7 @@ WHERE sheet_key = request_key
            THEN list_contains(regexp_extract_all(lower(sheet), '[0-9]+[a-z]?', 0), number)
            ELSE contains(sheet_key, request_key) END""",
     "raw_sheet": """
-SELECT CAST(c_custkey + 2 AS INTEGER) AS row_no, CAST(c_custkey AS VARCHAR) AS c_custkey,
+SELECT c_custkey + 2 AS row_no, CAST(c_custkey AS VARCHAR) AS c_custkey,
        c_name AS "Customer_name", c_mktsegment AS "Customer_name_2",
        CAST(c_nationkey AS VARCHAR) AS "Nation_no"
 FROM customer""",
@@ -304,7 +304,7 @@ FROM matrix""",
     "cube_generic": """
 SELECT 'Cube ' || regexp_extract(p_brand, '([0-9]+)$', 1) AS sheet,
        CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER) AS sheet_no,
-       CAST(p_partkey + 2 AS INTEGER) AS row_no, CAST(p_partkey AS VARCHAR) AS "Part",
+       p_partkey + 2 AS row_no, CAST(p_partkey AS VARCHAR) AS "Part",
        p_type AS "Type", CAST(p_size AS VARCHAR) AS "Size"
 FROM part""",
     "cube_auto_fallback": MATRIX + """
@@ -322,7 +322,7 @@ WITH rows AS (
 cut AS (
   SELECT l_suppkey, min(l_orderkey) AS footer FROM rows
   WHERE (tax >= 0.08 AND quantity <= 2) OR (quantity = 50 AND tax = 0) GROUP BY 1)
-SELECT 'Supplier ' || l_suppkey AS sheet, CAST(l_orderkey + 2 AS INTEGER) AS row_no, quantity
+SELECT 'Supplier ' || l_suppkey AS sheet, l_orderkey + 2 AS row_no, quantity
 FROM rows JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN cut USING (l_suppkey)
 WHERE s_acctbal >= 0 AND (footer IS NULL OR l_orderkey < footer)""",
     "series_lookup": OBS + """
@@ -357,11 +357,11 @@ SELECT filename FROM idx WHERE contains(lower(
   || filename), 'widget 62')""",
     "search_documents": """
 SELECT doc_id FROM documents WHERE contains(lower(
-  lang || ' ' || source || ' ' || text || ' document  ' || doc_id), 'email')""",
+  lang || ' ' || source || ' ' || text || ' document  ' || doc_id), 'licen')""",
     "search_cubes": INDEX + """
 SELECT cat_no, filename FROM idx WHERE is_cube AND contains(lower(
   cat_no || ' ' || title || ' ' || description || ' ' || file_title || ' ' || file_title || ' '
-  || filename || ' ' || url), 'jan-202')""",
+  || filename || ' ' || url), 'mar-202')""",
     "files_by_catalogue": INDEX + """
 SELECT cat_no, filename, file_title FROM idx WHERE cat_no = '6213.0'""",
     "cube_files": INDEX + """

@@ -28,6 +28,7 @@ from gridtide.plans.inputs import BASE_URL, month_of, stored_cells, table
 from gridtide.sources import pages as page_source
 from gridtide.sources.inventory import source_inventory
 from gridtide.sources.wide import cells_from_wide
+from gridtide.staging import stage
 from gridtide.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +87,7 @@ def metadata_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 def context_of_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = stored_cells(inputs.customer_head_cells(spark, sf_dir))
     return sheet_context(cells).select(
-        "sheet_no", "cat_no", "release_date", "table", "table_no", "table_title"
+        "source_file", "cat_no", "release_date", "table", "table_no", "table_title"
     )
 
 
@@ -111,7 +112,7 @@ def raw_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("Customer name?"), F.col("c_nationkey").alias("Nation no."),
     )
     cells = cells_from_wide(
-        customer, "customers", 1, "Customers", (F.col("c_custkey") + 1).cast("int")
+        customer, "customers", 1, "Customers", F.col("c_custkey") + 1
     )
     records = cubes.raw_records(cells)
     names = ["c_custkey", "Customer_name", "Customer_name_2", "Nation_no"]
@@ -379,12 +380,12 @@ def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("description"), F.lit("document").alias("file_title"),
         F.lit("").alias("table_title"), F.col("doc_id").cast("string").alias("filename"),
     )
-    return catalogue.search_index(documents, "Email").select("doc_id")
+    return catalogue.search_index(documents, "Licen").select("doc_id")
 
 
 def search_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = inputs.part_index(spark, sf_dir)
-    return catalogue.search_cubes(index, "jan-202").select("cat_no", "filename")
+    return catalogue.search_cubes(index, "mar-202").select("cat_no", "filename")
 
 
 def files_by_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -670,7 +671,8 @@ def api_key(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(0).alias("code_ord"), F.lit("").alias("code"))
         )
     )
-    return sdmx.api_keys(_nation_structure(spark, sf_dir), requests)
+    structure = stage(_nation_structure(spark, sf_dir), "structure")
+    return sdmx.api_keys(structure, requests)
 
 
 def dimension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -688,6 +690,7 @@ def dimension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     structure = codes(
         "l_returnflag", "Return flag", 1, F.when(F.col("l_returnflag") == "R", "Returned")
     ).unionByName(codes("l_linestatus", "Status", 2, F.lit(None).cast("string")))
+    structure = stage(structure, "structure")
     mapped = observations.withColumn(
         "dims",
         F.create_map(F.lit("l_returnflag"), F.col("l_returnflag"),

@@ -8,6 +8,7 @@ _TYPES = {
     "STRING": T.StringType(),
     "INT": T.IntegerType(),
     "DOUBLE": T.DoubleType(),
+    "BIGINT": T.LongType(),
     "DATE": T.DateType(),
     "BOOLEAN": T.BooleanType(),
 }
@@ -22,7 +23,7 @@ def _struct(fields: str) -> T.StructType:
 SHEET = ["source_file", "sheet_no"]
 
 CELLS = _struct(
-    "source_file STRING, sheet_no INT, sheet STRING, row_no INT, col_no INT, "
+    "source_file STRING, sheet_no INT, sheet STRING, row_no BIGINT, col_no INT, "
     "kind STRING, text STRING, num DOUBLE, date DATE"
 )
 

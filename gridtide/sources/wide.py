@@ -67,7 +67,8 @@ def cells_from_wide(
 
     sheet_key = [F.col(f"_{k}").alias(k) for k in keys]
     kinds = {f.name: kind_of(f.dataType) for f in df.schema}
-    values = F.array(*[positioned(i, F.col(n), kinds[n]) for i, n in enumerate(names, 1)])
+    fields = [(i, F.col(f"`{n}`"), kinds[n]) for i, n in enumerate(names, 1)]
+    values = F.array(*[positioned(*field) for field in fields])
     shift = 1 if header else 0
     out = keyed.select(*sheet_key, (F.col("_row") + shift).alias("row_no"), F.inline(values))
     if header:
@@ -97,7 +98,7 @@ def cells_from_csv(spark: SparkSession, paths: str | list[str], sheet: str = "cs
     before = F.sum("_n").over(W.partitionBy("_file").orderBy("_start")) - F.col("_n")
     offsets = splits.withColumn("_before", before).drop("_n")
     numbered = rows.join(offsets, ["_file", "_start"])
-    row_no = (F.col("_id") - F.col("_first_id") + F.col("_before") + 1).cast("int")
+    row_no = (F.col("_id") - F.col("_first_id") + F.col("_before") + 1)
     return cells_from_wide(
         numbered, F.col("_file"), 1, sheet, row_no, schema.names, header=False
     )

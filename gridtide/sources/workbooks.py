@@ -25,7 +25,7 @@ SHEET_PARTS = (
     "date_styles ARRAY<INT>, from_1904 BOOLEAN, error STRING"
 )
 RAW_CELLS = (
-    "source_file STRING, sheet_no INT, sheet STRING, row_no INT, col_no INT, kind STRING, "
+    "source_file STRING, sheet_no INT, sheet STRING, row_no BIGINT, col_no INT, kind STRING, "
     "text STRING, num DOUBLE, date DATE, error STRING"
 )
 # Built-in number formats that show a date or time.
