@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from gridtide.functions.numbers import cell_number
@@ -44,7 +46,10 @@ def footer_rows(cells: DataFrame) -> DataFrame:
     text = clean_text(F.col("text"))
     plain = cells.select(*SHEET, "row_no", "col_no", F.lower(text).alias("text"))
     candidates = plain.where(_starts(F.col("text"), FOOTER_STARTS))
-    starts = candidates.join(row_starts(cells), [*SHEET, "row_no", "col_no"], "left_semi")
+    first = candidates.where(F.col("col_no") == 1)
+    later = candidates.where(F.col("col_no") > 1)
+    their_rows = plain.join(later.select(*SHEET, "row_no").distinct(), [*SHEET, "row_no"], "left_semi")
+    starts = later.join(row_starts(their_rows), [*SHEET, "row_no", "col_no"], "left_semi")
     words = FOOTER_SENTENCE.split()
     beginnings = [" ".join(words[:n]) for n in range(1, len(words))]
     opens = F.lit(False)
@@ -59,8 +64,8 @@ def footer_rows(cells: DataFrame) -> DataFrame:
         .withColumn("joined", F.concat_ws(" ", *following))
         .where(F.col("joined").contains(FOOTER_SENTENCE))
     )
-    found = [df.select(*SHEET, "row_no") for df in (starts, whole, across)]
-    return found[0].unionByName(found[1]).unionByName(found[2]).distinct()
+    found = [df.select(*SHEET, "row_no") for df in (first, starts, whole, across)]
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def with_footer(cells: DataFrame, header: DataFrame) -> DataFrame:
@@ -334,9 +339,7 @@ def read_cube(
         cells = join_sheets(cells, stage(done, "matrix-sheets"), "left_anti")
     if family != "labelled_matrix":
         parts.append(generic_cube(cells))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     for name, kind in (("date", "date"), ("frequency", "string"), ("value", "double")):
         if name not in out.columns:
             out = out.withColumn(name, F.lit(None).cast(kind))

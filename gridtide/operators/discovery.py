@@ -17,6 +17,7 @@ from gridtide.functions.urls import (
 from gridtide.operators.catalogue import distinct_releases
 from gridtide.schemas import FILE_INDEX, RELEASES
 from gridtide.sources.pages import page_outlines
+from gridtide.staging import stage
 
 SEED = [
     "cat_no", "title", "description", "page_url", "file_title", "url", "filename",
@@ -151,7 +152,8 @@ def discover_files(pages: DataFrame, seeds: DataFrame, base_url: str) -> DataFra
     A catalogue takes the files of its landing page; without any, those of the first
     release page that has some; without that, its seed row.
     """
-    outlines = page_outlines(pages)
+    # Each page is parsed once; its outline is small and read several times.
+    outlines = stage(page_outlines(pages), "outlines")
     page_keys = pages.select(F.col("page_id").cast("bigint"), F.col("url").alias("page"))
     downloads = page_downloads(outlines, base_url)
     described = outlines.select("page_id", "h1", "description", "links").join(page_keys, "page_id")
@@ -177,7 +179,7 @@ def discover_files(pages: DataFrame, seeds: DataFrame, base_url: str) -> DataFra
     )
     # page_key 0 is the landing page, then the release pages in link order.
     visits = own.unionByName(linked).join(facts, "cat_no")
-    rows = file_rows(downloads.join(visits, "page_id"))
+    rows = stage(file_rows(downloads.join(visits, "page_id")), "page-files")
     first = rows.groupBy("cat_no").agg(F.min("page_key").alias("page_key"))
     found = rows.join(first, ["cat_no", "page_key"]).drop("page_key").select(*FILE_INDEX.names)
     missing = seeds.join(found.select("cat_no").distinct(), "cat_no", "left_anti")
@@ -233,7 +235,7 @@ def discover_releases(pages: DataFrame, seeds: DataFrame, base_url: str) -> Data
 
     A catalogue for which no page names a release keeps its seed release.
     """
-    outlines = page_outlines(pages)
+    outlines = stage(page_outlines(pages).drop("contexts"), "outlines")
     page_keys = pages.select(F.col("page_id").cast("bigint"), F.col("url").alias("page"))
     keyed = outlines.select("page_id", "links").join(page_keys, "page_id")
     landing = keyed.join(seeds, F.col("page") == F.col("page_url")).select(
@@ -249,7 +251,7 @@ def discover_releases(pages: DataFrame, seeds: DataFrame, base_url: str) -> Data
         ],
     )
     ordered = links.withColumn("ord", F.struct("level", "ord"))
-    found = release_rows(ordered, seeds, base_url)
+    found = stage(release_rows(ordered, seeds, base_url), "page-releases")
     missing = seeds.join(found.select("cat_no").distinct(), "cat_no", "left_anti")
     return (
         found.unionByName(seed_releases(missing))
@@ -276,5 +278,6 @@ def files_of_release(
             release_key(F.col("release_date")).alias("page_key"),
         )
     )
-    rows = file_rows(page_downloads(page_outlines(pages), base_url).join(visits, "page_id"))
+    outlines = stage(page_outlines(pages), "outlines")
+    rows = file_rows(page_downloads(outlines, base_url).join(visits, "page_id"))
     return rows.where(F.col("release_date") == F.col("page_key")).select(*FILE_INDEX.names)

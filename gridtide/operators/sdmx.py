@@ -15,6 +15,7 @@ from gridtide.schemas import DATASTRUCTURE
 _VALUES = "array<struct<id:string>>"
 _DIMS = f"array<struct<id:string,values:{_VALUES}>>"
 _OBSERVATIONS = "map<string,array<string>>"
+_SERIES_ENTRIES = f"array<struct<key:string,value:struct<observations:{_OBSERVATIONS}>>>"
 DATA_SCHEMA = (
     f"struct<structure:struct<dimensions:struct<series:{_DIMS},observation:{_DIMS}>>,"
     f"dataSets:array<struct<series:map<string,struct<observations:{_OBSERVATIONS}>>,"
@@ -41,6 +42,8 @@ def _resolve(dims: Column, key: Column) -> Column:
 def _merged(first: Column, second: Column) -> Column:
     """Both entry lists as a map; a repeated dimension takes its last code."""
     entries = F.concat(first, second)
+    ids = F.transform(entries, lambda e: e["id"])
+    unique = F.size(F.array_distinct(ids)) == F.size(ids)
     last = F.filter(
         F.transform(
             entries,
@@ -52,7 +55,8 @@ def _merged(first: Column, second: Column) -> Column:
             F.slice(entries, e["at"] + 2, F.size(entries)), lambda later: later["id"] == e["id"]
         ),
     )
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["id"], e["code"])))
+    kept = F.map_from_entries(F.transform(last, lambda e: F.struct(e["id"], e["code"])))
+    return F.when(unique, F.map_from_entries(entries)).otherwise(kept)
 
 
 def observations(documents: DataFrame, json: str = "json") -> DataFrame:
@@ -66,19 +70,22 @@ def observations(documents: DataFrame, json: str = "json") -> DataFrame:
     sets = parsed.select(
         *keys, "doc.structure.dimensions.*", F.explode("doc.dataSets").alias("set")
     )
-    none = F.array().cast("array<struct<id:string,code:string>>")
+    # Flat observations are read as those of one more series, with an empty key.
+    flat = F.array(
+        F.named_struct(
+            F.lit("key"), F.lit(""),
+            F.lit("value"), F.named_struct(F.lit("observations"), F.col("set.observations")),
+        )
+    )
+    listed = F.coalesce(F.map_entries("set.series"), F.array().cast(_SERIES_ENTRIES))
     by_series = sets.select(
-        *keys, "series", "observation", F.explode("set.series").alias("series_key", "one")
+        *keys, "series", "observation", F.explode(F.concat(listed, flat)).alias("one")
     ).select(
         *keys, "observation",
-        _resolve(F.col("series"), F.col("series_key")).alias("series_codes"),
-        F.explode("one.observations").alias("obs_key", "obs"),
-    )
-    flat = sets.select(
-        *keys, "observation", none.alias("series_codes"),
-        F.explode("set.observations").alias("obs_key", "obs"),
+        _resolve(F.col("series"), F.col("one.key")).alias("series_codes"),
+        F.explode("one.value.observations").alias("obs_key", "obs"),
     )
-    rows = by_series.unionByName(flat).select(
+    rows = by_series.select(
         *keys, "obs_key", "series_codes",
         _resolve(F.col("observation"), F.col("obs_key")).alias("obs_codes"),
         text_number(F.get("obs", F.lit(0))).alias("value"),

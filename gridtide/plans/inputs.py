@@ -12,16 +12,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridtide.operators.sheets import with_periods
 from gridtide.sources.wide import as_cells, cell
-from gridtide.staging import stage
+from gridtide.staging import spread, stage
 
 BASE_URL = "https://stats.example.org"
 ORIGIN = 1990 * 12
+SHEET = ["source_file", "sheet_no", "sheet"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for expensive row-wise work: small files are spread over all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def month_of(date: Column) -> Column:
     return F.trunc(date, "month")
 
@@ -35,20 +41,25 @@ def month_label(month: Column) -> Column:
     return F.date_format(month, "MMM-yyyy")
 
 
-def part_cells(
-    df: DataFrame, row_no: Column | int, col_no: Column | int, value: Column, kind: str = "s"
-) -> DataFrame:
-    """One cell per row of ``df``, which has the sheet columns."""
+Cell = tuple[Column | int, Column | int, Column, str]
+
+
+def part_cells(df: DataFrame, *cells: Cell) -> DataFrame:
+    """The given (row, column, value, kind) cells for each row of ``df``."""
 
     def lit(x):
         return F.lit(x) if isinstance(x, int) else x
 
-    return as_cells(
-        df.select(
-            "source_file", "sheet_no", "sheet", lit(row_no).alias("row_no"),
-            lit(col_no).alias("col_no"), cell(value, kind).alias("c"),
-        ).select("source_file", "sheet_no", "sheet", "row_no", "col_no", "c.*")
-    )
+    bodies = []
+    for row_no, col_no, value, kind in cells:
+        body = cell(value, kind)
+        bodies.append(
+            F.struct(
+                lit(row_no).cast("bigint").alias("row_no"), lit(col_no).cast("int").alias("col_no"),
+                *[body[x].alias(x) for x in ("kind", "text", "num", "date")],
+            )
+        )
+    return as_cells(df.select(*SHEET, F.inline(F.array(*bodies))))
 
 
 def stored_cells(parts: list[DataFrame]) -> DataFrame:
@@ -56,9 +67,6 @@ def stored_cells(parts: list[DataFrame]) -> DataFrame:
     return stage(with_periods(reduce(DataFrame.unionByName, parts)), "cells")
 
 
-SHEET = ["source_file", "sheet_no", "sheet"]
-
-
 def flag_sheet(df: DataFrame, flag: str, source: str, prefix: str) -> DataFrame:
     """Sheet columns from a one-letter code: sheet numbers follow the alphabet."""
     number = F.ascii(flag) - F.ascii(F.lit("A")) + 1
@@ -74,11 +82,11 @@ def flag_sheet(df: DataFrame, flag: str, source: str, prefix: str) -> DataFrame:
 def supplier_month_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Time-down sheets: one per return flag, a row per ship month, a column per supplier."""
     line = table(spark, sf_dir, "lineitem")
-    facts = flag_sheet(
-        line.groupBy("l_returnflag", "l_suppkey", month_of(F.col("l_shipdate")).alias("month"))
-        .agg(F.sum("l_quantity").alias("quantity")),
-        "l_returnflag", "lineitem", "Table",
+    month = month_of(F.col("l_shipdate")).alias("month")
+    totals = line.groupBy("l_returnflag", "l_suppkey", month).agg(
+        F.sum("l_quantity").alias("quantity")
     )
+    facts = flag_sheet(stage(totals, "facts"), "l_returnflag", "lineitem", "Table")
     row, col = month_no(F.col("month")) + 4, (F.col("l_suppkey") + 2).cast("int")
     dates = facts.select(*SHEET, "month").distinct()
     columns = facts.select(*SHEET, "l_suppkey").distinct()
@@ -90,42 +98,41 @@ def supplier_month_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         ("Frequency", F.lit("Monthly")),
         ("Data Item", F.concat(F.lit("Quantity ; Supplier "), F.col("l_suppkey").cast("string"))),
     ]
-    parts = [
-        part_cells(facts, row, col, F.col("quantity"), "n"),
-        part_cells(dates, row, 1, month_label(F.col("month"))),
+    return [
+        part_cells(facts, (row, col, F.col("quantity"), "n")),
+        part_cells(dates, (row, 1, month_label(F.col("month")), "s")),
+        part_cells(sheets, *[(i, 1, F.lit(label), "s") for i, (label, _) in enumerate(labels, 1)]),
+        part_cells(columns, *[(i, col, text, "s") for i, (_, text) in enumerate(labels, 1)]),
     ]
-    for row_no, (label, text) in enumerate(labels, 1):
-        parts.append(part_cells(sheets, row_no, 1, F.lit(label)))
-        parts.append(part_cells(columns, row_no, col, text))
-    return parts
 
 
 def priority_month_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Time-across sheets: one per order status, a row per priority, a column per month."""
     orders = table(spark, sf_dir, "orders")
     month = month_of(F.col("o_orderdate")).alias("month")
-    facts = flag_sheet(
-        orders.groupBy("o_orderstatus", "o_orderpriority", month)
-        .agg(F.count(F.lit(1)).alias("n")),
-        "o_orderstatus", "orders", "Orders",
+    counts = orders.groupBy("o_orderstatus", "o_orderpriority", month).agg(
+        F.count(F.lit(1)).alias("n")
     )
+    facts = flag_sheet(stage(counts, "facts"), "o_orderstatus", "orders", "Orders")
     digit = F.substring("o_orderpriority", 1, 1)
     row = digit.cast("int") + 4
     rows = facts.select(*SHEET, "o_orderpriority").distinct()
     months = facts.select(*SHEET, "month").distinct()
     sheets = rows.select(*SHEET).distinct()
     title = F.concat(F.lit("Table "), F.col("sheet_no").cast("string"), F.lit(". Orders"))
+    col = month_no(F.col("month")) + 3
     return [
-        part_cells(sheets, 1, 1, title),
-        part_cells(sheets, 2, 1, F.lit("Released: March 2024")),
-        part_cells(sheets, 4, 1, F.lit("Series ID")),
-        part_cells(sheets, 4, 2, F.lit("Description")),
-        part_cells(sheets, 4, 3, F.lit("Unit")),
-        part_cells(months, 4, month_no(F.col("month")) + 3, month_label(F.col("month"))),
-        part_cells(rows, row, 1, F.concat(F.lit("PRIO000"), digit)),
-        part_cells(rows, row, 2, F.col("o_orderpriority")),
-        part_cells(rows, row, 3, F.lit("Orders")),
-        part_cells(facts, row, month_no(F.col("month")) + 3, F.col("n"), "n"),
+        part_cells(
+            sheets, (1, 1, title, "s"), (2, 1, F.lit("Released: March 2024"), "s"),
+            (4, 1, F.lit("Series ID"), "s"), (4, 2, F.lit("Description"), "s"),
+            (4, 3, F.lit("Unit"), "s"),
+        ),
+        part_cells(months, (4, col, month_label(F.col("month")), "s")),
+        part_cells(
+            rows, (row, 1, F.concat(F.lit("PRIO000"), digit), "s"),
+            (row, 2, F.col("o_orderpriority"), "s"), (row, 3, F.lit("Orders"), "s"),
+        ),
+        part_cells(facts, (row, col, F.col("n"), "n")),
     ]
 
 
@@ -136,12 +143,12 @@ def nation_matrix_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     by_supplier = line.groupBy(
         "l_returnflag", "l_linestatus", "l_suppkey", month_of(F.col("l_shipdate")).alias("month")
     ).agg(F.sum("l_quantity").alias("quantity"))
-    facts = flag_sheet(
+    by_nation = (
         by_supplier.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("l_returnflag", "l_linestatus", "s_nationkey", "month")
-        .agg(F.sum("quantity").alias("quantity")),
-        "l_returnflag", "matrix", "Flows",
+        .agg(F.sum("quantity").alias("quantity"))
     )
+    facts = flag_sheet(stage(by_nation, "facts"), "l_returnflag", "matrix", "Flows")
     status_no = F.when(F.col("l_linestatus") == "F", 0).otherwise(1)
     row = F.col("s_nationkey") * 2 + status_no + 3
     rows = facts.select(*SHEET, "l_linestatus", "s_nationkey").distinct()
@@ -151,19 +158,17 @@ def nation_matrix_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     notes = sheets.select(
         "source_file", (F.col("sheet_no") + 100).alias("sheet_no"), F.lit("Notes").alias("sheet")
     )
+    nation = F.concat(F.lit("N"), F.col("s_nationkey").cast("string"))
     return [
-        part_cells(sheets, 1, 1, F.lit("Detailed data cube")),
-        part_cells(sheets, 2, 1, F.lit("Status")),
-        part_cells(sheets, 2, 2, F.lit("Nation key")),
-        part_cells(months, 2, col, month_label(F.col("month"))),
-        part_cells(rows, row, 1, F.col("l_linestatus")),
-        part_cells(rows, row, 2, F.concat(F.lit("N"), F.col("s_nationkey").cast("string"))),
-        part_cells(facts, row, col, F.col("quantity"), "n"),
-        part_cells(sheets, 1000, 1, F.lit("Source: line items")),
-        part_cells(sheets, 1000, 4, F.lit(999), "n"),
-        part_cells(sheets, 1001, 1, F.lit("After the footer")),
-        part_cells(notes, 1, 1, F.lit("Explanations")),
-        part_cells(notes, 2, 2, F.lit("Jan-2024")),
+        part_cells(
+            sheets, (1, 1, F.lit("Detailed data cube"), "s"), (2, 1, F.lit("Status"), "s"),
+            (2, 2, F.lit("Nation key"), "s"), (1000, 1, F.lit("Source: line items"), "s"),
+            (1000, 4, F.lit(999), "n"), (1001, 1, F.lit("After the footer"), "s"),
+        ),
+        part_cells(months, (2, col, month_label(F.col("month")), "s")),
+        part_cells(rows, (row, 1, F.col("l_linestatus"), "s"), (row, 2, nation, "s")),
+        part_cells(facts, (row, col, F.col("quantity"), "n")),
+        part_cells(notes, (1, 1, F.lit("Explanations"), "s"), (2, 2, F.lit("Jan-2024"), "s")),
     ]
 
 
@@ -181,10 +186,13 @@ def brand_sheet_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     sheets = parts.select(*SHEET).distinct()
     row = F.col("p_partkey") + 2
     return [
-        *[part_cells(sheets, 1, i, F.lit(n)) for i, n in enumerate(["Part", "Type", "Size"], 1)],
-        part_cells(parts, row, 1, F.col("p_partkey"), "n"),
-        part_cells(parts, row, 2, F.col("p_type")),
-        part_cells(parts, row, 3, F.col("p_size"), "n"),
+        part_cells(
+            sheets, *[(1, i, F.lit(n), "s") for i, n in enumerate(["Part", "Type", "Size"], 1)]
+        ),
+        part_cells(
+            parts, (row, 1, F.col("p_partkey"), "n"), (row, 2, F.col("p_type"), "s"),
+            (row, 3, F.col("p_size"), "n"),
+        ),
     ]
 
 
@@ -207,11 +215,10 @@ def supplier_label_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         ("Units", F.lit("Dollars")),
         ("Frequency", F.lit("Biannual")),
     ]
-    out = []
-    for row_no, (label, text) in enumerate(labels, 1):
-        out.append(part_cells(sheets, row_no, 1, F.lit(label)))
-        out.append(part_cells(supplier, row_no, col, text))
-    return out
+    return [
+        part_cells(sheets, *[(i, 1, F.lit(label), "s") for i, (label, _) in enumerate(labels, 1)]),
+        part_cells(supplier, *[(i, col, text, "s") for i, (_, text) in enumerate(labels, 1)]),
+    ]
 
 
 def customer_head_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -231,15 +238,17 @@ def customer_head_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     title = F.concat(F.lit("Table "), F.col("c_nationkey").cast("string"), F.lit("b. "),
                      F.col("c_mktsegment"))
     return [
-        part_cells(customer, 1, 1, F.lit("Statistics of customers")),
-        part_cells(labelled, 2, 1, F.lit("Catalogue Number")),
-        part_cells(labelled, 2, 3, cat_no),
-        part_cells(labelled, 3, 1, F.lit("Release Date")),
-        part_cells(labelled, 3, 2, release),
-        part_cells(free, 2, 2, F.concat(F.lit("Catalogue No: "), cat_no)),
-        part_cells(free, 3, 1, F.concat(F.lit("Released: "), release)),
-        part_cells(labelled, 4, 1, title),
-        part_cells(customer, 5, 2, F.col("c_name")),
+        part_cells(
+            customer, (1, 1, F.lit("Statistics of customers"), "s"), (5, 2, F.col("c_name"), "s")
+        ),
+        part_cells(
+            labelled, (2, 1, F.lit("Catalogue Number"), "s"), (2, 3, cat_no, "s"),
+            (3, 1, F.lit("Release Date"), "s"), (3, 2, release, "s"), (4, 1, title, "s"),
+        ),
+        part_cells(
+            free, (2, 2, F.concat(F.lit("Catalogue No: "), cat_no), "s"),
+            (3, 1, F.concat(F.lit("Released: "), release), "s"),
+        ),
     ]
 
 
@@ -262,18 +271,13 @@ def supplier_footer_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     text = F.when((F.col("tax") >= 0.08) & (F.col("quantity") <= 2), "Source: orders").otherwise(
         F.when(F.col("quantity") == 50, "All cells in")
     )
+    order = F.when((F.col("quantity") == 50) & (F.col("tax") == 0), "this table").otherwise(
+        F.col("l_orderkey").cast("string")
+    )
+    titles = ["Remark", "Order", "Quantity"]
     return [
-        part_cells(sheets, 1, 1, F.lit("Remark")),
-        part_cells(sheets, 1, 2, F.lit("Order")),
-        part_cells(sheets, 1, 3, F.lit("Quantity")),
-        part_cells(rows, row, 1, text),
-        part_cells(
-            rows, row, 2,
-            F.when((F.col("quantity") == 50) & (F.col("tax") == 0), "this table").otherwise(
-                F.col("l_orderkey").cast("string")
-            ),
-        ),
-        part_cells(rows, row, 3, F.col("quantity"), "n"),
+        part_cells(sheets, *[(1, i, F.lit(n), "s") for i, n in enumerate(titles, 1)]),
+        part_cells(rows, (row, 1, text, "s"), (row, 2, order, "s"), (row, 3, F.col("quantity"), "n")),
     ]
 
 

@@ -24,7 +24,7 @@ from gridtide.operators.context import looks_like_table_title, sheet_context
 from gridtide.operators.sheets import infer_frequency
 from gridtide.operators.tables import match_tables
 from gridtide.plans import inputs
-from gridtide.plans.inputs import BASE_URL, month_of, stored_cells, table
+from gridtide.plans.inputs import BASE_URL, month_of, stored_cells, table, wide_table
 from gridtide.sources import pages as page_source
 from gridtide.sources.inventory import source_inventory
 from gridtide.sources.wide import cells_from_wide
@@ -123,7 +123,7 @@ def raw_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def period_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = wide_table(spark, sf_dir, "orders")
     day = F.col("o_orderdate")
     year, quarter = F.date_format(day, "yyyy"), F.concat(F.lit("Q"), F.quarter(day))
     styles = [
@@ -146,7 +146,7 @@ def period_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def number_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = table(spark, sf_dir, "lineitem")
+    line = wide_table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     plain = price.cast("string")
     styles = [
@@ -375,7 +375,7 @@ def search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select(
+    documents = wide_table(spark, sf_dir, "documents").select(
         "doc_id", F.col("lang").alias("cat_no"), F.col("source").alias("title"),
         F.col("text").alias("description"), F.lit("document").alias("file_title"),
         F.lit("").alias("table_title"), F.col("doc_id").cast("string").alias("filename"),
@@ -453,14 +453,14 @@ def release_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = page_source.page_links(table(spark, sf_dir, "pages").select("page_id", "html"))
+    links = page_source.page_links(wide_table(spark, sf_dir, "pages").select("page_id", "html"))
     return links.select(
         "page_id", "ord", "label", absolute_url(F.col("href"), BASE_URL).alias("url")
     )
 
 
 def page_best_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = page_source.page_links(table(spark, sf_dir, "pages").select("page_id", "html"))
+    links = page_source.page_links(wide_table(spark, sf_dir, "pages").select("page_id", "html"))
     scored = links.withColumn("score", title_score(F.col("label")))
     return scored.groupBy("page_id").agg(
         F.max_by(F.struct("href", "label", "score"), F.struct("score", "ord")).alias("best")
@@ -468,13 +468,13 @@ def page_best_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = wide_table(spark, sf_dir, "pages").select("page_id", "html")
     return page_source.page_attributes(pages)
 
 
 def page_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links found by the page parser, whole documents, compared with the expression form."""
-    outlines = page_source.page_outlines(table(spark, sf_dir, "pages"))
+    outlines = page_source.page_outlines(wide_table(spark, sf_dir, "pages"))
     return outlines.select("page_id", F.inline("links")).select(
         "page_id", "href", collapse(F.col("label")).alias("label"),
         is_generic_label(F.col("label")).alias("is_generic"),
@@ -495,7 +495,7 @@ PART_PAGE = (
 
 def _part_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """One catalogue page per part and the seed it belongs to."""
-    part = table(spark, sf_dir, "part")
+    part = wide_table(spark, sf_dir, "part")
     path = F.concat(F.lit("/parts/"), F.col("p_partkey").cast("string"))
     html: Column = F.lit(PART_PAGE)
     for field, value in {
@@ -539,7 +539,7 @@ def link_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def discover_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing and archive page per customer; a debit balance has no dated link at all."""
-    customer = table(spark, sf_dir, "customer")
+    customer = wide_table(spark, sf_dir, "customer")
     path = F.concat(F.lit("/customers/"), F.col("c_custkey").cast("string"))
     month = F.add_months(F.lit("2015-01-01").cast("date"), F.col("c_nationkey"))
     earlier = F.add_months(month, -3)
@@ -578,7 +578,7 @@ def discover_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sdmx_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = wide_table(spark, sf_dir, "orders")
     price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
     json = F.format_string(
         '{"structure":{"dimensions":{"series":[{"id":"PRIORITY","values":[{"id":"none"},{"id":"%s"}]},'
@@ -595,7 +595,7 @@ def sdmx_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sdmx_json_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = wide_table(spark, sf_dir, "events")
     trees = events.select(
         F.col("event_id").alias("doc_id"),
         F.try_parse_json(F.concat(F.lit('{"a":[{"b":'), F.col("props"), F.lit("}]}"))).alias("tree"),
@@ -607,7 +607,7 @@ def sdmx_json_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataflows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
+    customer = wide_table(spark, sf_dir, "customer")
     json = F.format_string(
         '{"data":{"dataflows":[{"id":"%s_%s","name":{"en":"%s"},"description":"Flow"},{"name":"x"}]}}',
         F.col("c_mktsegment"), F.col("c_nationkey"), F.lower("c_mktsegment"),

@@ -36,3 +36,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_root(spark)}/gridtide/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over at least as many partitions as there are cores.
+
+    For expensive row-wise work on a plain scan (pages, JSON documents). A table with
+    enough splits, as any large one has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
