@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+TABLE_NO = r"(?i)\btables?\s*([0-9]+[a-z]?)\b"
 # Characters stripped from both ends of a cell.
 BLANKS = " \t\n\r\x0b\x0c\x85\xa0"
 
@@ -72,5 +73,5 @@ def normalise_frequency(text: Column) -> Column:
 
 def table_no(text: Column) -> Column:
     """``2b`` out of ``Tables 2b to 9b``; null when no table number is present."""
-    found = F.regexp_extract(text, r"(?i)\btables?\s*([0-9]+[a-z]?)\b", 1)
+    found = F.regexp_extract(text, TABLE_NO, 1)
     return F.when(found != "", found)

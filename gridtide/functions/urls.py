@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from gridtide.functions.text import collapse, strip, table_no
+from gridtide.functions.text import TABLE_NO, collapse, strip
 
 DOWNLOAD_HREF = r"(?i)\.(xlsx|xls|csv)(\?|$)"
 # Link labels that say nothing about the file behind them.
@@ -86,27 +86,36 @@ def table_no_from_filename(cat_no: Column, url: Column) -> Column:
     return F.when(name.startswith(digits) & (found != ""), F.concat(number, suffix))
 
 
-def is_generic_label(label: Column) -> Column:
-    text = F.lower(collapse(label))
+def _is_generic(clean: Column) -> Column:
+    """:func:`is_generic_label` of a text that is collapsed already."""
+    text = F.lower(clean)
     bare = F.trim(F.regexp_replace(F.regexp_replace(text, r"\[[^\]]+\]", ""), r"\s+", " "))
-    return (text == "") | bare.isin(GENERIC_LABELS)
+    # Only a text with one of these words can be generic; most are decided here.
+    return (text == "") | (text.rlike("download|xls|csv") & bare.isin(GENERIC_LABELS))
 
 
-def context_title(context: Column, label: Column) -> Column:
-    """Text around a link without the link label and the download wording."""
-    text = collapse(context)
-    text = F.when(label != "", F.replace(text, label, F.lit(" "))).otherwise(text)
+def is_generic_label(label: Column) -> Column:
+    return _is_generic(collapse(label))
+
+
+def _context_title(clean: Column, label: Column) -> Column:
+    text = F.when(label != "", F.replace(clean, label, F.lit(" "))).otherwise(clean)
     for noise in (TITLE_NOISE, TYPE_NOISE):
         text = F.regexp_replace(text, noise, " ")
     return F.btrim(F.regexp_replace(text, r"\s+", " "), F.lit(" -|:"))
 
 
+def context_title(context: Column, label: Column) -> Column:
+    """Text around a link without the link label and the download wording."""
+    return _context_title(collapse(context), label)
+
+
 def context_score(text: Column) -> Column:
     plain = collapse(text)
     score = (
         F.greatest(F.lit(0), F.lit(300) - F.length(plain))
-        + F.when(table_no(plain).isNotNull(), 500).otherwise(0)
-        - F.when(is_generic_label(plain), 500).otherwise(0)
+        + F.when(plain.rlike(TABLE_NO), 500).otherwise(0)
+        - F.when(_is_generic(plain), 500).otherwise(0)
     )
     return F.when(plain == "", 0).otherwise(score)
 
@@ -115,26 +124,29 @@ def title_score(text: Column) -> Column:
     plain = collapse(text)
     score = (
         F.least(F.length(plain), F.lit(200))
-        + F.when(table_no(plain).isNotNull(), 500).otherwise(0)
-        - F.when(is_generic_label(plain), 1000).otherwise(0)
+        + F.when(plain.rlike(TABLE_NO), 500).otherwise(0)
+        - F.when(_is_generic(plain), 1000).otherwise(0)
     )
     return F.when(plain == "", 0).otherwise(score)
 
 
 def file_title(label: Column, context: Column, url: Column) -> Column:
-    """Best title of a file: its link label, else the text around it, else its name."""
-    plain = collapse(label)
-    around = context_title(context, plain)
+    """Best title of a file: its link label, else the text around it, else its name.
+
+    ``label`` and ``context`` are collapsed texts.
+    """
+    around = _context_title(context, label)
     from_name = title_from_filename(url)
     return (
-        F.when(~is_generic_label(plain), plain)
-        .when(~is_generic_label(around), around)
+        F.when(~_is_generic(label), label)
+        .when(~_is_generic(around), around)
         .when(from_name != "", from_name)
         .otherwise(url_filename(url))
     )
 
 
 def table_title(title: Column, context: Column) -> Column:
-    around = context_title(context, F.lit(""))
-    usable = ~is_generic_label(around) & table_no(around).isNotNull()
+    """Text around the link when it names a table, else the file title."""
+    around = _context_title(context, F.lit(""))
+    usable = around.rlike(TABLE_NO) & ~_is_generic(around)
     return F.when(usable, around).otherwise(title)

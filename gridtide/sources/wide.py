@@ -83,8 +83,11 @@ def cells_from_csv(spark: SparkSession, paths: str | list[str], sheet: str = "cs
 
     Row numbers come from the order inside each file: rows are counted per input split
     and each split is offset by the splits before it, so no file passes through one task.
+    Empty lines do not count as rows.
     """
-    width = len(spark.read.csv(paths).columns)
+    # No line has more fields than commas plus one; columns too many stay empty.
+    commas = F.max(F.size(F.split("value", ",")))
+    width = spark.read.text(paths).agg(commas.alias("n")).first()["n"] or 1
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
     rows = spark.read.schema(schema).csv(paths).select(
         "*",

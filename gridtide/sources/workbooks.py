@@ -216,34 +216,36 @@ def workbook_files(
         raise ValueError("no workbook paths were supplied")
     if not all(isinstance(path, str) for path in wanted):
         raise ValueError("workbook paths must be strings")
-    patterns: list[str] = []
     hadoop = spark._jvm.org.apache.hadoop.fs
     conf = spark._jsparkSession.sessionState().newHadoopConf()
+    location = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+    inside = F.lit(False)
     for path in wanted:
         target = hadoop.Path(path)
         fs = target.getFileSystem(conf)
         if not fs.exists(target):
             raise ValueError(f"path does not exist: {path}")
+        root = re.sub("^file:/+", "file:/", fs.makeQualified(target).toUri().toString()).rstrip("/")
         if fs.getFileStatus(target).isFile():
             if not re.search(WORKBOOK_NAME, path):
                 raise ValueError(f"unsupported file {path}; expected .xls or .xlsx")
-            patterns.append(path)
+            inside = inside | (location == root)
         elif recursive:
-            patterns.append(path)
+            inside = inside | location.startswith(root + "/")
         else:
-            folder = path.rstrip("/")
-            for pattern in (f"{folder}/{ANY_WORKBOOK}", f"{folder}/workbooks/{ANY_WORKBOOK}"):
-                if fs.globStatus(hadoop.Path(pattern)):
-                    patterns.append(pattern)
-    found = None
-    if patterns:
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        found = reader.load(patterns).where(F.col("path").rlike(WORKBOOK_NAME))
-    if found is None or found.select("path").isEmpty():
+            name = F.substring_index(location, "/", -1)
+            for folder in (root, root + "/workbooks"):
+                inside = inside | (location == F.concat(F.lit(folder + "/"), name))
+    # Spark lists the folders itself, in parallel where they are many; the name pattern
+    # prunes that listing, so files other than workbooks are never opened.
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    found = reader.option("pathGlobFilter", ANY_WORKBOOK).load(wanted)
+    found = found.where(inside).where(F.col("path").rlike(WORKBOOK_NAME))
+    if found.select("path").isEmpty():
         hint = "" if recursive else "; use recursive=True to search subfolders"
         raise ValueError(f"no .xls or .xlsx workbooks found{hint}")
     # A file may be named twice, directly and through its folder.
-    return found if len(patterns) == 1 else found.dropDuplicates(["path"])
+    return found if len(wanted) == 1 else found.dropDuplicates(["path"])
 
 
 def cells_of_files(

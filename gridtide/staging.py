@@ -20,7 +20,9 @@ _local_root: str | None = None
 def staging_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``; a scratch folder where it is unset."""
     global _local_root
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir"
+    )
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

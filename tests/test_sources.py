@@ -105,10 +105,11 @@ def test_tables_as_cells(spark, tmp_path):
         (2, 1, "n", "1"), (2, 2, "s", "x"), (2, 4, "b", "true"),
         (3, 1, "n", "2"), (3, 3, "n", "2.5"), (3, 4, "b", "false")]
     path = tmp_path / "t.csv"
-    path.write_text("Series ID,A1234567\n2024-01,1\n2024-02,\n2024-03,3\n")
+    path.write_text('Title line\nSeries ID,A1234567\nUnit,"a, b"\n2024-01,1\n2024-02,\n2024-03,3\n')
     found = tidy(cells_from_csv(spark, str(path))).orderBy("date").collect()
     assert [(r["date"].month, r["value"], r["frequency"]) for r in found] == [
         (1, 1.0, "monthly"), (2, None, "monthly"), (3, 3.0, "monthly")]
+    assert {(r["unit"], r["series_id"]) for r in found} == {("a, b", "A1234567")}
 
 
 def test_csv_rows_keep_their_order_over_splits(spark, tmp_path):
