@@ -299,8 +299,8 @@ def matrix_cube(cells: DataFrame) -> DataFrame:
 
 def generic_records(cells: DataFrame) -> DataFrame:
     """Sheet-shaped cubes in long form: one record per filled cell, footers cut."""
-    header = header_rows(cells, skip_empty_rows=True)
-    return _records(cells, stage(with_footer(cells, header), "generic-header"))
+    header = stage(header_rows(cells, skip_empty_rows=True), "generic-header")
+    return _records(cells, stage(with_footer(cells, header), "generic-extent"))
 
 
 def generic_cube(cells: DataFrame) -> DataFrame:

@@ -254,9 +254,10 @@ def customer_head_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def supplier_footer_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """One workbook per supplier and a row per order, some of which read as footers."""
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_orderkey").agg(
+    totals = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_orderkey").agg(
         F.sum("l_quantity").alias("quantity"), F.max("l_tax").alias("tax")
     )
+    rows = stage(totals, "facts")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     name = F.when(F.col("s_acctbal") < 0, "Notes ").otherwise("Supplier ")
     rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).withColumns(
