@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.functions.text import collapse
 
+# Functions of this module travel to the executors whole: the package need not be there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTLINE = (
     "page_id BIGINT, h1 STRING, description STRING, "
     "links ARRAY<STRUCT<ord: INT, href: STRING, label: STRING>>, "

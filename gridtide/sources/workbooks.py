@@ -6,11 +6,13 @@ import datetime
 import io
 import posixpath
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridtide.functions.text import clean_text
@@ -18,6 +20,9 @@ from gridtide.operators.sheets import with_periods
 from gridtide.operators.tables import cells_of_tables
 from gridtide.schemas import CELLS
 
+# Functions of this module travel to the executors whole: the package need not be there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WORKBOOK_NAME = r"(?i)\.xlsx?$"
 ANY_WORKBOOK = "*.[xX][lL][sS]*"
 SHEET_PARTS = (
