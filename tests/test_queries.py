@@ -7,7 +7,9 @@ import os
 import pytest
 
 import check
-from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from __spark_entry__ import SMOKE_DIR, entry
+from gridtide.plans.oracle import ORACLE
+from gridtide.plans.queries import QUERIES
 
 # Many-stage layout queries: their operators have tests of their own, and check.py runs all.
 HEAVY = {
@@ -18,7 +20,7 @@ available = pytest.mark.skipif(not os.path.isdir(SMOKE_DIR), reason="no test tab
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 @available
@@ -27,7 +29,7 @@ def test_entry(spark):
 
 
 @available
-@pytest.mark.parametrize("name", sorted(set(queries()) - HEAVY))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - HEAVY))
 def test_query(spark, name):
     ok, message = check.compare(spark, check.views(SMOKE_DIR), name, SMOKE_DIR)
     assert ok, message
