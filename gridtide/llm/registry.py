@@ -6,5 +6,6 @@ from gridtide.llm import queries_repeats
 
 LLM_QUERIES = {
     "op2_suffix_array_dedup": queries_repeats.op2_suffix_array_dedup,
+    "op3_substring_dedup": queries_repeats.op3_substring_dedup,
 }
 LLM_ORACLE: dict[str, str] = {}
