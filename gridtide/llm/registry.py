@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from gridtide.llm import queries_repeats
+from gridtide.llm import queries_dedup, queries_repeats
 
 LLM_QUERIES = {
     "op2_suffix_array_dedup": queries_repeats.op2_suffix_array_dedup,
     "op3_substring_dedup": queries_repeats.op3_substring_dedup,
+    "op4_minhash_near_dedup": queries_dedup.op4_minhash_near_dedup,
+    "op7_quality_rules": queries_dedup.op7_quality_rules,
 }
 LLM_ORACLE: dict[str, str] = {}
