@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from gridtide.llm import queries_dedup, queries_repeats
+from gridtide.llm import queries_dedup, queries_packing, queries_repeats
 
 LLM_QUERIES = {
     "op2_suffix_array_dedup": queries_repeats.op2_suffix_array_dedup,
     "op3_substring_dedup": queries_repeats.op3_substring_dedup,
     "op4_minhash_near_dedup": queries_dedup.op4_minhash_near_dedup,
+    "op6_benchmark_decontamination": queries_dedup.op6_benchmark_decontamination,
     "op7_quality_rules": queries_dedup.op7_quality_rules,
+    "op9_best_fit_packing": queries_packing.op9_best_fit_packing,
 }
 LLM_ORACLE: dict[str, str] = {}

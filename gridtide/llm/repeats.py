@@ -249,8 +249,10 @@ def _cutter(kind: str, width: int) -> Callable:
                 kept = b"".join(keep)
             else:
                 kept = b" ".join(word for some in keep for word in some)
-            out.append((len(parts), int(np.sum(np.subtract(ends, begins))), len(begins), kept))
-        return pd.DataFrame(out, columns=["n_tokens", "n_removed", "n_spans", "kept"])
+            removed = int(np.sum(np.subtract(ends, begins)))
+            # bytes of a character cut in two are no text
+            out.append((len(parts), removed, len(begins), kept, kept.decode("utf-8", "ignore")))
+        return pd.DataFrame(out, columns=["n_tokens", "n_removed", "n_spans", "kept", "kept_text"])
 
     return cut
 
@@ -260,7 +262,7 @@ def cut_repeats(
     resolve: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """``row`` (struct of the columns of ``docs``) and ``cut``: struct of n_tokens, n_removed, n_spans (maximal
-    removed runs) and kept (bytes left; words joined by a space)."""
+    removed runs), kept (bytes left; words joined by a space) and kept_text (those as a text)."""
     rows = texts(docs, id_column, text_column)
     found = stage(flags(rows, kind, width, gram), f"{kind}-flags")
     context = stage(contexts(rows, found.where("open"), kind, width), f"{kind}-contexts")
@@ -271,7 +273,10 @@ def cut_repeats(
         .agg(F.collect_list(F.struct("place", "mask")).alias("cut_found"))
     )
     text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
-    cut = F.pandas_udf(_cutter(kind, width), "n_tokens long, n_removed long, n_spans long, kept binary")
+    cut = F.pandas_udf(
+        _cutter(kind, width),
+        "n_tokens long, n_removed long, n_spans long, kept binary, kept_text string",
+    )
     # one struct of the input's columns, so that no name can clash
     packed = docs.select(
         F.struct(*(docs[c] for c in docs.columns)).alias("row"),
