@@ -81,8 +81,8 @@ def count_block(data: np.ndarray, begins: np.ndarray) -> Counts:
     breaks = np.flatnonzero(data == 10)
     line_start = np.unique(np.concatenate([begins[:-1][np.diff(begins) > 0], breaks + 1]))
     line_start = line_start[line_start < len(data)]
-    bound = np.append(line_start[1:], len(data))
-    line_end = np.where(data[bound - 1] == 10, bound - 1, bound) if len(bound) else bound
+    bound = np.append(line_start[1:], len(data))[: len(line_start)]
+    line_end = np.where(data[bound - 1] == 10, bound - 1, bound)
     first_word = np.searchsorted(start, line_start)
     last_word = np.searchsorted(start, line_end)
     full = last_word > first_word
