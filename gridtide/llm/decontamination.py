@@ -21,13 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridtide.llm.repeats import checksum, texts
-from gridtide.llm.windows import BYTE_CODES, _gram_hash, mix, range_hash, text_blocks
+from gridtide.llm.windows import BYTE_CODES, _gram_hash, mix, range_hash, text_blocks, words_of
 from gridtide.staging import stage
 
 WINDOW = 8
 MIN_SHARE = 0.5
 BITS = 1 << 22
-CACHE = 200_000
 # fixed values: units that may follow a number
 UNITS = frozenset(
     "% percent km m cm mm mi miles mile feet foot ft inches inch in kg g mg lb lbs pounds pound "
@@ -37,74 +36,78 @@ UNITS = frozenset(
 )
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?")
 MIXED = re.compile(r"[+-]?[$€£]?\d[\d.,]*[^\W\d_]+")
-EDGE = re.compile(r"^[^\w+$€£%-]+|[^\w%]+$")
-IS_NUMBER, IS_UNIT, IS_CAPITAL, ENDS = 1, 2, 4, 8
 HELD = "window long, doc long, mark long, at long, slots array<string>, size int"
 
 
-class Words:
-    """Canonical codes and flags of words, remembered by their bytes."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-        self.codes = np.zeros(1 << 12, dtype=np.uint64)
-        self.flags = np.zeros(1 << 12, dtype=np.int64)
-
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > CACHE:
-            self.__init__()
-        get = self.known.get
-        found = [get(w, -1) for w in words]
-        at = np.array(found, dtype=np.int64)
-        for i in np.flatnonzero(at < 0).tolist():
-            at[i] = self._add(words[i])
-        return self.codes[at], self.flags[at]
-
-    def _add(self, raw: bytes) -> int:
-        at = self.known.get(raw)
-        if at is not None:
-            return at
-        text = raw.decode("utf-8", "replace")
-        bare = EDGE.sub("", text)
-        low = bare.lower()
-        flags = 0
-        if NUMBER.fullmatch(bare) or MIXED.fullmatch(bare):
-            flags |= IS_NUMBER
-        if low in UNITS:
-            flags |= IS_UNIT
-        if bare[:1].isupper() and (bare != bare.upper() or len(bare) == 1):
-            flags |= IS_CAPITAL
-        if text.rstrip("\"')]»”’")[-1:] in (".", "?", "!", ":"):
-            flags |= ENDS
-        data = np.frombuffer(low.encode(), dtype=np.uint8)
-        with np.errstate(over="ignore"):
-            code = range_hash(BYTE_CODES[data], np.array([0]), np.array([len(data)]))[0]
-        at = self.known[raw] = len(self.known)
-        if at == len(self.codes):
-            self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
-            self.flags = np.concatenate([self.flags, np.zeros_like(self.flags)])
-        self.codes[at], self.flags[at] = code, flags
-        return at
-
-
 SLOT_CODES = mix(np.array([11, 12, 13], dtype=np.uint64))
-
-
-def canonical(raw: list[list[bytes]], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of texts given as words: the canonical codes of all, which of them are slots, and where
-    each text begins (with the end as last)."""
-    first = np.cumsum([0, *map(len, raw)])
-    code, flag = words.look_up([w for text in raw for w in text])
-    before = np.append(ENDS, flag)[:-1]
-    before[first[:-1][np.diff(first) > 0]] = ENDS
-    number = (flag & IS_NUMBER) > 0
-    unit = ((flag & IS_UNIT) > 0) & ((before & IS_NUMBER) > 0)
-    name = ((flag & IS_CAPITAL) > 0) & ((before & ENDS) == 0) & ~number & ~unit
-    return np.select([number, unit, name], list(SLOT_CODES), code), number | unit | name, first
-
-
-def _slots(raw: list[bytes], slot: np.ndarray) -> list[str]:
-    return [EDGE.sub("", w.decode("utf-8", "replace")) for w, s in zip(raw, slot) if s]
+WORDY = np.zeros(256, dtype=bool)
+WORDY[[*range(48, 58), *range(65, 91), 95, *range(97, 123), 37, *range(128, 256)]] = True
+SIGNED = WORDY.copy()
+SIGNED[[36, 43, 45]] = True
+CLOSING = np.zeros(256, dtype=bool)
+CLOSING[list(b"\"')]>")] = True
+
+
+def _trimmed(data: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """Words without the punctuation around them (a sign or currency may lead)."""
+    lead, last = np.flatnonzero(SIGNED[data]), np.flatnonzero(WORDY[data])
+    begin = np.append(lead, len(data))[np.searchsorted(lead, start)]
+    stop = np.append(-1, last)[np.searchsorted(last, end)] + 1
+    begin = np.minimum(begin, end)
+    return begin, np.maximum(stop, begin)
+
+
+def _changed(data, at, low, low_at, live) -> np.ndarray:
+    """Whether the letter at each place is another one in the lower-cased text."""
+    pad, low_pad = np.append(data, [0, 0]), np.append(low, [0, 0])
+    first = pad[at] != low_pad[low_at]
+    wide = (pad[at] >= 0xC0) & (pad[at + 1] != low_pad[low_at + 1])
+    return live & (first | wide)
+
+
+def canonical(data: np.ndarray, begins: np.ndarray):
+    """Of the texts of a block: canonical codes of all words, which of them are slots, the first
+    word of each text (with the end as last), and where each word's core lies."""
+    whole = data.tobytes()
+    lowered = [
+        whole[a:b].decode("utf-8", "replace").lower().encode()
+        for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())
+    ]
+    low = np.frombuffer(b"".join(lowered), dtype=np.uint8)
+    start, end, first = words_of(data, begins)
+    low_start, low_end, _ = words_of(low, np.cumsum([0, *map(len, lowered)]))
+    begin, stop = _trimmed(data, start, end)
+    low_begin, low_stop = _trimmed(low, low_start, low_end)
+    with np.errstate(over="ignore"):
+        code = range_hash(BYTE_CODES[low], low_begin, low_stop)
+
+    def inside(flags: np.ndarray) -> np.ndarray:
+        sums = np.append(0, np.cumsum(flags))
+        return sums[stop] - sums[begin]
+
+    number = inside((data >= 48) & (data <= 57)) > 0
+    for i in np.flatnonzero(number).tolist():
+        core = whole[begin[i]: stop[i]].decode("utf-8", "replace")
+        number[i] = bool(NUMBER.fullmatch(core) or MIXED.fullmatch(core))
+    unit = np.zeros(len(code), dtype=bool)
+    for i in (np.flatnonzero(number) + 1).tolist():
+        if i < len(code):
+            core = low[low_begin[i]: low_stop[i]].tobytes()
+            unit[i] = core.decode("utf-8", "replace") in UNITS
+    capital = _changed(data, begin, low, low_begin, stop > begin)
+    small = inside((data >= 97) & (data <= 122)) > 0
+    shout = inside((data >= 65) & (data <= 90)) > 1
+    capital &= small | ~shout
+    open_end = np.flatnonzero(~CLOSING[data])
+    final = np.append(-1, open_end)[np.searchsorted(open_end, end)]
+    ends = (final >= start) & np.isin(np.append(data, 0)[final], list(b".?!:"))
+    opens = np.append(True, ends)[:-1] if len(ends) else ends
+    real = np.diff(first) > 0
+    opens[first[:-1][real]] = True
+    unit[first[:-1][real]] = False
+    name = capital & ~opens & ~number & ~unit
+    code = np.select([number, unit, name], list(SLOT_CODES), code)
+    return code, number | unit | name, first, begin, stop
 
 
 def _windows(sizes: tuple[int, ...], bits, whole_items: bool, window: int):
@@ -113,15 +116,13 @@ def _windows(sizes: tuple[int, ...], bits, whole_items: bool, window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = None if bits is None else bits.value
-        words = Words()
         for batch, data, begins in text_blocks(batches):
             out: list[list] = [[], [], [], [], [], []]
-            ids, marks, whole = batch.column(0).to_pylist(), batch.column(2).to_pylist(), data.tobytes()
-            raw = [whole[a:b].split() for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())]
-            code, slot, first = canonical(raw, words)
+            ids, marks = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            code, slot, first, begin, stop = canonical(data, begins)
             plain = np.append(0, np.cumsum(~slot))
             length = np.diff(first)
-            owner = np.repeat(np.arange(len(raw)), length)
+            owner = np.repeat(np.arange(len(length)), length)
             for size in sizes:
                 if len(code) < size:
                     continue
@@ -136,9 +137,12 @@ def _windows(sizes: tuple[int, ...], bits, whole_items: bool, window: int):
                     good &= (length[owner[:n]] == size) | (size == window)
                 for i in np.flatnonzero(good).tolist():
                     d = int(owner[i])
-                    at = i - int(first[d])
-                    values = (int(hashed[i].astype(np.int64)), ids[d], marks[d], at,
-                              _slots(raw[d][at: at + size], slot[i: i + size]), size)
+                    values_at = [
+                        data[begin[k]: stop[k]].tobytes().decode("utf-8", "replace")
+                        for k in range(i, i + size) if slot[k]
+                    ]
+                    values = (int(hashed[i].astype(np.int64)), ids[d], marks[d],
+                              i - int(first[d]), values_at, size)
                     for column, value in zip(out, values):
                         column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int32())
