@@ -29,7 +29,7 @@ ENDINGS = 512
 CLASSES = 48
 ROUNDS = 6
 FREQUENT = 1 << 17
-CHUNK_BYTES = 1 << 23
+GATHERED = 1 << 19
 END_CODE = np.uint64(1)
 PARTS = (
     "doc long, mark long, code long, n long, main boolean, n_tokens long, n_known long, "
@@ -83,12 +83,27 @@ class Units:
         return np.where(codes == END_CODE, self.end, unit), count
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, data, begins in text_blocks(batches, CHUNK_BYTES):
+def _tokens(batches: Iterator[pa.RecordBatch]):
+    """Codes and endings of the tokens of whole texts, gathered over blocks to GATHERED tokens or
+    more: enough to count before anything is sent, little enough to hold."""
+    held: list[tuple] = []
+    size = 0
+    for _, data, begins in text_blocks(batches):
         codes, endings, _ = tokens_of_block(data, begins)
+        held.append((codes, endings.astype(np.int32)))
+        size += len(codes)
+        if size >= GATHERED:
+            yield tuple(np.concatenate(part) for part in zip(*held))
+            held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(part) for part in zip(*held))
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for codes, endings in _tokens(batches):
         found, at, times = np.unique(codes, return_index=True, return_counts=True)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(found.view(np.int64)), pa.array(endings[at].astype(np.int32)), pa.array(times)],
+            [pa.array(found.view(np.int64)), pa.array(endings[at]), pa.array(times)],
             names=["code", "ending", "n"],
         )
 
@@ -97,8 +112,7 @@ def _count_pairs(units):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Units(*units.value)
         size = known.end + 1
-        for _, data, begins in text_blocks(batches, CHUNK_BYTES):
-            codes, endings, _ = tokens_of_block(data, begins)
+        for codes, endings in _tokens(batches):
             unit, _ = known.of(codes, endings)
             # what precedes a text's first token is the end of a text
             before = np.append(known.end, unit[:-1])
