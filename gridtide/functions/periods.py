@@ -12,8 +12,8 @@ MONTHS = [
     "july", "august", "september", "october", "november", "december",
 ]
 
-# Numbers outside this range are values, not spreadsheet day serials (1927 to 2099).
-FIRST_SERIAL, LAST_SERIAL = 10_001, 73_050
+# Numbers above 10,000 are spreadsheet day serials, which end with the year 9999.
+FIRST_SERIAL, LAST_SERIAL = 10_001, 2_958_465
 SERIAL_EPOCH = "1899-12-30"
 
 
@@ -28,7 +28,7 @@ def month_number(name: Column) -> Column:
 
 
 def serial_date(num: Column) -> Column:
-    """Day serial of a spreadsheet as a date; null outside the accepted range."""
+    """Day serial of a spreadsheet as a date; null for what is no serial."""
     serial = F.bround(num).cast("double")
     inside = serial.between(FIRST_SERIAL, LAST_SERIAL)
     return F.when(inside, F.date_add(F.lit(SERIAL_EPOCH).cast("date"), serial.cast("int")))

@@ -79,7 +79,7 @@ def table_no_from_filename(cat_no: Column, url: Column) -> Column:
     """Table number that follows the catalogue digits in names like ``62020001.xlsx``."""
     name = F.lower(stem(url_filename(url)))
     digits = F.regexp_replace(cat_no, "[^0-9]", "")
-    rest = F.substring(name, F.length(digits) + F.lit(1), F.lit(1_000_000))
+    rest = F.substr(name, F.length(digits) + F.lit(1))
     found = F.regexp_extract(rest, "^0*([0-9]{1,3}[a-z]?)", 1)
     number = F.regexp_extract(found, "^([0-9]+)", 1).try_cast("int").cast("string")
     suffix = F.regexp_extract(found, "([a-z]?)$", 1)

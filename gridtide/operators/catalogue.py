@@ -246,24 +246,24 @@ def release_files(index: DataFrame, requests: DataFrame) -> DataFrame:
 def nearest_releases(requests: DataFrame, releases: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` releases of a catalogue nearest to each requested date, ties earlier first.
 
-    Requests are reduced to distinct (catalogue, date) pairs and releases to distinct
-    months, so a catalogue contributes one short array of months whatever its size.
+    Requests and releases are reduced to distinct (catalogue, date) pairs, so a catalogue
+    contributes one array of days, bounded by the calendar whatever its number of files.
     """
-    months = (
-        releases.select("cat_no", F.trunc("release_date", "month").alias("m")).distinct()
+    days = (
+        releases.select("cat_no", F.col("release_date").cast("date").alias("day")).distinct()
         .groupBy("cat_no")
-        .agg(F.collect_list("m").alias("months"))
+        .agg(F.collect_list("day").alias("days_of_release"))
     )
     asked = requests.select("cat_no", F.col("requested").cast("date")).distinct()
     ranked = F.array_sort(
         F.transform(
-            "months",
-            lambda m: F.named_struct(
-                F.lit("days"), F.abs(F.datediff(m, F.col("requested"))), F.lit("release_date"), m
+            "days_of_release",
+            lambda d: F.named_struct(
+                F.lit("days"), F.abs(F.datediff(d, F.col("requested"))), F.lit("release_date"), d
             ),
         )
     )
-    near = asked.join(months, "cat_no").select(
+    near = asked.join(days, "cat_no").select(
         "cat_no", "requested", F.posexplode(F.slice(ranked, 1, k)).alias("pos", "near")
     )
     return near.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
@@ -11,6 +12,7 @@ from gridtide.functions.periods import text_period
 from gridtide.functions.text import filter_key, strip
 from gridtide.operators.series import period_range
 from gridtide.schemas import DATASTRUCTURE
+from gridtide.staging import stage
 
 _VALUES = "array<struct<id:string>>"
 _DIMS = f"array<struct<id:string,values:{_VALUES}>>"
@@ -105,33 +107,49 @@ def observations(documents: DataFrame, json: str = "json") -> DataFrame:
 # ---------------------------------------------------------------- trees
 
 
-def collect_named(documents: DataFrame, names: Sequence[str], depth: int = 8) -> DataFrame:
-    """Everything found under one of the given keys, at any nesting level up to ``depth``.
+def _descend(level: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One level down: nodes already found pass through, others give way to their children."""
+    done = F.col("done")
+    children = level.withColumn("open", F.when(~done, F.col("node"))).lateralJoin(
+        level.sparkSession.tvf.variant_explode_outer(F.col("open").outer())
+    )
+    is_named = F.coalesce(F.col("key").isin(list(names)), F.lit(False))
+    return children.where(done | F.col("pos").isNotNull()).select(
+        "doc_id",
+        F.when(done, F.col("node")).otherwise(F.col("value")).alias("node"),
+        F.when(done, F.col("path")).otherwise(F.concat("path", F.array("pos"))).alias("path"),
+        (done | is_named).alias("done"),
+    )
+
+
+def collect_named(documents: DataFrame, names: Sequence[str], step: int = 8) -> DataFrame:
+    """Everything found under one of the given keys, at any nesting level.
 
     ``documents`` has a key column ``doc_id`` and a variant column ``tree``. Arrays and
     objects under such a key give one row per member, other values one row; the search
-    does not go on inside them. ``path`` lists the positions leading to the row.
+    does not go on inside them. ``path`` lists the positions leading to the row. The search
+    goes ``step`` levels at a time, and on only with the nodes still open after that.
     """
     level = documents.select(
         "doc_id", F.col("tree").alias("node"), F.array().cast("array<int>").alias("path"),
         F.lit(False).alias("done"),
     )
-    spark = documents.sparkSession
-    done = F.col("done")
-    for _ in range(depth):
-        # Nodes already found pass through, all others are replaced by their children.
-        children = level.withColumn("open", F.when(~done, F.col("node"))).lateralJoin(
-            spark.tvf.variant_explode_outer(F.col("open").outer())
-        )
-        is_named = F.coalesce(F.col("key").isin(list(names)), F.lit(False))
-        level = children.where(done | F.col("pos").isNotNull()).select(
-            "doc_id",
-            F.when(done, F.col("node")).otherwise(F.col("value")).alias("node"),
-            F.when(done, F.col("path")).otherwise(F.concat("path", F.array("pos"))).alias("path"),
-            (done | is_named).alias("done"),
+    heads = []
+    while True:
+        for _ in range(step):
+            level = _descend(level, names)
+        # variants are written as texts, which every table format holds
+        level = stage(level.withColumn("node", F.to_json("node")), "tree-levels").withColumn(
+            "node", F.try_parse_json("node")
         )
-    heads = level.where(done).select("doc_id", "node", "path")
-    nested = heads.lateralJoin(spark.tvf.variant_explode_outer(F.col("node").outer()))
+        heads.append(level.where("done").select("doc_id", "node", "path"))
+        level = level.where("not done")
+        if level.isEmpty():
+            break
+    found = reduce(DataFrame.unionByName, heads)
+    nested = found.lateralJoin(
+        found.sparkSession.tvf.variant_explode_outer(F.col("node").outer())
+    )
     return nested.select(
         "doc_id",
         F.coalesce("value", "node").alias("node"),
@@ -391,10 +409,18 @@ def api_keys(structure: DataFrame, requests: DataFrame) -> DataFrame:
     ).unionByName(open_requests.distinct())
 
 
+def _documents(structure: DataFrame) -> list:
+    """Up to two of the documents in a structure: enough to see whether there is one."""
+    return [row[0] for row in structure.select("doc_id").distinct().limit(2).collect()]
+
+
 def api_key(structure: DataFrame, filters: Mapping[str, object] | None = None) -> str:
-    """Key of one set of typed filters; raises on unknown names and codes."""
+    """Key of one set of typed filters; raises on unknown names and codes, and if the
+    structure holds several documents."""
     if filters is not None and not isinstance(filters, Mapping):
         raise ValueError("filters must be a mapping of names to codes")
+    if len(_documents(structure)) > 1:
+        raise ValueError("the structure holds several documents; choose one")
     row = api_keys(structure, _typed_requests(structure, filters or {})).first()
     if row is None:
         raise ValueError("the data structure has no dimensions; give an explicit key")
@@ -404,17 +430,24 @@ def api_key(structure: DataFrame, filters: Mapping[str, object] | None = None) -
 
 
 def _typed_requests(structure: DataFrame, filters: Mapping[str, object]) -> DataFrame:
-    spark = structure.sparkSession
+    """The typed filters, once for each document of the structure."""
     rows = []
     for ord_, (name, value) in enumerate(filters.items()):
         codes = list(value) if isinstance(value, (list, tuple, set)) else [value]
         rows += [(ord_, name, i, str(code)) for i, code in enumerate(codes or [""])]
     if not rows:
         rows = [(0, None, 0, "")]
-    typed = spark.createDataFrame(rows, "ord INT, name STRING, code_ord INT, code STRING")
-    only = structure.select("doc_id").distinct().withColumn("one", F.lit(1))
-    return typed.withColumn("one", F.lit(1)).join(only, "one").select(
-        F.lit(1).alias("request_id"), "doc_id", "ord", "name", "code_ord", "code"
+    typed = F.array(
+        *(
+            F.struct(
+                F.lit(ord_).alias("ord"), F.lit(name).cast("string").alias("name"),
+                F.lit(i).alias("code_ord"), F.lit(code).alias("code"),
+            )
+            for ord_, name, i, code in rows
+        )
+    )
+    return structure.select("doc_id").distinct().select(
+        F.lit(1).alias("request_id"), "doc_id", F.inline(typed)
     )
 
 
@@ -427,20 +460,45 @@ def filter_observations(
 ) -> DataFrame:
     """Observations that meet typed filters on dimension names, labels or codes.
 
-    Only the typed filters are resolved on the driver; the result is an ordinary filter
-    on ``dims`` and ``date``.
+    Filters are resolved in each document of ``structure`` and applied to the observations
+    of that document (column ``doc_id`` of both); observations of documents without a
+    structure don't pass. Without ``doc_id`` in ``df``, the structure must hold one document.
     """
     if filters:
-        resolved = resolve_filters(structure, _typed_requests(structure, filters)).collect()
-        errors = [row["error"] for row in resolved if row["error"]]
+        resolved = stage(resolve_filters(structure, _typed_requests(structure, filters)), "filters")
+        errors = resolved.where(F.col("error").isNotNull()).select("error").distinct().limit(20)
+        errors = sorted(row["error"] for row in errors.collect())
         if errors:
-            raise ValueError("; ".join(sorted(errors)))
-        wanted: dict[str, set[str]] = {}
-        for row in resolved:
-            if row["code"]:
-                wanted.setdefault(row["dimension_id"], set()).add(row["code"])
-        for dimension, codes in wanted.items():
-            df = df.where(F.try_element_at("dims", F.lit(dimension)).isin(sorted(codes)))
+            raise ValueError("; ".join(errors))
+        # one short row for each document: at most the codes that were typed
+        by_dimension = resolved.groupBy("doc_id", "dimension_id").agg(
+            F.collect_set(F.when(F.col("code") != "", F.col("code"))).alias("codes")
+        )
+        allowed = by_dimension.groupBy("doc_id").agg(
+            F.collect_list(F.struct("dimension_id", "codes")).alias("allowed")
+        )
+        if "doc_id" in df.columns:
+            joined = df.join(allowed, "doc_id")
+        else:
+            if len(_documents(structure)) > 1:
+                raise ValueError("observations of several documents need a column doc_id")
+            row = allowed.first()
+            entries = [] if row is None else row["allowed"]
+            joined = df.withColumn("allowed", F.array(
+                *(
+                    F.struct(
+                        F.lit(entry["dimension_id"]).alias("dimension_id"),
+                        F.array(*map(F.lit, sorted(entry["codes"]))).cast("array<string>").alias("codes"),
+                    )
+                    for entry in entries
+                )
+            ))
+        fits = F.forall(
+            "allowed",
+            lambda one: (F.size(one["codes"]) == 0) | F.coalesce(
+                F.array_contains(one["codes"], F.try_element_at("dims", one["dimension_id"])),
+                F.lit(False),
+            ),
+        )
+        df = joined.where(fits).select(*df.columns)
     return period_range(df, start_period, end_period)
-
-

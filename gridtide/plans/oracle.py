@@ -399,8 +399,8 @@ FROM orders GROUP BY o_orderstatus, date_trunc('month', o_orderdate)""",
 WITH requests AS (
   SELECT DISTINCT l_linestatus AS cat_no, CAST(l_shipdate AS DATE) AS requested FROM lineitem),
 known AS (
-  SELECT DISTINCT o_orderstatus AS cat_no, CAST(date_trunc('month', o_orderdate) AS DATE) AS release_date
-  FROM orders WHERE o_totalprice > 400000),
+  SELECT DISTINCT o_orderstatus AS cat_no, CAST(o_orderdate AS DATE) AS release_date
+  FROM orders),
 ranked AS (
   SELECT cat_no, requested, release_date, abs(date_diff('day', requested, release_date)) AS days,
          row_number() OVER (PARTITION BY cat_no, requested
@@ -411,7 +411,7 @@ FROM ranked WHERE rank <= 3""",
     "release_files": INDEX + f""",
 requests AS (
   SELECT DISTINCT {REQUEST_CAT} AS cat_no, {REQUEST_MONTH} AS release_month
-  FROM orders WHERE o_orderstatus = 'P')
+  FROM orders)
 SELECT cat_no, release_month, filename FROM idx JOIN requests USING (cat_no)
 WHERE release_date = lower(strftime(release_month, '%b-%Y'))""",
     "page_links": LINKS + f"""

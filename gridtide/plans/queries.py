@@ -432,7 +432,7 @@ def nearest_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = table(spark, sf_dir, "lineitem").select(
         F.col("l_linestatus").alias("cat_no"), F.to_date("l_shipdate").alias("requested")
     )
-    known = table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 400000).select(
+    known = table(spark, sf_dir, "orders").select(
         F.col("o_orderstatus").alias("cat_no"), F.to_date("o_orderdate").alias("release_date")
     )
     return catalogue.nearest_releases(requests, known)
@@ -441,7 +441,7 @@ def nearest_release(spark: SparkSession, sf_dir: str) -> DataFrame:
 def release_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.lpad((F.col("o_custkey") % 30 + 1).cast("string"), 2, "0")
     month = F.add_months(F.lit("2020-01-01").cast("date"), (F.col("o_orderkey") % 60).cast("int"))
-    requests = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P").select(
+    requests = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("62"), number, F.lit(".0")).alias("cat_no"), month.alias("release_month")
     )
     return catalogue.release_files(inputs.part_index(spark, sf_dir), requests).select(
@@ -600,7 +600,7 @@ def sdmx_json_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("doc_id"),
         F.try_parse_json(F.concat(F.lit('{"a":[{"b":'), F.col("props"), F.lit("}]}"))).alias("tree"),
     )
-    found = sdmx.collect_named(trees, ["k"], depth=4)
+    found = sdmx.collect_named(trees, ["k"])
     return found.select(
         F.col("doc_id").alias("event_id"), F.try_variant_get("node", "$", "bigint").alias("k")
     )

@@ -10,7 +10,7 @@ from gridtide.schemas import FILE_INDEX, RELEASES
 def source_kind(path: Column, root: Column | str) -> Column:
     """First folder of a path below the root, "other" for files directly in it."""
     root = F.lit(root) if isinstance(root, str) else root
-    below = F.substring(path, F.length(root) + F.lit(1), F.lit(1_000_000))
+    below = F.substr(path, F.length(root) + F.lit(1))
     rest = F.ltrim(below, F.lit("/"))
     return F.when(rest.contains("/"), F.substring_index(rest, "/", 1)).otherwise("other")
 

@@ -8,79 +8,83 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridtide.schemas import CELLS
 
+# Tables of an invented water board: one sheet a rule.
 SAMPLE = {
     "Data1": [
-        ["Series ID", "A84423043A", "B84423043B"],
-        ["Data item", "Employed total ; Persons ; Australia", "Unemployed total"],
-        ["Unit", "Persons", "Persons"],
-        ["Frequency", "Monthly", "Monthly"],
-        ["Series Type", "Seasonally adjusted", "Original"],
-        ["Data Type", "Stock", "Stock"],
-        ["Collection Month", "May", "May"],
-        ["Series Start", "Apr-2026", "Apr-2026"],
-        ["Apr-26", 12.5, 8.0],
-        ["May-26", "not numeric", 9.0],
+        ["Series ID", "R70001K", "R70002K", "R70003K"],
+        ["Data item", "Inflow ; Upper dam ; Total", "Outflow ; Upper dam", "Level"],
+        ["Unit", "Megalitres", "Megalitres", "Metres"],
+        ["Frequency", "Monthly", "Monthly", "Monthly"],
+        ["Series Type", "Trend", "Original", "Original"],
+        ["Data Type", "Flow", "Flow", "Stock"],
+        ["Collection Month", "November", "November", "November"],
+        ["Series Start", "Oct-2031", "Nov-2031", "Oct-2031"],
+        ["Oct-31", 70.25, None, 3],
+        ["Nov-31", "not read", -4.5, 3.5],
+        ["Dec-31", 71, 0, 4],
     ],
-    "Table 2": [["Series ID", "C1234567"], ["2024-Q1", 99.0]],
-    "Data10": [["Series ID", "D1234567"], ["2024", 101.0]],
-    "Notes": [],
+    "Table 5": [["Series ID", "R81234567"], ["2030-Q3", 17.0], ["2030-Q4", 18.0]],
+    "Data12": [["Series ID", "R99"], ["2029", 5.5]],
+    "Empty": [],
 }
 PERIODS = {
-    "Monthly": [["Series ID", "M1234567"], ["Jan-2024", 1], ["2024-02", 2]],
-    "Quarterly": [["Series ID", "Q1234567"], ["Mar-2024", 3], ["2024-Q2", 4], ["Q3 2024", 5]],
-    "Annual": [["Series ID", "Y1234567"], ["2024", 6]],
+    "By month": [["Series ID", "RM1"], ["2028/11", 1], ["Dec-2028", 2], ["2029-01", 3]],
+    "By quarter": [["Series ID", "RQ1"], ["Q1-2027", 3], ["2027-Q2", 4], ["Sep-2027", 5], ["Q4 2027", 6]],
+    "By year": [["Series ID", "RY1"], ["2026", 6], ["2027", 7]],
 }
 LAYOUTS = {
-    "CPI Metadata": [
-        ["Consumer Price Index, Australia"],
-        ["Catalogue Number", "6401.0"],
-        ["Release Date", "April 2024"],
-        ["Table 1. CPI: All groups, index numbers"],
-        ["Series ID", "A2325846C"],
-        ["Data item", "All groups CPI"],
-        ["Unit", "Index Numbers"],
-        ["Frequency", "Quarterly"],
+    "Rain Metadata": [
+        ["Rain gauges of the valley"],
+        ["Catalogue Number", "7100.0"],
+        ["Release Date", "February 2033"],
+        ["Table 6. Rain: totals by gauge"],
+        ["Series ID", "R3100001K", "R3200002K"],
+        ["Data item", "Gauge north", "Gauge south"],
+        ["Unit", "Millimetres", "Millimetres"],
+        ["Frequency", "Annual", "Annual"],
     ],
-    "National Accounts": [
-        ["Catalogue Number", "5206.0"],
-        ["Release Date", "June 2024"],
-        ["Table 1. Key National Accounts Aggregates"],
-        ["Series ID", "Series", "Unit", "Frequency", "Mar-2024", "Jun-2024"],
-        ["A2304402X", "Gross domestic product", "$ Millions", "Quarterly", 100.0, 101.0],
+    "Pumps": [
+        ["Catalogue Number", "7200.0"],
+        ["Release Date", "October 2032"],
+        ["Table 8. Pump hours"],
+        ["Series ID", "Series", "Unit", "Frequency", "Jun-2032", "Sep-2032", "Dec-2032"],
+        ["P1", "Main pump", "Hours", "Quarterly", 400.0, 410.0, None],
+        ["P2", "Spare pump", "Hours", "Quarterly", 4.0, "n/a", 6.0],
     ],
-    "Archived AWE": [
-        ["Bureau of Statistics"],
-        ["Catalogue No: 6302.0"],
-        ["Released: November 2018"],
-        ["Table 3. Average Weekly Earnings, Australia"],
-        ["Series Number", "A2733331A"],
-        ["Description", "Average weekly ordinary time earnings"],
-        ["Units", "Dollars"],
+    "Old Levels": [
+        ["The water board"],
+        ["Catalogue No: 7300.0"],
+        ["Released: July 2021"],
+        ["Table 11. Levels of all dams"],
+        ["Series Number", "L5"],
+        ["Description", "Level of the lower dam"],
+        ["Units", "Metres"],
         ["Frequency", "Biannual"],
-        ["May-2018", 1600.0],
+        ["Jul-2021", 12.0],
     ],
-    "Payrolls Metadata": [
-        ["Weekly Payroll Jobs and Wages in Australia"],
-        ["Catalogue Number", "6160.0.55.001"],
-        ["Table 4. Payroll jobs index"],
-        ["Series ID", "A9999999P"],
-        ["Series", "Payroll jobs index"],
-        ["Unit of measure", "Index"],
+    "Leaks Metadata": [
+        ["Leaks reported by week"],
+        ["Catalogue Number", "7400.0.10.002"],
+        ["Table 2. Leaks"],
+        ["Series ID", "K7000007P"],
+        ["Series", "Leaks found"],
+        ["Unit of measure", "Number"],
         ["Frequency", "Weekly"],
     ],
-    "Explanatory Notes": [],
+    "About": [],
 }
 MATRIX = {
-    "Matrix": [
-        ["Labour Force detailed data cube"],
-        ["State", "Sex", "Age", "Mar-2024", "Jun-2024"],
-        ["NSW", "Male", "15-24", 10, 11],
-        ["NSW", "Female", "15-24", "..", 12],
-        ["Source: Bureau of Statistics", None, None, 999],
+    "Meters": [
+        ["Meters in use by district"],
+        ["District", "Kind", "Size", "Sep-2030", "Dec-2030", "Mar-2031"],
+        ["East", "Smart", "small", 31, 32, 33],
+        ["East", "Plain", "large", "np", 22, 23],
+        ["West", "Smart", "large", 5, None, 7],
+        ["Source: meter register", None, None, 555],
     ],
-    "Notes": [["Notes"], ["This sheet should remain generic if requested directly."]],
+    "Notes": [["Notes"], ["Meters are counted at the end of a quarter."]],
 }
-CUBE = {"Cube 1": [["State", "Value"], ["NSW", 1.0], ["VIC", 2.0]]}
+CUBE = {"Cube 4": [["District", "Value"], ["East", 8.0], ["West", 9.0], ["North", 10.0]]}
 
 
 def cell(value):

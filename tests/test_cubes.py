@@ -13,26 +13,26 @@ D = datetime.date
 
 
 def test_labelled_matrix(spark):
-    cube = cubes.read_cube(cells_of(spark, m=MATRIX), metadata={"cat_no": "6202.0", "cube": " "})
+    cube = cubes.read_cube(cells_of(spark, m=MATRIX), metadata={"cat_no": "7500.0", "cube": " "})
     assert cube.columns == [*CUBE, "dims"]
-    wide = cubes.dims_to_columns(cube, ["State", "Sex", "Age"]).orderBy("Sex", "date").toPandas()
-    assert list(wide["Sex"]) == ["Female", "Female", "Male", "Male"]
-    assert list(wide["date"]) == [D(2024, 3, 1), D(2024, 6, 1)] * 2
-    assert set(wide["frequency"]) == {"unknown"} and set(wide["cat_no"]) == {"6202.0"}
-    assert wide["value"].isna().tolist() == [True, False, False, False]
-    assert list(wide["value"][1:]) == [12.0, 10.0, 11.0] and wide["cube"].isna().all()
+    wide = cubes.dims_to_columns(cube, ["District", "Kind", "Size"]).orderBy("District", "Kind", "date").toPandas()
+    assert list(wide["Kind"]) == ["Plain"] * 3 + ["Smart"] * 6
+    assert list(wide["date"]) == [D(2030, 9, 1), D(2030, 12, 1), D(2031, 3, 1)] * 3
+    assert set(wide["frequency"]) == {"unknown"} and set(wide["cat_no"]) == {"7500.0"}
+    assert wide["value"].isna().tolist() == [True, *[False] * 6, True, False]
+    assert list(wide["value"].dropna()) == [22.0, 23.0, 31.0, 32.0, 33.0, 5.0, 7.0] and wide["cube"].isna().all()
 
 
 def test_matrix_as_generic(spark):
     cube = cubes.read_cube(cells_of(spark, m=MATRIX), family="generic")
     rows = [r["dims"] for r in cube.collect()]
-    assert len(rows) == 2 and all("Mar2024" in r and "State" in r for r in rows)
+    assert len(rows) == 3 and all("Sep2030" in r and "District" in r for r in rows)
 
 
 def test_auto_takes_each_sheet_once(spark):
-    sheets = {**MATRIX, **CUBE_SHEETS, "Cube 2": [["State", "Value"], ["TAS", 3.0]]}
+    sheets = {**MATRIX, **CUBE_SHEETS, "Cube 9": [["District", "Value"], ["South", 3.0]]}
     found = cubes.read_cube(cells_of(spark, m=sheets)).toPandas()
-    assert found.groupby("sheet").size().to_dict() == {"Cube 1": 2, "Cube 2": 1, "Matrix": 4}
+    assert found.groupby("sheet").size().to_dict() == {"Cube 4": 3, "Cube 9": 1, "Meters": 9}
     with pytest.raises(ValueError):
         cubes.read_cube(cells_of(spark, m=sheets), family="unknown")
 

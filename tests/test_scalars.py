@@ -21,14 +21,14 @@ def texts(spark, function, items):
 
 def test_periods_of_labels(spark):
     cases = {
-        "2024": (D(2024, 1, 1), "annual"), "2024-02": (D(2024, 2, 1), "monthly"),
-        "2024/13": None, "2024-Q4": (D(2024, 10, 1), "quarterly"),
-        "q3 2024": (D(2024, 7, 1), "quarterly"), "Q3-2024": (D(2024, 7, 1), "quarterly"),
-        "Apr-26": (D(2026, 4, 1), "unknown"), "Mar2024": (D(2024, 3, 1), "unknown"),
-        "Jan 99": (D(2099, 1, 1), "unknown"), "Age 15": None, "2024-05-02": (D(2024, 5, 2), "unknown"),
-        "13/02/2024": (D(2024, 2, 13), "unknown"), "02/13/2024": (D(2024, 2, 13), "unknown"),
-        "JANUARY 2024": (D(2024, 1, 1), "unknown"), " May 2018\t": (D(2018, 5, 1), "unknown"),
-        "": None, None: None, "31/02/2024": None, "2024Q5": None, "a long sentence": None,
+        "1998": (D(1998, 1, 1), "annual"), "2031-11": (D(2031, 11, 1), "monthly"),
+        "2031/00": None, "2044-Q2": (D(2044, 4, 1), "quarterly"),
+        "q1 2019": (D(2019, 1, 1), "quarterly"), "Q2-2051": (D(2051, 4, 1), "quarterly"),
+        "Sep-07": (D(2007, 9, 1), "unknown"), "Oct2033": (D(2033, 10, 1), "unknown"),
+        "Feb 88": (D(2088, 2, 1), "unknown"), "Row 21": None, "2033-12-30": (D(2033, 12, 30), "unknown"),
+        "28/11/2035": (D(2035, 11, 28), "unknown"), "11/28/2035": (D(2035, 11, 28), "unknown"),
+        "AUGUST 2040": (D(2040, 8, 1), "unknown"), " July 2016\t": (D(2016, 7, 1), "unknown"),
+        "": None, None: None, "30/02/2035": None, "2035Q7": None, "words without end": None,
     }
     got = values(spark, periods.text_period("t"), [(x,) for x in cases], "t string")
     for label, period, want in zip(cases, got, cases.values()):
@@ -39,11 +39,12 @@ def test_periods_of_labels(spark):
 
 
 def test_periods_of_typed_cells(spark):
-    rows = [("n", None, 45292.0, None), ("n", None, 42.0, None), ("n", None, 999999.0, None),
+    rows = [("n", None, 45292.0, None), ("n", None, 42.0, None), ("n", None, 80000.0, None),
+            ("n", None, 2958465.0, None), ("n", None, 2958466.0, None),
             ("d", "x", None, D(2024, 5, 2)), ("b", "true", None, None), ("n", "2024", 2024.0, None)]
     got = values(spark, periods.cell_period()["date"], rows,
                  "kind string, text string, num double, date date")
-    assert got == [D(2024, 1, 1), None, None, D(2024, 5, 2), None, None]
+    assert got == [D(2024, 1, 1), None, D(2119, 1, 11), D(9999, 12, 31), None, D(2024, 5, 2), None, None]
 
 
 def test_period_start(spark):

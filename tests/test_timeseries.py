@@ -16,10 +16,10 @@ from sheets import LAYOUTS, PERIODS, SAMPLE, cells_of
 D = datetime.date
 FOOTED = {
     "Across": [
-        ["Series ID", "Series", "Mar-2024", "Jun-2024", "Sep-2024"],
-        ["A2304402X", "Output", 1, 2, ".."],
-        ["plain row", "42", 3, 4, 5],
-        ["Source: somewhere", None, None, None, 9],
+        ["Series ID", "Series", "Sep-2035", "Dec-2035", "Mar-2036"],
+        ["R4040404X", "Valves", 1, 2, ".."],
+        ["bare line", "17", 3, 4, 5],
+        ["Source: the board", None, None, None, 9],
     ]
 }
 
@@ -43,63 +43,67 @@ def test_columns_in_order(spark):
 
 def test_sample_workbook(observations):
     sample = of(observations, source_file="sample")
-    assert sample.groupby("sheet").size().to_dict() == {"Data1": 4, "Table 2": 1, "Data10": 1}
-    first = of(sample, series_id="A84423043A")
-    assert list(first["date"]) == [D(2026, 4, 1), D(2026, 5, 1)]
-    assert first["value"].iloc[0] == 12.5 and first["value"].isna().iloc[1]
+    assert sample.groupby("sheet").size().to_dict() == {"Data1": 9, "Table 5": 2, "Data12": 1}
+    first = of(sample, series_id="R70001K")
+    assert list(first["date"]) == [D(2031, 10, 1), D(2031, 11, 1), D(2031, 12, 1)]
+    assert list(first["value"].isna()) == [False, True, False] and first["value"].iloc[2] == 71
+    assert list(of(sample, series_id="R70002K")["value"].isna()) == [True, False, False]
     row = first.iloc[0]
-    assert row["frequency"] == "monthly" and row["collection_month"] == "May"
-    assert row["series"] == "Employed total ; Persons ; Australia"
-    assert row["series_start"] == "Apr-2026" and row["series_type"] == "Seasonally adjusted"
-    assert set(of(sample, sheet="Table 2")["table_no"]) == {"2"}
+    assert row["frequency"] == "monthly" and row["collection_month"] == "November"
+    assert row["series"] == "Inflow ; Upper dam ; Total"
+    assert row["series_start"] == "Oct-2031" and row["series_type"] == "Trend"
+    assert set(of(sample, sheet="Table 5")["table_no"]) == {"5"}
 
 
 def test_periods(observations):
     found = of(observations, source_file="periods")
     dates = {k: list(g["date"]) for k, g in found.groupby("series_id")}
     assert dates == {
-        "M1234567": [D(2024, 1, 1), D(2024, 2, 1)],
-        "Q1234567": [D(2024, 1, 1), D(2024, 4, 1), D(2024, 7, 1)],
-        "Y1234567": [D(2024, 1, 1)],
+        "RM1": [D(2028, 11, 1), D(2028, 12, 1), D(2029, 1, 1)],
+        "RQ1": [D(2027, 1, 1), D(2027, 4, 1), D(2027, 7, 1), D(2027, 10, 1)],
+        "RY1": [D(2026, 1, 1), D(2027, 1, 1)],
     }
     assert dict(zip(found["series_id"], found["frequency"])) == {
-        "M1234567": "monthly", "Q1234567": "quarterly", "Y1234567": "annual"}
+        "RM1": "monthly", "RQ1": "quarterly", "RY1": "annual"}
 
 
 def test_time_across(observations):
-    found = of(observations, source_file="layouts", sheet="National Accounts")
-    assert list(found["value"]) == [100.0, 101.0]
-    assert list(found["date"]) == [D(2024, 1, 1), D(2024, 4, 1)]
-    assert set(found["unit"]) == {"$ Millions"} and set(found["cat_no"]) == {"5206.0"}
+    found = of(observations, source_file="layouts", sheet="Pumps")
+    main = of(found, series_id="P1")
+    assert list(main["value"][:2]) == [400.0, 410.0] and len(main) == 3
+    assert list(main["date"]) == [D(2032, 4, 1), D(2032, 7, 1), D(2032, 10, 1)]
+    assert list(of(found, series_id="P2")["value"].isna()) == [False, True, False]
+    assert set(found["unit"]) == {"Hours"} and set(found["cat_no"]) == {"7200.0"}
     footed = of(observations, source_file="footed")
     # Without cutting, the source line is a series like any other.
-    assert set(footed["series_id"]) == {"A2304402X", "plain row", "Source: somewhere"}
+    assert set(footed["series_id"]) == {"R4040404X", "bare line", "Source: the board"}
     assert set(footed["frequency"]) == {"quarterly"}
-    assert list(of(footed, series_id="A2304402X")["value"].isna()) == [False, False, True]
+    assert list(of(footed, series_id="R4040404X")["value"].isna()) == [False, False, True]
 
 
 def test_cut_footers(spark):
     cells = cells_of(spark, footed=FOOTED)
     found = tidy(cells, cut_footers=True).toPandas()
-    assert set(found["series_id"]) == {"A2304402X", "plain row"} and len(found) == 6
+    assert set(found["series_id"]) == {"R4040404X", "bare line"} and len(found) == 6
 
 
 def test_without_metadata(spark):
     found = tidy(cells_of(spark, s={"Data1": SAMPLE["Data1"]}), metadata=False).toPandas()
-    assert found["unit"].isna().all() and set(found["series"]) == {"Column 2", "Column 3"}
+    assert found["unit"].isna().all() and set(found["series"]) == {
+        "Column 2", "Column 3", "Column 4"}
     assert set(found["frequency"]) == {"monthly"} and set(found["series_id"]) == {
-        "A84423043A", "B84423043B"}
+        "R70001K", "R70002K", "R70003K"}
 
 
 def test_header_rules(spark):
     rows = [
-        ["Unit", "first"], ["Units", "second", "only"], ["A1234567X", None, "B1234567"],
+        ["Unit", "first"], ["Units", "second", "only"], ["R1010101X", None, "R2020202"],
         ["Unit", "", "late"], ["2024", 1, 2], ["2025", None, 4], [None, None, None, "note"],
     ]
     found = tidy(cells_of(spark, a={"S": rows})).toPandas()
     ids = of(found, date=D(2024, 1, 1)).set_index("series_id")
     # The lowest "Unit" row counts; where it is blank the next candidate label does.
-    assert ids["unit"].to_dict() == {"Column 2": "second", "B1234567": "late", "Column 4": None}
+    assert ids["unit"].to_dict() == {"Column 2": "second", "R2020202": "late", "Column 4": None}
     # Columns filled by a footer only are series too, and missing cells stay as rows.
     assert len(found) == 6 and of(found, series_id="Column 4")["value"].isna().all()
 
@@ -109,56 +113,57 @@ def test_metadata(spark):
     assert found.columns == ["source_file", *SERIES_META]
     frame = found.toPandas()
     layouts = of(frame, source_file="layouts").set_index("sheet")
-    assert len(layouts) == 4 and "Explanatory Notes" not in layouts.index
-    assert layouts["cat_no"].to_dict() == {
-        "CPI Metadata": "6401.0", "National Accounts": "5206.0", "Archived AWE": "6302.0",
-        "Payrolls Metadata": "6160.0.55.001"}
-    assert layouts["release_date"]["CPI Metadata"] == "apr-2024"
-    assert layouts["release_date"]["National Accounts"] == "jun-2024"
-    assert layouts["release_date"]["Archived AWE"] == "nov-2018"
-    assert layouts["table_title"]["Archived AWE"] == "Table 3. Average Weekly Earnings, Australia"
-    assert layouts["frequency"].to_dict() == {
-        "CPI Metadata": "quarterly", "National Accounts": "quarterly",
-        "Archived AWE": "semiannual", "Payrolls Metadata": "weekly"}
-    assert layouts["table_no"]["Payrolls Metadata"] == "4"
-    assert len(of(frame, source_file="sample")) == 2
+    assert len(layouts) == 6 and "About" not in layouts.index
+    one = layouts.groupby("sheet").first()
+    assert one["cat_no"].to_dict() == {
+        "Rain Metadata": "7100.0", "Pumps": "7200.0", "Old Levels": "7300.0",
+        "Leaks Metadata": "7400.0.10.002"}
+    assert one["release_date"]["Rain Metadata"] == "feb-2033"
+    assert one["release_date"]["Pumps"] == "oct-2032"
+    assert one["release_date"]["Old Levels"] == "jul-2021"
+    assert one["table_title"]["Old Levels"] == "Table 11. Levels of all dams"
+    assert one["frequency"].to_dict() == {
+        "Rain Metadata": "annual", "Pumps": "quarterly",
+        "Old Levels": "semiannual", "Leaks Metadata": "weekly"}
+    assert one["table_no"]["Leaks Metadata"] == "2"
+    assert len(of(frame, source_file="sample")) == 3
 
 
 def test_context(spark):
     sheets = {
-        "Fallback": [["Catalogue Number", "9999.0"], ["Released: March 2024"],
-                     ["Table 5. Example table"], ["2024", 1]],
-        "Table 9": [["Release Date", ""], ["Released: April 2024"], ["2024", "Table 3. below the dates"]],
-        "Plain": [["Release Date", "", "mid 2024"], ["see Catalogue no. 1234.5"]],
+        "Spills": [["Catalogue Number", "7800.0"], ["Released: August 2034"],
+                   ["Table 14. Spills by weir"], ["2034", 1]],
+        "Table 21": [["Release Date", ""], ["Released: May 2035"], ["2035", "Table 3. below the dates"]],
+        "Plain": [["Release Date", "", "late 2036"], ["see Catalogue no. 7811.5"]],
     }
     found = sheet_context(cells_of(spark, a=sheets)).toPandas().set_index("sheet")
-    assert list(found.loc["Fallback", ["cat_no", "release_date", "table_no"]]) == [
-        "9999.0", "mar-2024", "5"]
-    assert found["release_date"]["Table 9"] == "apr-2024" and found["table_no"]["Table 9"] == "9"
-    assert found["table_title"]["Table 9"] == "Table 9"
-    assert found["cat_no"]["Plain"] == "1234.5" and found["release_date"]["Plain"] == "mid 2024"
+    assert list(found.loc["Spills", ["cat_no", "release_date", "table_no"]]) == [
+        "7800.0", "aug-2034", "14"]
+    assert found["release_date"]["Table 21"] == "may-2035" and found["table_no"]["Table 21"] == "21"
+    assert found["table_title"]["Table 21"] == "Table 21"
+    assert found["cat_no"]["Plain"] == "7811.5" and found["release_date"]["Plain"] == "late 2036"
     given = sheet_context(cells_of(spark, a=sheets), cat_no="1.0", release_date="x").toPandas()
     assert set(given["cat_no"]) == {"1.0"} and set(given["release_date"]) == {"x"}
 
 
 def test_best_lines_and_frequency(spark):
-    rows = {"A": [["Header", "Value"], ["Notes", "no date"], ["Jan-2024", 1], ["Feb-2024", 2]]}
+    rows = {"A": [["gate", "when", "level"], ["1", "Aug-2037", 1], ["2", "Sep-2037", 2], ["3", "Oct-2037", "2038"]]}
     cells = cells_of(spark, a=rows)
     best = sheet_ops.best_date_column(cells).first()
-    assert (best["col_no"], best["n_dates"]) == (1, 2)
-    assert sheet_ops.best_date_row(cells).first()["row_no"] == 3
+    assert (best["col_no"], best["n_dates"]) == (2, 3)
+    assert sheet_ops.best_date_row(cells).first()["row_no"] == 4
     cases = {
-        "one": ([D(2024, 1, 1)], "unknown"),
-        "monthly": ([D(2024, 1, 1), D(2024, 2, 1)], "monthly"),
-        "quarterly": ([D(2024, 1, 1), D(2024, 4, 1)], "quarterly"),
-        "annual": ([D(2024, 1, 1), D(2025, 1, 1)], "annual"),
-        "odd": ([D(2024, 1, 1), D(2024, 6, 1)], "unknown"),
-        "lower median": ([D(2024, 1, 1), D(2024, 2, 1), D(2024, 5, 1)], "monthly"),
-        "repeats": ([D(2024, 1, 1), D(2024, 1, 9), D(2024, 1, 9), D(2024, 2, 1)], "unknown"),
+        "single": ([D(2030, 5, 1)], "unknown"),
+        "months": ([D(2030, 11, 1), D(2030, 12, 1), D(2031, 1, 1)], "monthly"),
+        "quarters": ([D(2030, 8, 1), D(2030, 11, 1), D(2031, 2, 1)], "quarterly"),
+        "years": ([D(2030, 7, 1), D(2031, 7, 1), D(2032, 7, 1)], "annual"),
+        "seven months": ([D(2030, 1, 1), D(2030, 8, 1)], "unknown"),
+        "lower of two": ([D(2030, 4, 1), D(2030, 5, 1), D(2030, 8, 1)], "monthly"),
+        "days": ([D(2030, 1, 1), D(2030, 1, 9), D(2030, 1, 9), D(2030, 2, 1)], "unknown"),
     }
     dates = [(k, d, "unknown") for k, (ds, _) in cases.items() for d in ds]
-    dates += [("mixed", D(2024, 1, 1), "annual"), ("mixed", D(2024, 2, 1), "monthly"),
-              ("implied", D(2024, 1, 1), "annual"), ("implied", D(2024, 2, 1), "unknown")]
+    dates += [("mixed", D(2031, 3, 1), "annual"), ("mixed", D(2031, 4, 1), "monthly"),
+              ("implied", D(2031, 3, 1), "annual"), ("implied", D(2031, 4, 1), "unknown")]
     df = spark.createDataFrame(dates, "k string, period_date date, period_frequency string")
     got = {r["k"]: r["inferred"] for r in sheet_ops.infer_frequency(df, ["k"]).collect()}
     assert got == {**{k: f for k, (_, f) in cases.items()}, "mixed": "monthly", "implied": "annual"}
@@ -191,8 +196,8 @@ def test_table_selection(spark):
     for request in (1, "1", "Table 1", ["Data1"]):
         assert {r["sheet"] for r in cells_of_tables(cells, request).select("sheet").distinct().collect()} == {"Data1"}
     assert select_sheets(cells).count() == cells.count()
-    assert select_sheets(cells, ["Data1", "Table 2"]).select("sheet").distinct().count() == 2
-    with pytest.raises(ValueError, match="Data10"):
+    assert select_sheets(cells, ["Data1", "Table 5"]).select("sheet").distinct().count() == 2
+    with pytest.raises(ValueError, match="Data12"):
         require_tables(cells, 999)
 
 
@@ -202,31 +207,31 @@ def test_series_workflow(spark, observations):
         [tuple(None if v != v else v for v in row) for row in
          frame[["series_id", "date", "value"]].itertuples(index=False)],
         "series_id string, date date, value double")
-    assert lookup_series(df, [" a84423043a"]).count() == 2
-    wanted = spark.createDataFrame([("A84423043A",), ("missing",)], "series_id string")
-    assert lookup_series(df, wanted).count() == 2
+    assert lookup_series(df, [" r70001k"]).count() == 3
+    wanted = spark.createDataFrame([("R70001K",), ("R81234567",), ("missing",)], "series_id string")
+    assert lookup_series(df, wanted).count() == 5
     assert lookup_series(df, "missing").count() == 0
-    newest = lookup_series(df, "A84423043A")
-    assert latest_date(newest).first()["latest_date"] == D(2026, 5, 1)
+    newest = lookup_series(df, "R70001K")
+    assert latest_date(newest).first()["latest_date"] == D(2031, 12, 1)
     assert latest_date(df.where("false")).first()["latest_date"] is None
     with pytest.raises(ValueError):
         latest_date(df, "when")
 
 
 def test_separate_series(spark):
-    labels = ["All groups, Male, Total", "Employed total, Female", "Labour force", None, "a;b|c,d", "x | y"]
+    labels = ["Rain, North, Total", "Pump hours, South", "Leaks", None, "a;b|c,d", "x | y"]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(labels)], "i int, series string")
-    named = separate_series(df, names=["measure", "sex", "aggregate"])
+    named = separate_series(df, names=["what", "where", "rest"])
     rows = {r["i"]: r for r in named.collect()}
-    assert named.columns == ["i", "series", "measure", "sex", "aggregate"]
-    assert rows[0]["measure"] == "All groups" and rows[0]["aggregate"] == "Total"
-    assert rows[3]["measure"] is None and rows[4]["sex"] == "b|c,d" and rows[5]["sex"] == "y"
+    assert named.columns == ["i", "series", "what", "where", "rest"]
+    assert rows[0]["what"] == "Rain" and rows[0]["rest"] == "Total"
+    assert rows[3]["what"] is None and rows[4]["where"] == "b|c,d" and rows[5]["where"] == "y"
     plain = {r["i"]: r for r in separate_series(df, remove_totals=True).collect()}
-    assert plain[0]["series_part_1"] == "Male" and plain[0]["series_part_2"] is None
-    assert plain[1]["series_part_2"] == "Female"
-    kept = separate_series(df.where("i < 4"), names=["measure", "sex"], remove_totals=True, drop_missing=True)
-    assert [(r["measure"], r["sex"]) for r in kept.collect()] == [("Employed total", "Female")]
-    for bad in (["only_one"], "measure"):
+    assert plain[0]["series_part_2"] == "North" and "series_part_3" not in plain[0]
+    assert plain[1]["series_part_2"] == "South"
+    kept = separate_series(df.where("i < 4"), names=["what", "where"], remove_totals=True, drop_missing=True)
+    assert sorted((r["what"], r["where"]) for r in kept.collect()) == [("Pump hours", "South"), ("Rain", "North")]
+    for bad in (["alone"], "what"):
         with pytest.raises(ValueError):
             separate_series(df, names=bad)
     with pytest.raises(ValueError):
