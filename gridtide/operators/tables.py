@@ -86,10 +86,13 @@ def cells_of_tables(cells: DataFrame, tables: str | int | Sequence[str | int]) -
 
 
 def require_tables(cells: DataFrame, tables: str | int | Sequence[str | int]) -> DataFrame:
-    """As :func:`cells_of_tables`, but an error that lists the sheets when none matches."""
+    """As :func:`cells_of_tables`, but an error when none matches, which tells how many sheets
+    there are and lists up to 50 of them."""
     found = cells_of_tables(cells, tables)
     if found.isEmpty():
-        names = cells.select("sheet").distinct().limit(50)
-        listed = ", ".join(row["sheet"] for row in names.collect())
-        raise ValueError(f"no sheets matched tables {tables!r}; available sheets: {listed}")
+        names = cells.select("sheet").distinct()
+        listed = ", ".join(row["sheet"] for row in names.limit(50).collect())
+        raise ValueError(
+            f"no sheets matched tables {tables!r}; {names.count()} available sheets: {listed}"
+        )
     return found

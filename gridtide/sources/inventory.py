@@ -16,7 +16,7 @@ def source_kind(path: Column, root: Column | str) -> Column:
 
 
 def source_inventory(manifest: DataFrame, root: str) -> DataFrame:
-    """kind, file, path, size and modified of each stored file, sorted by path.
+    """kind, file, path, size and modified of each stored file; order is left to the caller.
 
     ``manifest`` has the metadata columns of a binaryFile scan.
     """
@@ -26,7 +26,7 @@ def source_inventory(manifest: DataFrame, root: str) -> DataFrame:
         "path",
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
-    ).orderBy("path")
+    )
 
 
 def stored_files(spark: SparkSession, root: str) -> DataFrame:
