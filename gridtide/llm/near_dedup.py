@@ -11,6 +11,10 @@ a bucket; each is compared with the bucket's centre, the node that meets most ot
 its bands, so a bucket of n gives n - 1 pairs, not n * n. Pairs are verified exactly on their
 shingles. Where a bucket still holds several classes, its members are compared with members of
 other classes, until a round adds no link.
+
+What is then still open is decided exactly (:func:`_open_pairs`): in a bucket of several classes
+every pair of two classes is compared, by products of 0/1 matrices over blocks of members that
+are dealt over tasks. Members of the largest class of a bucket are not compared with each other.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 SLICE = 1 << 15  # elements that throw at once, whatever the length of a text
+BLOCK_ROWS, BLOCK_ITEMS = 256, 1 << 18  # nodes and shingles of a block of a bucket
+COLUMNS = 1 << 12  # shingles of a matrix at once
 SIGNED = "doc long, mark long, node long, n_shingles int, bands array<long>"
 
 
@@ -155,6 +161,137 @@ def _verify(threshold: float, weighted: bool):
     return run
 
 
+def _elements(items: bytes, weighted: bool) -> np.ndarray:
+    """Distinct numbers for a sorted list of shingles; ``weighted``: each repeat is one more, so
+    that common elements are the sum of the lesser counts."""
+    values = np.frombuffer(items, dtype="<u4").astype(np.uint64)
+    new = np.append(True, values[1:] != values[:-1])
+    if not weighted:
+        return values[new]
+    begin = np.flatnonzero(new)
+    return (values << np.uint64(32)) | (np.arange(len(values)) - begin[np.cumsum(new) - 1]).astype(np.uint64)
+
+
+def alike_pairs(
+    items: list[bytes], root: np.ndarray, side: np.ndarray, threshold: float, weighted: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of texts of two classes (``root``) with a similarity of at least ``threshold``:
+    between two sides, or where there is one side only, within it."""
+    sets = [_elements(x, weighted) for x in items]
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), size)
+    shared = times[column] > 1  # an element of one text only is in no overlap
+    number = np.cumsum(times > 1) - 1
+    row, column = row[shared], number[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    first = np.flatnonzero(side == side[0])
+    second = np.flatnonzero(side != side[0])
+    if not len(second):
+        second = first
+    common = np.zeros((len(first), len(second)), dtype=np.int64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        held[row[a:b], column[a:b] - low] = 1
+        common += (held[first] @ held[second].T).astype(np.int64)
+    union = size[first][:, None] + size[second][None, :] - common
+    near = (common / union >= threshold) & (root[first][:, None] != root[second][None, :])
+    i, j = np.nonzero(near)
+    return first[i], second[j]
+
+
+def _decided(threshold: float, weighted: bool):
+    """Of rows sorted by block pair (bucket, low, high): the links of each."""
+
+    def links(rows: list[pa.RecordBatch]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        table = pa.Table.from_batches(rows)
+        key = [table.column(i).to_numpy() for i in range(3)]
+        node, root, side = (table.column(i).to_numpy() for i in (3, 4, 5))
+        new = np.append(True, np.any([k[1:] != k[:-1] for k in key], axis=0))
+        edges = np.append(np.flatnonzero(new), len(node))
+        items, a, b = table.column(6), [], []
+        for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if y - x > 1 and (root[x:y] != root[x]).any():
+                i, j = alike_pairs(
+                    items.slice(x, y - x).to_pylist(), root[x:y], side[x:y], threshold, weighted
+                )
+                a.append(node[x + i])
+                b.append(node[x + j])
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in _with_end(batches):
+            ready = waiting if batch is None else []
+            if batch is not None and batch.num_rows:
+                # the last block pair may go on in the next batch
+                key = [batch.column(i).to_numpy() for i in range(3)]
+                last = np.all([k == k[-1] for k in key], axis=0)
+                at = batch.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
+                if at or (waiting and any(
+                    w.as_py() != b.as_py()
+                    for w, b in ((waiting[-1].column(i)[-1], batch.column(i)[0]) for i in range(3))
+                )):
+                    ready, waiting = [*waiting, batch.slice(0, at)], []
+                waiting.append(batch.slice(at))
+            if ready:
+                a, b = links(ready)
+                if a:
+                    a, b = np.concatenate(a), np.concatenate(b)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+                    )
+
+    return run
+
+
+def _with_end(batches):
+    yield from batches
+    yield None
+
+
+def _open_pairs(of: DataFrame, sets: DataFrame, threshold: float, weighted: bool) -> DataFrame:
+    """(a, b): all links between classes that meet in a bucket. ``of``: (bucket, node, root)."""
+    several = of.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    left = stage(of.join(several.where("x != y").select("bucket"), "bucket"), "open")
+    left = left.join(sets.select("node", F.octet_length("items").alias("n_bytes")), "node")
+    # the largest class of a bucket, and how many blocks it and the others make
+    count = [F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("s")]
+    sizes = left.groupBy("bucket", "root").agg(*count)
+    total = sizes.groupBy("bucket").agg(
+        F.max(F.struct("n", "s", "root")).alias("main"), F.sum("n").alias("n"), F.sum("s").alias("s")
+    )
+
+    def blocks(n, s):
+        return F.ceil(F.greatest(n / BLOCK_ROWS, s / (4 * BLOCK_ITEMS)))
+
+    total = total.select(
+        "bucket", F.col("main.root").alias("main"),
+        blocks(F.col("main.n"), F.col("main.s")).alias("k_main"),
+        blocks(F.col("n") - F.col("main.n"), F.col("s") - F.col("main.s")).alias("k_rest"),
+    )
+    salt = F.xxhash64("node", "bucket")
+    is_main = F.col("root") == F.col("main")
+    dealt = left.join(total, "bucket").select(
+        "bucket", "node", "root",
+        F.when(is_main, F.col("k_rest") + F.pmod(salt, "k_main"))
+        .otherwise(F.pmod(salt, "k_rest")).alias("side"),
+        F.explode(F.sequence(
+            F.lit(0).cast("long"),
+            F.when(is_main, F.col("k_rest")).otherwise(F.col("k_rest") + F.col("k_main")) - 1,
+        )).alias("with"),
+    ).select(
+        "bucket", F.least("side", "with").alias("low"), F.greatest("side", "with").alias("high"),
+        "node", "root", "side",
+    )
+    key = ["bucket", "low", "high"]
+    rows = dealt.join(sets.select("node", "items"), "node").select(*key, "node", "root", "side", "items")
+    rows = rows.repartition(*key).sortWithinPartitions(*key)
+    return stage(rows.mapInArrow(_decided(threshold, weighted), "a long, b long").distinct(), "held")
+
+
 def near_classes(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     threshold: float = SIMILARITY, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
@@ -232,6 +369,9 @@ def near_classes(
         if found.isEmpty():
             break
         tried, links = tried.unionByName(more), links.unionByName(found)
+    found = _open_pairs(of, sets, threshold, weighted)
+    if not found.isEmpty():
+        root = components(links.unionByName(found))
     labelled = signed.join(root, "node", "left").select(
         "doc", "mark", F.when(F.col("node") != 0, F.coalesce("root", "node")).alias("root")
     )

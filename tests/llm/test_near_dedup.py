@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 
+from gridtide.llm import near_dedup
 from gridtide.llm.components import components
 from gridtide.llm.near_dedup import dart_signature, drop_near_copies, near_classes
 
@@ -70,6 +71,43 @@ def test_against_all_pairs(spark, documents, seed):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in classes(rows)})
 
 
+def family(seed, n, values):
+    """Texts of one template: 200 words, ten of them fields; five equal fields are too few."""
+    rng = random.Random(seed)
+    texts = [
+        " ".join(f"f{i}x{rng.randrange(values)}" if i % 20 == 10 else f"w{i}" for i in range(200))
+        for _ in range(n)
+    ]
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("block", [64])
+def test_template_family_against_all_pairs(spark, documents, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", block)
+    rows = family(6, 900, 9)
+    want = classes(rows)
+    got = near_classes(documents(rows).repartition(4)).collect()
+    assert len({c for _, c in want}) > 300  # many classes share the buckets
+    assert sorted((r.doc, r.class_id) for r in got) == want
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+@pytest.mark.parametrize("columns", [7, 4096])
+def test_alike_pairs_against_each_pair(monkeypatch, weighted, columns):
+    monkeypatch.setattr(near_dedup, "COLUMNS", columns)
+    rng = np.random.default_rng(8)
+    items = [np.sort(rng.integers(0, 12, rng.integers(4, 20)).astype("<u4")).tobytes() for _ in range(60)]
+    root, side = rng.integers(0, 20, 60), rng.integers(3, 5, 60)
+    for of in (side, np.zeros(60)):
+        i, j = near_dedup.alike_pairs(items, root, of, 0.6, weighted)
+        want = {
+            (a, b) for a in range(60) for b in range(a)
+            if root[a] != root[b] and (of is not side or of[a] != of[b])
+            and near_dedup.similarity(items[a], items[b], weighted) >= 0.6
+        }
+        assert want and {(max(p), min(p)) for p in zip(i.tolist(), j.tolist())} == want
+
+
 def test_repeated_rows_null_ids_empty_table(spark, documents):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(5, text), (5, text), (5, "another text of its own here"), (None, text), (9, text)]
