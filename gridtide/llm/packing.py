@@ -1,6 +1,9 @@
 """Best-fit packing of token pieces into sequences.
 
-Bounded-space online best fit: a task takes pieces one by one, longest first. Open sequences
+Bounded-space online best fit: a task places pieces one by one and never moves one again. It is
+given its pieces longest first, so the result is that of best fit decreasing with a bounded
+number of open sequences. Special tokens written out in a text are those tokens, as the
+tokenizer's library has it by default. Open sequences
 lie in lists by free space, and a bitset (an integer) has the bit of each free space that some
 open sequence has, so the tightest fit is its lowest bit from the piece's length on. A fixed
 number may be open; beyond that the fullest closes. Pieces are dealt evenly over as many tasks
@@ -35,7 +38,7 @@ def cut(size: int, length: int) -> list[tuple[int, int]]:
 
 def _pieces(path: str, length: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode = encoder(path, plain=False)
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 rows = batch.slice(begin, 500)

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from gridtide.llm import queries_dedup, queries_packing, queries_repeats, queries_scoring
+from gridtide.llm import (
+    queries_dedup,
+    queries_manifest,
+    queries_packing,
+    queries_repeats,
+    queries_scoring,
+)
 
 LLM_QUERIES = {
     "op1_lm_scoring": queries_scoring.op1_lm_scoring,
@@ -15,6 +21,10 @@ LLM_QUERIES = {
     "op8_quality_classifier": queries_scoring.op8_quality_classifier,
     "op9_best_fit_packing": queries_packing.op9_best_fit_packing,
     "op10_html_extraction": queries_scoring.op10_html_extraction,
+    "op13_merkle_manifest": queries_manifest.op13_merkle_manifest,
 }
 #: the others are tested against brute force, held-out accuracy or an exact round trip
-LLM_ORACLE: dict[str, str] = {"op5_url_filter": queries_scoring.OP5_SQL}
+LLM_ORACLE: dict[str, str] = {
+    "op5_url_filter": queries_scoring.OP5_SQL,
+    "op13_merkle_manifest": queries_manifest.OP13_SQL,
+}

@@ -43,20 +43,39 @@ def _ranks(path: str) -> dict[bytes, int] | None:
     return {bytes(letters[c] for c in word): i for word, i in vocab.items()}
 
 
-def encoder(path: str) -> Callable[[str], bytes]:
-    """Text to its ids as little-endian unsigned 32-bit numbers; special tokens in a text are
-    ordinary text.
+def _added(path: str) -> dict[str, int] | None:
+    """Added tokens that are found as they stand in a text; None if some need other rules."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens", [])
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added):
+        return None
+    return {t["content"]: t["id"] for t in added}
+
+
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id of a byte-level file; an added token's are its UTF-8."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    letters = _byte_letters()
+    out = {i: bytes(letters[c] for c in word if c in letters) for word, i in spec["model"]["vocab"].items()}
+    out.update({t["id"]: t["content"].encode() for t in spec.get("added_tokens", [])})
+    return [out.get(i, b"") for i in range(max(out) + 1)]
+
+
+def encoder(path: str, plain: bool = True) -> Callable[[str], bytes]:
+    """Text to its ids as little-endian unsigned 32-bit numbers. ``plain``: the strings of
+    special tokens in a text are ordinary text; else they are those tokens.
 
     The ids are those of the file in ``tokenizers``. Where the file's ids follow its merges,
     ``tiktoken`` computes the same ones faster. A text is split at single spaces, which always
     begin a new part, so that frequent words are encoded once.
     """
-    ranks = _ranks(path)
-    if ranks is None:
+    ranks, added = _ranks(path), _added(path)
+    if ranks is None or (added is None and not plain):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = plain
         return lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     import tiktoken
@@ -80,4 +99,15 @@ def encoder(path: str) -> Callable[[str], bytes]:
             out.append(ids)
         return b"".join(out)
 
-    return run
+    if plain or not added:
+        return run
+    found = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+    single = {content: array("I", [i]).tobytes() for content, i in added.items()}
+
+    def run_special(text: str) -> bytes:
+        if not found.search(text):
+            return run(text)
+        parts = found.split(text)
+        return b"".join(single[x] if x in single else run(x) for x in parts if x)
+
+    return run_special

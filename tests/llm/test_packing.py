@@ -20,15 +20,17 @@ TEXTS = [
 ]
 
 
-def reference():
+def reference(plain=False):
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
+    if plain:
+        tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_ids_are_those_of_the_file():
-    ids, encode, rng = reference(), encoder(tokenizer_path()), random.Random(1)
-    parts = [" ", "  ", "\n", "the", "Éa", "'s", "12", "!?", "\t", "世", " ", "\x1d", "_", "²"]
+@pytest.mark.parametrize("plain", [True, False])
+def test_ids_are_those_of_the_file(plain):
+    ids, encode, rng = reference(plain), encoder(tokenizer_path(), plain), random.Random(1)
+    parts = ["<|endoftext|>", " ", "  ", "\n", "the", "Éa", "'s", "12", "!?", "\t", "世", " ", "\x1d", "_", "²"]
     texts = TEXTS + ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(400)]
     for text in texts:
         assert np.frombuffer(encode(text), dtype="<u4").tolist() == ids(text), repr(text)
