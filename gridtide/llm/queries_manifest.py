@@ -4,7 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridtide.llm.alignment import align_documents
+from gridtide.llm.curve_packing import pack_along_curve
 from gridtide.llm.merkle import documents_manifest
+from gridtide.llm.queries_packing import tokenizer_path
+
+
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return align_documents(docs, tokenizer_path(), piece_model_path()).withColumnRenamed("doc", "doc_id")
+
+
+def op12_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return pack_along_curve(docs, tokenizer_path()).withColumnRenamed("doc", "doc_id")
 
 
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,10 +21,14 @@ LLM_QUERIES = {
     "op8_quality_classifier": queries_scoring.op8_quality_classifier,
     "op9_best_fit_packing": queries_packing.op9_best_fit_packing,
     "op10_html_extraction": queries_scoring.op10_html_extraction,
+    "op11_cross_tokenizer_alignment": queries_manifest.op11_cross_tokenizer_alignment,
+    "op12_curve_packing": queries_manifest.op12_curve_packing,
     "op13_merkle_manifest": queries_manifest.op13_merkle_manifest,
 }
 #: the others are tested against brute force, held-out accuracy or an exact round trip
 LLM_ORACLE: dict[str, str] = {
     "op5_url_filter": queries_scoring.OP5_SQL,
+    "op11_cross_tokenizer_alignment": queries_manifest.op11_cross_tokenizer_alignment,
+    "op12_curve_packing": queries_manifest.op12_curve_packing,
     "op13_merkle_manifest": queries_manifest.OP13_SQL,
 }

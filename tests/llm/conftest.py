@@ -7,7 +7,7 @@ import pytest
 def documents(spark):
     def make(rows, extra=()):
         names = ["doc_id", "text", *extra]
-        kinds = ", ".join(f"{n} {'long' if n == 'doc_id' else 'string'}" for n in names)
+        kinds = ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string'}" for n in names)
         return spark.createDataFrame(rows, kinds)
 
     return make
