@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from gridtide.functions.releases import release_key, release_month
 from gridtide.functions.text import strip
@@ -246,27 +246,41 @@ def release_files(index: DataFrame, requests: DataFrame) -> DataFrame:
 def nearest_releases(requests: DataFrame, releases: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` releases of a catalogue nearest to each requested date, ties earlier first.
 
-    Requests and releases are reduced to distinct (catalogue, date) pairs, so a catalogue
-    contributes one array of days, bounded by the calendar whatever its number of files.
+    An as-of join without a join: days of releases and of requests are sorted together once.
+    A release day carries the ``k`` days up to it and the ``k`` days after it; a request takes
+    what the last release day up to it carries (the first of all, if there is none), which
+    holds its ``k`` nearest. Both sides are reduced to distinct days, so the days of a
+    catalogue are bounded by the calendar, and work per request does not depend on them.
     """
-    days = (
-        releases.select("cat_no", F.col("release_date").cast("date").alias("day")).distinct()
-        .groupBy("cat_no")
-        .agg(F.collect_list("day").alias("days_of_release"))
+    days = releases.select("cat_no", F.col("release_date").cast("date").alias("day")).distinct()
+    order = W.partitionBy("cat_no").orderBy("day")
+    around = [F.lag("day", i).over(order) for i in range(1, k)]
+    around += [F.col("day"), *(F.lead("day", i).over(order) for i in range(1, k + 1))]
+    known = days.where("cat_no is not null and day is not null").select(
+        "cat_no", "day", F.array_compact(F.array(*around)).alias("near"), F.lit(False).alias("asked")
     )
-    asked = requests.select("cat_no", F.col("requested").cast("date")).distinct()
+    asked = requests.select("cat_no", F.col("requested").cast("date").alias("day")).distinct()
+    asked = asked.where("cat_no is not null and day is not null")
+    both = known.unionByName(
+        asked.select("cat_no", "day", F.lit(None).cast("array<date>").alias("near"), F.lit(True).alias("asked"))
+    )
+    # at a day that is both, the release comes first
+    merged = W.partitionBy("cat_no").orderBy("day", "asked")
+    before = F.last("near", ignorenulls=True).over(merged.rowsBetween(W.unboundedPreceding, 0))
+    whole = merged.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    first = F.first("near", ignorenulls=True).over(whole)
+    answered = both.withColumn("near", F.coalesce(before, first)).where("asked")
     ranked = F.array_sort(
         F.transform(
-            "days_of_release",
+            "near",
             lambda d: F.named_struct(
-                F.lit("days"), F.abs(F.datediff(d, F.col("requested"))), F.lit("release_date"), d
+                F.lit("days"), F.abs(F.datediff(d, F.col("day"))), F.lit("release_date"), d
             ),
         )
     )
-    near = asked.join(days, "cat_no").select(
-        "cat_no", "requested", F.posexplode(F.slice(ranked, 1, k)).alias("pos", "near")
-    )
-    return near.select(
+    return answered.select(
+        "cat_no", F.col("day").alias("requested"), F.posexplode(F.slice(ranked, 1, k)).alias("pos", "hit")
+    ).select(
         "cat_no", "requested", (F.col("pos") + 1).alias("rank"),
-        F.col("near.release_date").alias("release_date"), F.col("near.days").alias("days"),
+        F.col("hit.release_date").alias("release_date"), F.col("hit.days").alias("days"),
     )

@@ -124,6 +124,20 @@ GENERIC = (
 
 TABLE_NO = r"(?i)\btables?\s*([0-9]+[a-z]?)\b"
 
+# Workbooks of plans/books.py: orders by book and sheet, and which sheets can be read.
+BOOKS = """
+WITH lines AS (
+  SELECT o.*, o_orderkey // 500 AS book, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS sheet_no,
+         row_number() OVER (PARTITION BY o_orderkey // 500, o_orderstatus ORDER BY o_orderkey) AS line
+  FROM orders o),
+all_sheets AS (
+  SELECT book, CAST(s.sheet_no AS INTEGER) AS sheet_no, 'Status ' || s.status AS sheet,
+         '/lake/orders-' || book || '.xlsx' AS source_file, book % 11 = 5 AS no_file,
+         (s.status = 'O' AND book % 5 = 4) OR (s.status = 'F' AND book % 7 = 2) AS broken,
+         (SELECT count(*) FROM lines l WHERE l.book = b.book AND l.sheet_no = s.sheet_no) AS n
+  FROM (SELECT DISTINCT book FROM lines) b, (VALUES (1, 'F'), (2, 'O'), (3, 'P')) s(sheet_no, status)),
+sheets AS (SELECT *, CASE WHEN n > 0 THEN 4 * (n + 1) ELSE 0 END AS n_cells FROM all_sheets WHERE NOT no_file)"""
+
 ORACLE: dict[str, str] = {
     "tidy_time_down": GRID + """
 SELECT 'lineitem' AS source_file, 'Table ' || no AS sheet, no AS sheet_no, m AS date,
@@ -529,4 +543,39 @@ SELECT doc_id, '/lake/' || source || '/' || doc_id || '.xlsx' AS path,
             || 'cells' || chr(10) || '{"tables": null}') AS fingerprint
 FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)""",
+    "workbook_cells": BOOKS + """,
+good AS (SELECT * FROM sheets WHERE NOT broken AND n > 0),
+body AS (
+  SELECT source_file, g.sheet_no, g.sheet, line + 1 AS row_no, c.col_no, l.*
+  FROM good g JOIN lines l ON l.book = g.book AND l.sheet_no = g.sheet_no, (VALUES (1), (2), (3), (4)) c(col_no))
+SELECT source_file, sheet_no, sheet, CAST(1 AS BIGINT) AS row_no, CAST(h.col_no AS INTEGER) AS col_no, 's' AS kind,
+       h.text, CAST(NULL AS DOUBLE) AS num, CAST(NULL AS DATE) AS date
+FROM good, (VALUES (1, 'Order'), (2, 'Priority'), (3, 'Day'), (4, 'Price')) h(col_no, text)
+UNION ALL
+SELECT source_file, sheet_no, sheet, row_no, CAST(col_no AS INTEGER),
+       CASE col_no WHEN 2 THEN 's' WHEN 3 THEN 'd' ELSE 'n' END,
+       CASE WHEN col_no = 2 THEN o_orderpriority END,
+       CASE col_no WHEN 1 THEN CAST(o_orderkey AS DOUBLE) WHEN 4 THEN o_totalprice
+            WHEN 3 THEN CAST(date_diff('day', DATE '1899-12-30', CAST(o_orderdate AS DATE)) AS DOUBLE) END,
+       CASE WHEN col_no = 3 THEN CAST(o_orderdate AS DATE) END
+FROM body""",
+    "workbook_sheets": BOOKS + """
+SELECT source_file, sheet_no, sheet, CASE WHEN NOT broken THEN n_cells END AS n_cells, broken AS is_broken
+FROM sheets
+UNION ALL
+SELECT DISTINCT source_file, CAST(NULL AS INTEGER), NULL, NULL, true FROM all_sheets WHERE no_file""",
+    "workbook_tables": BOOKS + """
+SELECT source_file, sheet_no, sheet, n_cells FROM sheets WHERE sheet = 'Status P' AND n > 0""",
+    "sheet_names": BOOKS + """
+SELECT source_file, sheet_no, sheet FROM sheets""",
+    "ingest_changed": BOOKS + """,
+totals AS (
+  SELECT source_file, round(sum(o_totalprice) * CASE WHEN any_value(l.book) % 3 = 0 THEN 2 ELSE 1 END, 2) AS total
+  FROM lines l JOIN sheets s ON s.book = l.book AND s.sheet_no = l.sheet_no WHERE NOT broken GROUP BY source_file)
+SELECT a.source_file AS path, CASE WHEN any_value(a.book) % 3 = 0 THEN 'second' ELSE 'first' END AS run,
+       count(*) FILTER (NOT a.no_file AND NOT a.broken) AS n_sheets,
+       CAST(coalesce(sum(s.n_cells) FILTER (NOT a.broken), 0) AS BIGINT) AS n_cells,
+       CASE WHEN bool_or(a.no_file) THEN 1 ELSE count(*) FILTER (a.broken) END AS n_errors, any_value(total) AS total
+FROM all_sheets a LEFT JOIN sheets s USING (source_file, sheet_no) LEFT JOIN totals t USING (source_file)
+GROUP BY a.source_file""",
 }

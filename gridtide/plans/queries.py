@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,12 +24,13 @@ from gridtide.operators import catalogue, cubes, discovery, sdmx, series, timese
 from gridtide.operators.context import looks_like_table_title, sheet_context
 from gridtide.operators.sheets import infer_frequency
 from gridtide.operators.tables import match_tables
-from gridtide.plans import inputs
+from gridtide.plans import books, inputs
 from gridtide.plans.inputs import BASE_URL, month_of, stored_cells, table, wide_table
 from gridtide.sources import pages as page_source
 from gridtide.sources.inventory import source_inventory
 from gridtide.sources.wide import cells_from_wide
-from gridtide.staging import stage
+from gridtide.sources.workbooks import parse_workbooks, sheets_of
+from gridtide.staging import stage, staging_root
 from gridtide.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -745,6 +747,57 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.pending_sources(current, ingested).select("doc_id", "path", "fingerprint")
 
 
+def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of all workbooks; of a broken sheet nothing."""
+    cells, _ = parse_workbooks(stage(books.order_books(spark, sf_dir), "landing"))
+    # the text of a number is as its writer spelt it
+    text = F.when(F.col("kind") == "s", F.col("text")).alias("text")
+    return cells.select(
+        "source_file", "sheet_no", "sheet", "row_no", "col_no", "kind", text, "num", "date"
+    )
+
+
+def workbook_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per sheet that can be opened, one per file that can't."""
+    _, sheets = parse_workbooks(stage(books.order_books(spark, sf_dir), "landing"))
+    return sheets.select(
+        "source_file", "sheet_no", "sheet", "n_cells", F.col("error").isNotNull().alias("is_broken")
+    )
+
+
+def workbook_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of one table of each workbook; other sheets are not parsed."""
+    cells, _ = parse_workbooks(stage(books.order_books(spark, sf_dir), "landing"), tables=["status p"])
+    return cells.groupBy("source_file", "sheet_no", "sheet").agg(F.count(F.lit(1)).alias("n_cells"))
+
+
+def sheet_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sheets_of(stage(books.order_books(spark, sf_dir), "landing"))
+
+
+def ingest_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings of the same workbooks, every third one changed in the second: which run read
+    what is stored now, and what it holds."""
+    store = f"{staging_root(spark)}/gridtide/ingest-{uuid.uuid4().hex}"
+    changed = F.when(F.col("book") % 3 == 0, 2).otherwise(1)
+    listing = None
+    for run, version in (("first", F.lit(1)), ("second", changed)):
+        landed = stage(books.order_books(spark, sf_dir, version), "landing")
+
+        def contents(paths: list[str], landed: DataFrame = landed) -> DataFrame:
+            return landed.where(F.col("path").isin(paths)).select("path", "content")
+
+        listing = landed.drop("content")
+        incremental.ingest(spark, listing, contents, store, run=run)
+    files = incremental.current_files(spark, listing, store)
+    total = incremental.current_cells(spark, listing, store).where("col_no = 4").groupBy(
+        F.col("source_file").alias("path")
+    ).agg(F.sum("num").alias("total"))
+    return files.join(total, "path", "left").select(
+        "path", "run", "n_sheets", "n_cells", "n_errors", F.round("total", 2).alias("total")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "tidy_time_down": tidy_time_down,
     "tidy_time_across": tidy_time_across,
@@ -800,4 +853,9 @@ QUERIES: dict[str, Query] = {
     "union_by_name": union_by_name,
     "source_inventory": source_files,
     "incremental_ingest": incremental_ingest,
+    "workbook_cells": workbook_cells,
+    "workbook_sheets": workbook_sheets,
+    "workbook_tables": workbook_tables,
+    "sheet_names": sheet_names,
+    "ingest_changed": ingest_changed,
 }

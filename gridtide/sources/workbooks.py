@@ -1,4 +1,19 @@
-"""Workbook files to the long ``cells`` table."""
+"""Workbook files to the long ``cells`` table.
+
+Whole sheets or none. A workbook is read as three relations:
+
+* sheet rows: the XML of each sheet, spread over the cluster and parsed there into numbered
+  cells, followed by a *trailer*, one row per sheet with the number of its cells or the error
+  that stopped it;
+* the dictionary of shared strings, each written once per file whatever its number of sheets,
+  followed by a trailer of its own;
+* ``sheets``: the trailers of both put together, one row per sheet or broken file.
+
+Cells refer to shared strings by number until they are joined with the dictionary. A sheet
+whose trailer carries an error, or that refers to a string its file doesn't have, is left out
+as a whole. Cells and their trailer are written by one task, so neither is there without the
+other.
+"""
 
 from __future__ import annotations
 
@@ -19,6 +34,7 @@ from gridtide.functions.text import clean_text
 from gridtide.operators.sheets import with_periods
 from gridtide.operators.tables import cells_of_tables
 from gridtide.schemas import CELLS
+from gridtide.staging import stage
 
 # Functions of this module travel to the executors whole: the package need not be there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -26,13 +42,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORKBOOK_NAME = r"(?i)\.xlsx?$"
 ANY_WORKBOOK = "*.[xX][lL][sS]*"
 SHEET_PARTS = (
-    "source_file STRING, sheet_no INT, sheet STRING, xml BINARY, strings BINARY, "
-    "date_styles ARRAY<INT>, from_1904 BOOLEAN, error STRING"
+    "source_file STRING, sheet_no INT, sheet STRING, xml BINARY, date_styles ARRAY<INT>, "
+    "from_1904 BOOLEAN, error STRING"
 )
+# A cell, or (without row_no) the trailer of a sheet: cells, highest string number, error.
 RAW_CELLS = (
     "source_file STRING, sheet_no INT, sheet STRING, row_no BIGINT, col_no INT, kind STRING, "
-    "text STRING, num DOUBLE, date DATE, error STRING"
+    "text STRING, num DOUBLE, date DATE, string_no BIGINT, n_cells BIGINT, max_string BIGINT, "
+    "error STRING"
 )
+# A shared string, or (without string_no) the trailer of a dictionary: strings, error.
+STRINGS = "source_file STRING, string_no BIGINT, text STRING, n_strings BIGINT, error STRING"
 # Built-in number formats that show a date or time.
 DATE_FORMATS = set(range(14, 23)) | set(range(27, 37)) | set(range(45, 48)) | set(range(50, 59))
 BATCH = 50_000
@@ -79,7 +99,6 @@ def _sheet_parts(path: str, content: bytes) -> Iterator[tuple]:
         relations = ElementTree.fromstring(archive.read("xl/_rels/workbook.xml.rels"))
         targets = {r.get("Id"): r.get("Target") for r in relations}
         names = set(archive.namelist())
-        strings = archive.read("xl/sharedStrings.xml") if "xl/sharedStrings.xml" in names else b""
         styles = _date_styles(archive)
         properties = [p for p in book if _tag(p) == "workbookPr"]
         from_1904 = any(p.get("date1904") in ("1", "true") for p in properties)
@@ -91,19 +110,22 @@ def _sheet_parts(path: str, content: bytes) -> Iterator[tuple]:
             if part not in names:
                 continue
             xml = archive.read(part)
-            shared = strings if b't="s"' in xml else b""
-            yield path, number, sheet.get("name"), xml, shared, styles, from_1904, None
+            yield path, number, sheet.get("name"), xml, styles, from_1904, None
+
+
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
 
 
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [field.split()[0] for field in SHEET_PARTS.split(", ")]
+    columns = _names(SHEET_PARTS)
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
                 for row in _sheet_parts(path, content):
                     yield pd.DataFrame([row], columns=columns)
             except Exception as error:  # a broken file is a row, not a lost job
-                row = (path, None, None, None, None, None, None, f"{path}: {error}")
+                row = (path, None, None, None, None, None, f"{path}: {error}")
                 yield pd.DataFrame([row], columns=columns)
 
 
@@ -129,37 +151,62 @@ def _joined_text(element) -> str:
     )
 
 
-def _typed(cell, shared: list[str], date_styles: set[int], from_1904: bool):
-    """(kind, text, num, date) of a cell element, or None when it is empty."""
+def _strings_of(content: bytes) -> Iterator[str]:
+    """Shared strings of a workbook in order."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        if "xl/sharedStrings.xml" not in archive.namelist():
+            return
+        with archive.open("xl/sharedStrings.xml") as part:
+            for _, element in ElementTree.iterparse(part):
+                if _tag(element) == "si":
+                    yield _joined_text(element)
+                    element.clear()
+
+
+def _dictionary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = _names(STRINGS)
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            rows: list[tuple] = []
+            number, problem = 0, None
+            try:
+                for text in _strings_of(content):
+                    rows.append((path, number, text, None, None))
+                    number += 1
+                    if len(rows) == BATCH:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows = []
+            except Exception as error:
+                problem = f"{path}: {error}"
+            rows.append((path, None, None, None if problem else number, problem))
+            yield pd.DataFrame(rows, columns=columns)
+
+
+def _typed(cell, date_styles: set[int], from_1904: bool):
+    """(kind, text, num, date, string number) of a cell element, or None when it is empty."""
     kind = cell.get("t", "n")
     value = next((child.text for child in cell if _tag(child) == "v"), None)
     if kind == "inlineStr":
-        return "s", "".join(_joined_text(i) for i in _children(cell, "is")), None, None
+        return "s", "".join(_joined_text(i) for i in _children(cell, "is")), None, None, None
     if value is None or kind == "e":
         return None
     if kind == "s":
-        return "s", shared[int(value)], None, None
+        return "s", None, None, None, int(value)
     if kind == "str":
-        return "s", value, None, None
+        return "s", value, None, None, None
     if kind == "b":
-        return "b", "true" if value in ("1", "true") else "false", None, None
+        return "b", "true" if value in ("1", "true") else "false", None, None, None
     if kind == "d":
-        return "d", value[:10], None, datetime.date.fromisoformat(value[:10])
+        return "d", value[:10], None, datetime.date.fromisoformat(value[:10]), None
     number = float(value)
     if int(cell.get("s", 0)) in date_styles and 1 <= number < 2_958_466:
         days = int(number) + (_DAYS_1904 if from_1904 else 0)
         date = _EPOCH + datetime.timedelta(days=days)
-        return "d", date.isoformat(), number, date
-    return "n", value, number, None
+        return "d", date.isoformat(), number, date, None
+    return "n", value, number, None, None
 
 
 def _sheet_cells(row) -> Iterator[tuple]:
-    shared: list[str] = []
-    if row.strings:
-        for _, element in ElementTree.iterparse(io.BytesIO(row.strings)):
-            if _tag(element) == "si":
-                shared.append(_joined_text(element))
-                element.clear()
     styles = set(row.date_styles if row.date_styles is not None else [])
     top, left, last_row = 1, 1, 0
     events = ElementTree.iterparse(io.BytesIO(row.xml), events=("start", "end"))
@@ -175,47 +222,57 @@ def _sheet_cells(row) -> Iterator[tuple]:
         elif event == "end" and tag == "c":
             reference = element.get("r")
             last_col = _column_number(reference) if reference else last_col + 1
-            typed = _typed(element, shared, styles, bool(row.from_1904))
-            if typed is not None and typed[1].strip():
+            typed = _typed(element, styles, bool(row.from_1904))
+            if typed is not None and (typed[1] is None or typed[1].strip()):
                 yield last_row - top + 1, last_col - left + 1, *typed
         elif event == "end" and tag == "row":
             element.clear()
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [field.split()[0] for field in RAW_CELLS.split(", ")]
+    columns = _names(RAW_CELLS)
 
-    def frame(row, cells, error=None):
-        if error is not None:
-            cells = [(None,) * 6]
-        rows = [(row.source_file, row.sheet_no, row.sheet, *c, error) for c in cells]
+    def frame(row, cells):
+        rows = [(row.source_file, row.sheet_no, row.sheet, *c, None, None, None) for c in cells]
         return pd.DataFrame(rows, columns=columns)
 
+    def trailer(row, count, highest, error):
+        values = (row.source_file, row.sheet_no, row.sheet, *(None,) * 7, count, highest, error)
+        return pd.DataFrame([values], columns=columns)
+
     for batch in batches:
         for row in batch.itertuples():
             if row.error:
-                yield frame(row, [], row.error)
+                yield trailer(row, None, None, row.error)
                 continue
             pending: list[tuple] = []
+            count, highest, problem = 0, None, None
             try:
                 for cell in _sheet_cells(row):
                     pending.append(cell)
+                    count += 1
+                    if cell[-1] is not None:
+                        highest = cell[-1] if highest is None else max(highest, cell[-1])
                     if len(pending) == BATCH:
                         yield frame(row, pending)
                         pending = []
             except Exception as error:
-                yield frame(row, [], f"{row.source_file} [{row.sheet}]: {error}")
-            yield frame(row, pending)
+                problem = f"{row.source_file} [{row.sheet}]: {error}"
+            if problem:
+                yield trailer(row, None, None, problem)
+                continue
+            if pending:
+                yield frame(row, pending)
+            yield trailer(row, count, highest, None)
 
 
-def workbook_files(
-    spark: SparkSession, paths: str | Sequence[str], recursive: bool = False
-) -> DataFrame:
-    """Workbook files below the given files and directories (binaryFile rows).
+def _escaped(path: str) -> str:
+    """A path whose name holds no pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
-    A directory also contributes its ``workbooks`` folder; other subfolders only when
-    ``recursive``. Raises when a path does not exist or nothing is found.
-    """
+
+def _located(spark: SparkSession, paths: str | Sequence[str], recursive: bool) -> tuple[list[str], bool]:
+    """What to load, each file once: files and, when ``recursive``, whole folders."""
     wanted = [paths] if isinstance(paths, str) else list(paths)
     if not wanted:
         raise ValueError("no workbook paths were supplied")
@@ -223,53 +280,142 @@ def workbook_files(
         raise ValueError("workbook paths must be strings")
     hadoop = spark._jvm.org.apache.hadoop.fs
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    location = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
-    inside = F.lit(False)
+    files: set[str] = set()
+    folders: set[str] = set()
     for path in wanted:
         target = hadoop.Path(path)
         fs = target.getFileSystem(conf)
         if not fs.exists(target):
             raise ValueError(f"path does not exist: {path}")
-        root = re.sub("^file:/+", "file:/", fs.makeQualified(target).toUri().toString()).rstrip("/")
+        root = fs.makeQualified(target).toString().rstrip("/")
         if fs.getFileStatus(target).isFile():
             if not re.search(WORKBOOK_NAME, path):
                 raise ValueError(f"unsupported file {path}; expected .xls or .xlsx")
-            inside = inside | (location == root)
+            files.add(root)
         elif recursive:
-            inside = inside | location.startswith(root + "/")
-        else:
-            name = F.substring_index(location, "/", -1)
+            folders.add(root)
+        else:  # only these two folders are listed, whatever lies below
             for folder in (root, root + "/workbooks"):
-                inside = inside | (location == F.concat(F.lit(folder + "/"), name))
-    # Spark lists the folders itself, in parallel where they are many; the name pattern
-    # prunes that listing, so files other than workbooks are never opened.
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    found = reader.option("pathGlobFilter", ANY_WORKBOOK).load(wanted)
-    found = found.where(inside).where(F.col("path").rlike(WORKBOOK_NAME))
-    if found.select("path").isEmpty():
+                found = fs.globStatus(hadoop.Path(f"{_escaped(folder)}/{ANY_WORKBOOK}")) or []
+                files.update(f.getPath().toString() for f in found if f.isFile())
+    folders = {f for f in folders if not any(f.startswith(other + "/") for other in folders)}
+    files = {f for f in files if re.search(WORKBOOK_NAME, f) and not any(f.startswith(d + "/") for d in folders)}
+    return sorted(map(_escaped, files | folders)), bool(folders)
+
+
+def open_workbooks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """binaryFile rows of exactly the given files."""
+    return spark.read.format("binaryFile").load([_escaped(path) for path in paths])
+
+
+def workbook_files(
+    spark: SparkSession, paths: str | Sequence[str], recursive: bool = False
+) -> DataFrame:
+    """Workbook files below the given files and directories (binaryFile rows), each once.
+
+    A directory also contributes its ``workbooks`` folder; other subfolders only when
+    ``recursive``. Raises when a path does not exist or nothing is found. Contents are read
+    only where ``content`` is used.
+    """
+    located, recursive_found = _located(spark, paths, recursive)
+    found = None
+    if located:
+        # Spark lists folders itself, in parallel where they are many; the name pattern prunes
+        # that listing, so files other than workbooks are never opened.
+        reader = spark.read.format("binaryFile")
+        if recursive_found:
+            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", ANY_WORKBOOK)
+        found = reader.load(located).where(F.col("path").rlike(WORKBOOK_NAME))
+    if found is None or found.select("path").isEmpty():
         hint = "" if recursive else "; use recursive=True to search subfolders"
         raise ValueError(f"no .xls or .xlsx workbooks found{hint}")
-    # A file may be named twice, directly and through its folder.
-    return found if len(wanted) == 1 else found.dropDuplicates(["path"])
+    return found
+
+
+def sheet_rows(
+    files: DataFrame, tables: str | int | Sequence[str | int] | None = None
+) -> DataFrame:
+    """One row per sheet of (path, content) rows, not parsed yet; broken files give their error."""
+    parts = files.select("path", "content").mapInPandas(_unzip, SHEET_PARTS)
+    if tables is None:
+        return parts
+    broken = parts.where(F.col("error").isNotNull())
+    return cells_of_tables(parts.where(F.col("error").isNull()), tables).unionByName(broken)
 
 
-def cells_of_files(
+def raw_cells(
     files: DataFrame, tables: str | int | Sequence[str | int] | None = None
 ) -> DataFrame:
-    """Typed cells (plus ``error``) of binaryFile rows.
+    """Numbered cells and trailers of (path, content) rows.
 
     Files are unzipped to one row per sheet first; sheets that were not asked for are
     dropped there, the rest is spread by sheet and parsed, so a workbook with many sheets
     is not one task and an unwanted sheet is never parsed.
     """
-    parts = files.select("path", "content").mapInPandas(_unzip, SHEET_PARTS)
-    if tables is not None:
-        broken = parts.where(F.col("error").isNotNull())
-        parts = cells_of_tables(parts.where(F.col("error").isNull()), tables).unionByName(broken)
-    spread = parts.repartition("source_file", "sheet_no")
+    spread = sheet_rows(files, tables).repartition("source_file", "sheet_no")
     return spread.mapInPandas(_parse, RAW_CELLS)
 
 
+def shared_strings(files: DataFrame) -> DataFrame:
+    """Dictionaries and their trailers of (path, content) rows."""
+    return files.select("path", "content").mapInPandas(_dictionary, STRINGS)
+
+
+def sheet_trailers(raw: DataFrame, strings: DataFrame) -> DataFrame:
+    """One row per sheet or broken file: source_file, sheet_no, sheet, n_cells, error."""
+    own = raw.where(F.col("row_no").isNull())
+    books = strings.where(F.col("string_no").isNull()).select(
+        "source_file", "n_strings", F.col("error").alias("strings_error")
+    )
+    highest = F.col("max_string")
+    missing = F.concat_ws(
+        "", "source_file", F.lit(" ["), "sheet", F.lit("]: no shared string "), highest.cast("string")
+    )
+    error = F.coalesce(
+        "error",
+        F.when(highest.isNotNull(), F.col("strings_error")),
+        F.when(highest >= F.coalesce("n_strings", F.lit(0)), missing),
+    )
+    return own.join(books, "source_file", "left").select(
+        "source_file", "sheet_no", "sheet",
+        F.when(error.isNull(), F.col("n_cells")).alias("n_cells"), error.alias("error"),
+    )
+
+
+def whole_sheets(raw: DataFrame, strings: DataFrame, sheets: DataFrame) -> DataFrame:
+    """The cells of all sheets without an error, shared strings filled in.
+
+    Sheets with an error are few, so an anti-join on them moves no cells; only cells that refer
+    to a string are joined with the dictionary.
+    """
+    bad = sheets.where(F.col("error").isNotNull() & F.col("sheet_no").isNotNull())
+    cells = raw.where(F.col("row_no").isNotNull()).join(
+        bad.select("source_file", "sheet_no"), ["source_file", "sheet_no"], "left_anti"
+    )
+    texts = strings.where(F.col("string_no").isNotNull()).select(
+        "source_file", "string_no", F.col("text").alias("shared")
+    )
+    plain = cells.where(F.col("string_no").isNull()).select(*CELLS.names)
+    numbered = cells.where(F.col("string_no").isNotNull()).drop("text")
+    referring = numbered.join(texts, ["source_file", "string_no"]).withColumnRenamed("shared", "text")
+    found = plain.unionByName(referring.select(*CELLS.names))
+    return found.where(clean_text(F.col("text")).isNotNull())
+
+
+def parse_workbooks(
+    files: DataFrame, tables: str | int | Sequence[str | int] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Cells of whole sheets, and one row per sheet with the number of its cells or its error.
+
+    Sheets and dictionaries are parsed once and written to the staging folder; a file without
+    sheets has no row in either.
+    """
+    raw = stage(raw_cells(files, tables), "raw-cells")
+    strings = stage(shared_strings(files), "shared-strings")
+    sheets = sheet_trailers(raw, strings)
+    return whole_sheets(raw, strings, sheets), sheets
+
+
 def read_cells(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -279,34 +425,34 @@ def read_cells(
 ) -> DataFrame:
     """The ``cells`` table of workbooks, with parsed periods; best written to Parquet.
 
-    ``mode="permissive"`` leaves broken files and sheets out (see :func:`read_errors`);
-    "failfast" fails the job with the path and the reason.
+    ``mode="permissive"`` leaves broken files and sheets out as a whole (see
+    :func:`read_errors`); "failfast" raises with the path and the reason.
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError(f"unknown mode {mode!r}; expected failfast or permissive")
-    cells = cells_of_files(workbook_files(spark, paths, recursive), tables)
+    cells, sheets = parse_workbooks(workbook_files(spark, paths, recursive), tables)
     if mode == "failfast":
-        message = F.concat(F.lit("failed to read workbook "), F.col("error"))
-        healthy = F.when(F.col("error").isNotNull(), F.raise_error(message)).otherwise(F.lit(True))
-        cells = cells.where(healthy)
-    else:
-        cells = cells.where(F.col("error").isNull())
-    filled = clean_text(F.col("text")).isNotNull()
-    return with_periods(cells.select(*CELLS.names).where(filled))
+        broken = sheets.where(F.col("error").isNotNull()).select("error").first()
+        if broken is not None:
+            raise ValueError(f"failed to read workbook {broken['error']}")
+    return with_periods(cells)
 
 
 def read_errors(
     spark: SparkSession, paths: str | Sequence[str], recursive: bool = False
 ) -> DataFrame:
     """Files and sheets that cannot be read, with the reason."""
-    cells = cells_of_files(workbook_files(spark, paths, recursive))
-    return cells.where(F.col("error").isNotNull()).select("source_file", "sheet", "error")
+    _, sheets = parse_workbooks(workbook_files(spark, paths, recursive))
+    return sheets.where(F.col("error").isNotNull()).select("source_file", "sheet", "error")
+
+
+def sheets_of(files: DataFrame) -> DataFrame:
+    """Sheets of (path, content) rows in order, without parsing them."""
+    return sheet_rows(files).where(F.col("error").isNull()).select("source_file", "sheet_no", "sheet")
 
 
 def sheet_names(
     spark: SparkSession, paths: str | Sequence[str], recursive: bool = False
 ) -> DataFrame:
     """Sheets of workbooks in order, without parsing them."""
-    files = workbook_files(spark, paths, recursive)
-    parts = files.select("path", "content").mapInPandas(_unzip, SHEET_PARTS)
-    return parts.where(F.col("error").isNull()).select("source_file", "sheet_no", "sheet")
+    return sheets_of(workbook_files(spark, paths, recursive))

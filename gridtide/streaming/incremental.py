@@ -1,23 +1,47 @@
-"""Ingest only what changed: fingerprints, anti-join, appended Parquet.
+"""Ingest only what changed: fingerprints, anti-join, contents of pending files only.
 
 A stored result is reused while the source (path, size, time) and the way it is read
 (parser version, kind, options) stay the same. A changed source gets a new fingerprint;
 what was stored for the old one stays in place.
+
+Two steps, two scans. The first lists metadata only and is anti-joined with the manifest, a
+table of its own with one row per ingested file. The second opens just the pending paths, some
+at a time: a batch of files is parsed, its cells are written to a folder of their own, and only
+then are its manifest rows appended. A batch that dies before that is not in the manifest: its
+folder is never read, and its files are pending again. Files without cells and broken files
+have manifest rows too, so they are not tried again until they change.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+import time
+import uuid
+from collections.abc import Callable, Iterator, Mapping
+from itertools import batched
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from gridtide.operators.sheets import with_periods
 from gridtide.schemas import CELLS
-from gridtide.sources.workbooks import cells_of_files, workbook_files
+from gridtide.sources.workbooks import open_workbooks, parse_workbooks, workbook_files
+from gridtide.staging import stage
 
 PARSER_VERSION = "1"
 PACKAGE_VERSION = "0.1.0"
+# Files opened together: bounds what the driver names in one scan and what a crash costs.
+BATCH_FILES = 5000
+SOURCE = "path STRING, length BIGINT, modificationTime TIMESTAMP, fingerprint STRING"
+# One row per ingested file: run (the call that read it), batch (folder of its cells), place in
+# time, number of sheets and cells, first error.
+MANIFEST = (
+    "fingerprint STRING, path STRING, length BIGINT, modificationTime TIMESTAMP, run STRING, "
+    "batch STRING, committed BIGINT, n_sheets BIGINT, n_cells BIGINT, n_errors BIGINT, error STRING"
+)
+STORED = (
+    "source_file STRING, sheet_no INT, sheet STRING, row_no BIGINT, col_no INT, kind STRING, "
+    "text STRING, num DOUBLE, date DATE, fingerprint STRING"
+)
 
 
 def options_text(options: Mapping[str, object]) -> str:
@@ -49,47 +73,114 @@ def pending_sources(manifest: DataFrame, ingested: DataFrame) -> DataFrame:
     return manifest.join(ingested.select("fingerprint"), "fingerprint", "left_anti")
 
 
-def ingest_workbooks(
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table; empty where nothing was stored yet."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(target):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def manifest_of(spark: SparkSession, store: str) -> DataFrame:
+    """The newest manifest row of each fingerprint."""
+    rows = _table(spark, f"{store}/manifest", MANIFEST)
+    names = [field.split()[0] for field in MANIFEST.split(", ")]
+    newest = F.max_by(F.struct(*names), F.struct("committed", "batch")).alias("newest")
+    return rows.groupBy(F.col("fingerprint").alias("key")).agg(newest).select("newest.*")
+
+
+def ingest(
     spark: SparkSession,
-    paths: str | list[str],
+    listing: DataFrame,
+    open_files: Callable[[list[str]], DataFrame],
     store: str,
-    recursive: bool = False,
+    options: Mapping[str, object] | None = None,
     refresh: bool = False,
-    parse: Callable[[DataFrame], DataFrame] = cells_of_files,
-) -> DataFrame:
-    """Parse new and changed workbooks into ``store`` and return the current cells.
-
-    The file content is only read for pending sources: the anti-join runs on the file
-    metadata, and broken files are stored as error rows so that they are not retried
-    until they change.
+    run: str | None = None,
+    batch_files: int = BATCH_FILES,
+) -> str:
+    """Parse the files of ``listing`` whose fingerprint is not in the manifest of ``store``.
+
+    ``listing`` has path, length and modificationTime; ``open_files`` gives (path, content) rows
+    of the paths it is asked for. ``refresh`` parses all of them again. Returns the name of the
+    run, which its manifest rows carry.
     """
-    options = {"recursive": recursive}
-    files = workbook_files(spark, paths, recursive)
-    marked = with_fingerprint(files, options=options)
-    current = marked.select("path", "fingerprint")
-    known = _stored(spark, store)
-    if known is not None and not refresh:
-        done = known.select("fingerprint").distinct()
-        marked = marked.join(done, "fingerprint", "left_anti")
-    todo = marked.select("path", "content")
-    cells = parse(todo).join(
-        current.withColumnRenamed("path", "source_file"), "source_file"
+    run = run or uuid.uuid4().hex
+    names = [field.split()[0] for field in SOURCE.split(", ")]
+    pending = with_fingerprint(listing.select(*names[:3]), options=options).distinct()
+    if not refresh:
+        pending = pending_sources(pending, manifest_of(spark, store))
+    # written first: what is pending must not change while batches are committed
+    todo: Iterator[Row] = stage(pending.select(*names), "pending").toLocalIterator()
+    for some in batched(todo, batch_files):
+        _ingest_batch(spark, list(some), open_files, store, run)
+    return run
+
+
+def _ingest_batch(
+    spark: SparkSession, sources: list[Row], open_files: Callable[[list[str]], DataFrame],
+    store: str, run: str,
+) -> None:
+    batch = uuid.uuid4().hex
+    known = spark.createDataFrame(sources, SOURCE)
+    cells, sheets = parse_workbooks(open_files([row["path"] for row in sources]))
+    marks = known.select(F.col("path").alias("source_file"), "fingerprint")
+    cells.join(marks, "source_file").write.parquet(f"{store}/cells/batch={batch}")
+    facts = sheets.groupBy(F.col("source_file").alias("path")).agg(
+        F.count("n_cells").alias("n_sheets"),
+        F.sum("n_cells").alias("n_cells"),
+        F.count("error").alias("n_errors"),
+        F.min("error").alias("error"),
     )
-    writer = cells.write.partitionBy("fingerprint").option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite").parquet(store)
-    stored = _stored(spark, store)
-    return with_periods(
-        stored.join(current.select("fingerprint"), "fingerprint", "left_semi")
-        .where(F.col("error").isNull())
-        .select(*CELLS.names)
+    _commit(known.join(facts, "path", "left"), store, run, batch)
+
+
+def _commit(read: DataFrame, store: str, run: str, batch: str) -> None:
+    """Append the manifest rows of a batch whose cells are written."""
+    names = [field.split()[0] for field in MANIFEST.split(", ")]
+    rows = read.withColumns(
+        {
+            "run": F.lit(run),
+            "batch": F.lit(batch),
+            "committed": F.lit(time.time_ns() // 1000).cast("bigint"),
+            "n_sheets": F.coalesce("n_sheets", F.lit(0).cast("bigint")),
+            "n_cells": F.coalesce("n_cells", F.lit(0).cast("bigint")),
+            "n_errors": F.coalesce("n_errors", F.lit(0).cast("bigint")),
+        }
     )
+    rows.select(*names).coalesce(1).write.mode("append").parquet(f"{store}/manifest")
+
 
+def current_files(
+    spark: SparkSession, listing: DataFrame, store: str,
+    options: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """Manifest rows of the files of ``listing`` as they are now."""
+    marked = with_fingerprint(listing, options=options).select("fingerprint").distinct()
+    return manifest_of(spark, store).join(marked, "fingerprint", "left_semi")
+
+
+def current_cells(
+    spark: SparkSession, listing: DataFrame, store: str,
+    options: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """Stored cells of the files of ``listing`` as they are now; other batches are not read."""
+    files = current_files(spark, listing, store, options).select("batch", "fingerprint")
+    stored = _table(spark, f"{store}/cells", f"{STORED}, batch STRING")
+    found = stored.join(files, ["batch", "fingerprint"], "left_semi")
+    return with_periods(found.select(*CELLS.names))
 
-def _stored(spark: SparkSession, store: str) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(store)
-    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(path):
-        return None
-    from gridtide.sources.workbooks import RAW_CELLS
 
-    return spark.read.schema(RAW_CELLS + ", fingerprint STRING").parquet(store)
+def ingest_workbooks(
+    spark: SparkSession,
+    paths: str | list[str],
+    store: str,
+    recursive: bool = False,
+    refresh: bool = False,
+) -> DataFrame:
+    """Parse new and changed workbooks into ``store`` and return the current cells."""
+    options = {"recursive": recursive}
+    listing = workbook_files(spark, paths, recursive).drop("content")
+    ingest(spark, listing, lambda some: open_workbooks(spark, some), store, options, refresh)
+    return current_cells(spark, listing, store, options)
