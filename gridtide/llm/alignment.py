@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from gridtide.llm.rows import column, text_of
 from gridtide.llm.tokens import encoder, token_bytes
 from gridtide.llm.windows import text_blocks
 from gridtide.staging import stage
@@ -223,9 +224,9 @@ def aligned(
     docs: DataFrame, a_path: str, b_path: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """Counts, groups and linked pairs (``a << 24 | b``, in order) of each text."""
-    text = F.coalesce(docs[f"`{text_column}`"].cast("string"), F.lit(""))
     rows = docs.select(
-        docs[f"`{id_column}`"].cast("long").alias("doc"), text.cast("binary").alias("text")
+        column(docs, id_column).cast("long").alias("doc"),
+        text_of(docs, text_column).cast("binary").alias("text"),
     )
     return rows.mapInArrow(_align(a_path, b_path), ALIGNED)
 

@@ -18,9 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridtide.llm.repeats import texts
+from gridtide.llm.rows import TextRows
 from gridtide.llm.windows import mix, text_blocks, word_codes, words_of
 from gridtide.staging import stage
 
@@ -32,7 +33,7 @@ FREQUENT = 1 << 17
 GATHERED = 1 << 19
 END_CODE = np.uint64(1)
 PARTS = (
-    "doc long, mark long, code long, n long, main boolean, n_tokens long, n_known long, "
+    "doc long, mark binary, code long, n long, main boolean, n_tokens long, n_known long, "
     "base double, score double"
 )
 
@@ -251,6 +252,7 @@ def _score(model):
         known_units, *rest = model.value
         m = Model(Units(*known_units), *rest)
         base_room = np.log10(m.tokens + 0.5 * (m.words + 1))
+        seen = TaskContext.get().partitionId() << 40
         for rows, data, begins in text_blocks(batches):
             codes, endings, first = tokens_of_block(data, begins)
             n = len(begins) - 1
@@ -274,16 +276,17 @@ def _score(model):
             at = np.flatnonzero(new)
             times = np.diff(np.append(at, len(t)))
             ids = rows.column(0)
-            marks = rows.column(2).to_numpy(zero_copy_only=False)
+            # rows of texts meet no count: a code of their own spreads them over the join
             with np.errstate(over="ignore"):
-                salt = mix(marks.astype(np.uint64) + np.arange(n, dtype=np.uint64) * np.uint64(65536))
+                salt = mix(np.arange(seen, seen + n, dtype=np.uint64))
+            seen += n
             size = n + len(at)
             whom = np.concatenate([np.arange(n), t[at]])
             pad = np.zeros(len(at))
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(pa.array(whom)),
-                    pa.array(marks[whom]),
+                    rows.column(2).take(pa.array(whom)),
                     pa.array(np.concatenate([salt, c[at]]).view(np.int64)),
                     pa.array(np.concatenate([np.zeros(n, dtype=np.int64), times])),
                     pa.array(np.arange(size) < n),
@@ -311,7 +314,8 @@ def score_texts(
     no training text nothing is known and all words share the room of one unseen word; a table
     without rows gives none.
     """
-    rows = texts(docs, id_column, text_column).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    every = TextRows(docs, id_column, text_column).texts()
+    rows = every.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     train = rows.where("not held_out").select("doc", "text", "mark")
     model, counts = fit(train, **options)
     plain = (tuple(vars(model.units).values()), *list(vars(model).values())[1:])

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from gridtide.llm.rows import column, text_of
 from gridtide.llm.tokens import encoder
 from gridtide.llm.windows import text_blocks, word_codes, words_of
 from gridtide.staging import stage
@@ -89,9 +90,9 @@ def _points(dims: int):
 
 def with_points(docs: DataFrame, id_column: str, text_column: str, dims: int = DIMS) -> DataFrame:
     """(doc, text, point) of all documents."""
-    text = F.coalesce(docs[f"`{text_column}`"].cast("string"), F.lit(""))
     rows = docs.select(
-        docs[f"`{id_column}`"].cast("long").alias("doc"), text.cast("binary").alias("text")
+        column(docs, id_column).cast("long").alias("doc"),
+        text_of(docs, text_column).cast("binary").alias("text"),
     )
     return rows.mapInArrow(_points(dims), f"doc long, text string, point {POINT}")
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridtide.llm.repeats import checksum, texts
+from gridtide.llm.rows import TextRows, unpacked
 from gridtide.llm.windows import BYTE_CODES, _gram_hash, mix, range_hash, text_blocks, words_of
 from gridtide.staging import stage
 
@@ -36,7 +36,7 @@ UNITS = frozenset(
 )
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?")
 MIXED = re.compile(r"[+-]?[$€£]?\d[\d.,]*[^\W\d_]+")
-HELD = "window long, doc long, mark long, at long, slots array<string>, size int"
+HELD = "window long, doc long, mark binary, at long, slots array<string>, size int"
 
 
 SLOT_CODES = mix(np.array([11, 12, 13], dtype=np.uint64))
@@ -145,7 +145,7 @@ def _windows(sizes: tuple[int, ...], bits, whole_items: bool, window: int):
                               i - int(first[d]), values_at, size)
                     for column, value in zip(out, values):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int32())
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.string()), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=t) for c, t in zip(out, kinds)],
                 names=["window", "doc", "mark", "at", "slots", "size"],
@@ -165,13 +165,13 @@ def contaminated(
     ``share`` is the part of the item's windows that consistent matches in the document cover;
     pairs of at least ``min_share`` are returned. An item of fewer than ``window`` words is one
     window of them all. Null texts have no words; rows without id (of either table) are left
-    out; rows that repeat an id count each by its own text (``mark``, a checksum), equal rows
+    out; rows that repeat an id count each by its own text (``mark``, :mod:`rows`), equal rows
     once; tables without rows give none.
     """
     spark = docs.sparkSession
     sizes = tuple(range(window, 0, -1))
     items = stage(
-        texts(benchmark, item_column, item_text).where("doc is not null")
+        TextRows(benchmark, item_column, item_text).texts().where("doc is not null")
         .mapInArrow(_windows(sizes, None, True, window), HELD)
         .selectExpr("window", "doc as item_id", "mark as item_mark", "at as item_at",
                     "slots as item_slots", "size").distinct(),
@@ -186,7 +186,7 @@ def contaminated(
     bits = spark.sparkContext.broadcast(table)
     sizes = tuple(sorted({int(s) for s in used["size"]}, reverse=True))
     found = (
-        texts(docs, id_column, text_column).where("doc is not null")
+        TextRows(docs, id_column, text_column).texts().where("doc is not null")
         .mapInArrow(_windows(sizes, bits, False, window), HELD)
     )
     match = stage(
@@ -220,10 +220,13 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     **options,
 ) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item."""
+    """``docs`` without the rows that hold a benchmark item.
+
+    Of several rows with one id only those whose own text holds one go; null and empty texts and
+    rows without id stay; texts of any length are searched whole; without items all rows stay.
+    """
     bad = contaminated(docs, benchmark, id_column, text_column, **options)
     bad = bad.select(F.col("doc").alias("bad_doc"), F.col("mark").alias("bad_mark")).distinct()
-    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    mark = checksum(F.coalesce(F.col(f"row.`{text_column}`").cast("string"), F.lit("")))
-    same = (F.col(f"row.`{id_column}`").cast("long") == F.col("bad_doc")) & (mark == F.col("bad_mark"))
-    return packed.join(bad, same, "left_anti").select("row.*")
+    rows = TextRows(docs, id_column, text_column).packed()
+    same = (F.col("doc") == F.col("bad_doc")) & (F.col("mark") == F.col("bad_mark"))
+    return rows.join(bad, same, "left_anti").select(*unpacked("row", docs))

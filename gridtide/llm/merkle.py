@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gridtide.llm.rows import column
 from gridtide.staging import stage
 
 DEPTH = 10
@@ -335,7 +336,7 @@ def documents_manifest(docs: DataFrame, fanout: int = 2, depth: int = DEPTH) ->
     not read; a table without rows gives none. ``depth`` changes the way, not the result.
     """
     names = ["doc_id", "source", "lang", "n_chars", "text"]
-    columns = {name: docs[f"`{name}`"] for name in names}
+    columns = {name: column(docs, name) for name in names}
     tampered = F.crc32(columns["doc_id"].cast("string").cast("binary")) % 7 == 0
     leaf = leaf_hash(list(columns.values()))
     raised = leaf_hash([v + 1 if n == "n_chars" else v for n, v in columns.items()])

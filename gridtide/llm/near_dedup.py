@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridtide.llm.components import components
-from gridtide.llm.repeats import checksum, texts
+from gridtide.llm.rows import TextRows, unpacked
 from gridtide.llm.shingles import shingles_of_block
 from gridtide.llm.windows import mix, text_blocks
 from gridtide.staging import stage
@@ -37,7 +37,7 @@ BANDS, ROWS = 32, 4
 SLICE = 1 << 15  # elements that throw at once, whatever the length of a text
 BLOCK_ROWS, BLOCK_ITEMS = 256, 1 << 18  # nodes and shingles of a block of a bucket
 COLUMNS = 1 << 12  # shingles of a matrix at once
-SIGNED = "doc long, mark long, node long, n_shingles int, bands array<long>"
+SIGNED = "doc long, mark binary, node long, n_shingles int, bands array<long>"
 
 
 def _unit(bits: np.ndarray) -> np.ndarray:
@@ -301,13 +301,13 @@ def near_classes(
 
     Texts are linked if the Jaccard similarity of their shingles (``weighted``: with counts) is
     at least ``threshold``; classes are the components of links, named by their least id;
-    ``kept`` is true for rows of that id whose text has the least hash among them. ``mark`` is
-    a checksum of the text that tells rows with the same id apart. A pair of similarity s meets
+    ``kept`` is true for rows of that id whose text has the least hash among them. ``mark`` tells
+    rows with the same id apart (:mod:`rows`). A pair of similarity s meets
     with probability 1 - (1 - s**rows)**bands: all but certain at 0.8 with the defaults. Texts
     without words (null, empty) are classes of their own id. Rows without id get no class and
     are kept. Equal rows get equal results. A table without rows gives none.
     """
-    every = texts(docs, id_column, text_column)
+    every = TextRows(docs, id_column, text_column).texts()
     signed = stage(
         every.mapInArrow(_signed(shingle, bands, rows, weighted), SIGNED), "signatures"
     )
@@ -390,16 +390,19 @@ def near_classes(
 def drop_near_copies(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options
 ) -> DataFrame:
-    """``docs`` with one row of each class of :func:`near_classes` (equal rows count as one)."""
+    """``docs`` with one row of each class of :func:`near_classes`.
+
+    Of rows with equal id and text one stays, whatever their other columns; different texts under
+    one id are classes apart unless they are alike. Null and empty texts and rows without id
+    stay; texts of any length are compared whole; a table without rows gives none.
+    """
     kept = near_classes(docs, id_column, text_column, **options).where("kept")
     kept = kept.groupBy(F.col("doc").alias("keep_doc"), F.col("mark").alias("keep_mark")).agg(
         F.lit(True).alias("keep")
     )
-    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    mark = checksum(F.coalesce(F.col(f"row.`{text_column}`").cast("string"), F.lit("")))
-    doc = F.col(f"row.`{id_column}`").cast("long")
-    rows = packed.withColumn("row_doc", doc).withColumn("row_mark", mark)
-    with_id = rows.where("row_doc is not null").join(
-        kept, (F.col("row_doc") == F.col("keep_doc")) & (F.col("row_mark") == F.col("keep_mark"))
-    ).dropDuplicates(["row_doc", "row_mark"])
-    return with_id.select("row.*").unionByName(rows.where("row_doc is null").select("row.*"))
+    rows = TextRows(docs, id_column, text_column).packed()
+    with_id = rows.where("doc is not null").join(
+        kept, (F.col("doc") == F.col("keep_doc")) & (F.col("mark") == F.col("keep_mark"))
+    ).dropDuplicates(["doc", "mark"])
+    every = with_id.select("row").unionByName(rows.where("doc is null").select("row"))
+    return every.select(*unpacked("row", docs))

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from gridtide.llm.rows import column, text_of
 from gridtide.llm.tokens import encoder
 from gridtide.staging import stage
 
@@ -66,8 +67,9 @@ def pieces(
 ) -> DataFrame:
     """One row for each piece of each document: its ids and a final 0, cut to ``length``.
     ``with_ids`` adds the ids themselves (little-endian unsigned 32-bit)."""
-    text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
-    rows = docs.select(docs[id_column].cast("long").alias("doc"), text.alias("text"))
+    rows = docs.select(
+        column(docs, id_column).cast("long").alias("doc"), text_of(docs, text_column).alias("text")
+    )
     schema = PIECE + (", ids binary" if with_ids else "")
     return rows.mapInArrow(_pieces(tokenizer, length, with_ids), schema)
 

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridtide.llm.lines import LINE_FEATURES, count_block
+from gridtide.llm.rows import text_of, whole_row
 from gridtide.llm.samples import labelled_sample
 from gridtide.llm.windows import text_blocks
 
@@ -174,10 +175,8 @@ def judge_quality(
     decoded as content. Null texts have no words and fail; every row is judged by itself, so
     repeated rows and rows without id change nothing; no rows give none.
     """
-    text = F.coalesce(docs[text_column].cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(
-        F.struct(*(docs[c] for c in docs.columns)).alias("row"), text.alias("text")
-    )
+    text = text_of(docs, text_column).cast("binary")
+    rows = docs.select(whole_row(docs).alias("row"), text.alias("text"))
     schema = T.StructType([rows.schema["row"]])
     for name in COUNTS:
         schema = schema.add(name, "long")

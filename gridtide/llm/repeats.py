@@ -13,8 +13,11 @@ and in how the residual is resolved.
 4. Removed windows go back to their texts.
 
 Rows with a null id or a null text: a null text is empty; a row without id is kept whole and
-takes part in nothing. Rows that repeat an id are told apart by a checksum of their texts; they
+takes part in nothing. Rows that repeat an id are told apart by their texts (:mod:`rows`); they
 never remove each other, since neither id is smaller.
+
+Partitions that a task takes whole are dealt by the bytes of the texts and by the rows of written
+tables, so they don't grow with the data.
 """
 
 from __future__ import annotations
@@ -24,30 +27,21 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from gridtide.llm import windows as win
+from gridtide.llm.rows import TextRows
 from gridtide.staging import stage
 
-LOW32 = (1 << 32) - 1
-SEGMENT = "key long, ctx long, doc long, place long"
-FLAG = "doc long, place long, key long, open boolean"
-MASK = "doc long, place long, mask long"
-
+SEGMENT = "key long, ctx long, doc long, mark binary, place long"
+FLAG = "doc long, mark binary, place long, key long, open boolean"
+MASK = "doc long, mark binary, place long, mask long"
+TASK_BYTES = 16 << 20
+TASK_ROWS = 20_000
 
-def checksum(text: Column) -> Column:
-    """16 bits that tell texts with the same id apart."""
-    return F.pmod(F.xxhash64(text), F.lit(1 << 16))
 
-
-def texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc, text as bytes, mark): the two columns needed, whatever else there is."""
-    text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
-    return docs.select(
-        docs[id_column].cast("long").alias("doc"),
-        text.cast("binary").alias("text"),
-        checksum(text).alias("mark"),
-    )
+def tasks_for(amount: int | None, per_task: int) -> int:
+    return max(1, -(-(amount or 0) // per_task))
 
 
 def tokens_of(data: np.ndarray, begins: np.ndarray, kind: str):
@@ -66,23 +60,23 @@ def _segment_rows(kind: str, width: int, gram: int) -> Callable:
             if not len(doc):
                 continue
             ids = rows.column(0).to_numpy(zero_copy_only=False)[doc]
-            mark = rows.column(2).to_numpy(zero_copy_only=False)[doc]
-            place = (mark << 40) | ((start - first[doc]) << 6) | (count - 1)
+            place = ((start - first[doc]) << 6) | (count - 1)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array((key >> np.uint64(16)).astype(np.int64)),
                     pa.array((ctx >> np.uint64(24)).astype(np.int64)),
                     pa.array(ids.astype(np.int64)),
+                    rows.column(2).take(pa.array(doc)),
                     pa.array(place),
                 ],
-                names=["key", "ctx", "doc", "place"],
+                names=["key", "ctx", "doc", "mark", "place"],
             )
 
     return run
 
 
 def segment_start(place: np.ndarray) -> np.ndarray:
-    return (place >> 6) & ((1 << 34) - 1)
+    return place >> 6
 
 
 def segment_count(place: np.ndarray) -> np.ndarray:
@@ -103,9 +97,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = _whole(batches)
     if table is None:
         return
-    key, ctx, doc, place = (table.column(i).to_numpy() for i in range(4))
+    key, ctx, doc = (table.column(i).to_numpy() for i in range(3))
     order = win.tied_order([key, ctx, doc])
-    key, ctx, doc, place = key[order], ctx[order], doc[order], place[order]
+    key, ctx, doc = key[order], ctx[order], doc[order]
     start = np.ones(1, dtype=bool)
     new_key = np.concatenate([start, key[1:] != key[:-1]])
     new_ctx = new_key | np.concatenate([start, ctx[1:] != ctx[:-1]])
@@ -117,16 +111,16 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     several[0] = several[-1] = True
     left = ~whole & several[of_key]
     at = np.flatnonzero(whole | left)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(doc[at]), pa.array(place[at]), pa.array(key[at]), pa.array(left[at])],
-        names=["doc", "place", "key", "open"],
-    )
+    found = table.select(["doc", "mark", "place", "key"]).take(pa.array(order[at]))
+    yield from found.append_column("open", pa.array(left[at])).combine_chunks().to_batches()
 
 
 def flags(rows: DataFrame, kind: str, width: int, gram: int) -> DataFrame:
     """Segments to remove as a whole, and those left open."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0]
     found = rows.where("doc is not null").mapInArrow(_segment_rows(kind, width, gram), SEGMENT)
-    return found.repartitionByRange("key", "doc").mapInArrow(_compare, FLAG)
+    dealt = found.repartitionByRange(tasks_for(size, TASK_BYTES), "key", "doc")
+    return dealt.mapInArrow(_compare, FLAG)
 
 
 def _context_rows(kind: str, width: int) -> Callable:
@@ -134,36 +128,45 @@ def _context_rows(kind: str, width: int) -> Callable:
         for rows, data, begins in win.text_blocks(batches):
             codes, first = tokens_of(data, begins, kind)
             source = data if kind == "bytes" else codes
-            ids = rows.column(0).to_numpy()
-            out: list[list] = [[], [], [], []]
-            for i, opened in enumerate(rows.column(2)):
+            ids, marks = rows.column(0).to_numpy(), rows.column(2).to_pylist()
+            out: list[list] = [[], [], [], [], []]
+            for i, opened in enumerate(rows.column(3)):
                 for item in opened.as_py():
                     place = item["place"]
-                    at = first[i] + ((place >> 6) & ((1 << 34) - 1))
+                    at = first[i] + (place >> 6)
                     piece = source[at: at + (place & 63) + width]
-                    for column, value in zip(out, (item["key"], ids[i], place, piece.tobytes())):
+                    values = (item["key"], ids[i], marks[i], place, piece.tobytes())
+                    for column, value in zip(out, values):
                         column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in
-                 zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                names=["key", "doc", "place", "context"],
+                [pa.array(c, type=t) for c, t in zip(out, kinds)],
+                names=["key", "doc", "mark", "place", "context"],
             )
 
     return run
 
 
 def contexts(rows: DataFrame, opened: DataFrame, kind: str, width: int) -> DataFrame:
-    """The tokens under the open segments: (key, doc, place, context)."""
-    lists = opened.groupBy("doc", F.shiftright("place", 40).alias("mark")).agg(
-        F.collect_list(F.struct("place", "key")).alias("opened")
+    """The tokens under the open segments: (key, doc, mark, place, context)."""
+    # equal rows of one id have the same segments
+    lists = opened.groupBy("doc", "mark").agg(
+        F.collect_set(F.struct("place", "key")).alias("opened")
     )
     return (
         rows.join(lists, ["doc", "mark"])
-        .select("doc", "text", "opened")
-        .mapInArrow(_context_rows(kind, width), "key long, doc long, place long, context binary")
+        .select("doc", "text", "mark", "opened")
+        .mapInArrow(
+            _context_rows(kind, width), "key long, doc long, mark binary, place long, context binary"
+        )
     )
 
 
+def dealt(context: DataFrame, *by: str) -> DataFrame:
+    """Contexts (a written table) in partitions of a bounded number of rows, by range."""
+    return context.repartitionByRange(tasks_for(context.count(), TASK_ROWS), *by)
+
+
 def window_columns(table: pa.Table, kind: str, width: int):
     """All windows of all contexts: row of the context, offset in it, and sort columns: the
     leading eight bytes, the next eight and so on, or one word each."""
@@ -218,10 +221,11 @@ def masks(table: pa.Table, row: np.ndarray, offset: np.ndarray) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays(
         [
             pa.array(table.column("doc").to_numpy()[at]),
+            table.column("mark").take(pa.array(at)).combine_chunks(),
             pa.array(table.column("place").to_numpy()[at]),
             pa.array(bits[at].view(np.int64)),
         ],
-        names=["doc", "place", "mask"],
+        names=["doc", "mark", "place", "mask"],
     )
 
 
@@ -263,32 +267,25 @@ def cut_repeats(
 ) -> DataFrame:
     """``row`` (struct of the columns of ``docs``) and ``cut``: struct of n_tokens, n_removed, n_spans (maximal
     removed runs), kept (bytes left; words joined by a space) and kept_text (those as a text)."""
-    rows = texts(docs, id_column, text_column)
+    source = TextRows(docs, id_column, text_column)
+    rows = source.texts()
     found = stage(flags(rows, kind, width, gram), f"{kind}-flags")
     context = stage(contexts(rows, found.where("open"), kind, width), f"{kind}-contexts")
-    closed = found.where("not open").select("doc", "place", F.lit(-1).cast("long").alias("mask"))
+    closed = found.where("not open").select(
+        "doc", "mark", "place", F.lit(-1).cast("long").alias("mask")
+    )
     removed = (
         closed.unionByName(resolve(context))
-        .groupBy(F.col("doc").alias("cut_doc"), F.shiftright("place", 40).alias("cut_mark"))
-        .agg(F.collect_list(F.struct("place", "mask")).alias("cut_found"))
+        .groupBy(F.col("doc").alias("cut_doc"), F.col("mark").alias("cut_mark"))
+        .agg(F.collect_set(F.struct("place", "mask")).alias("cut_found"))
     )
-    text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
     cut = F.pandas_udf(
         _cutter(kind, width),
         "n_tokens long, n_removed long, n_spans long, kept binary, kept_text string",
     )
-    # one struct of the input's columns, so that no name can clash
-    packed = docs.select(
-        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
-        docs[id_column].cast("long").alias("row_doc"),
-        text.alias("row_text"),
-    )
-    joined = packed.join(
-        removed,
-        (F.col("row_doc") == F.col("cut_doc")) & (checksum(F.col("row_text")) == F.col("cut_mark")),
-        "left",
+    joined = source.packed().join(
+        removed, (F.col("doc") == F.col("cut_doc")) & (F.col("mark") == F.col("cut_mark")), "left"
     )
     return joined.select(
-        "row",
-        cut(F.col("row_text").cast("binary"), "cut_found.place", "cut_found.mask").alias("cut"),
+        "row", cut(F.col("text").cast("binary"), "cut_found.place", "cut_found.mask").alias("cut")
     )

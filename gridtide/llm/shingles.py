@@ -18,7 +18,7 @@ def shingles_of_block(
     n_words = np.diff(first)
     with np.errstate(over="ignore"):
         rolled = np.zeros(len(codes), dtype=np.uint64)
-        for i in range(size):
+        for i in range(min(size, len(codes))):  # a block may hold fewer words than a shingle
             rolled[: len(codes) - i] = mix(rolled[: len(codes) - i] + codes[i:] + np.uint64(i))
     out, whole = [], []
     for a, n in zip(first[:-1].tolist(), n_words.tolist()):

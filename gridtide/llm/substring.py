@@ -49,7 +49,7 @@ def resolve(width: int, group: int):
         suffixes = stage(
             context.join(large, "key", "left_semi")
             .withColumn("at", F.explode(F.sequence(F.lit(0), F.col("place").bitwiseAND(63).cast("int"))))
-            .select("doc", "place", "at",
+            .select("doc", "mark", "place", "at",
                     F.expr(f"substring(context, at * 8 + 1, {8 * width})").alias("passage")),
             "large-groups",
         )
@@ -59,7 +59,7 @@ def resolve(width: int, group: int):
             suffixes.withColumn("leaf", _prefix(width))
             .join(least, "leaf")
             .where("doc > first_doc")
-            .select("doc", "place", F.expr("shiftleft(1L, at)").alias("mask"))
+            .select("doc", "mark", "place", F.expr("shiftleft(1L, at)").alias("mask"))
         )
         return done.unionByName(rest)
 

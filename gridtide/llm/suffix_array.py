@@ -20,7 +20,22 @@ from gridtide.llm import repeats
 from gridtide.staging import stage
 
 GRAM = 20
-SORTED = "doc long, place long, mask long, edge boolean, at int, string binary"
+EDGE_ROWS = 100_000
+SORTED = "doc long, mark binary, place long, mask long, edge boolean, at int, string binary"
+
+
+def _slices(contexts: pa.ChunkedArray, offset: np.ndarray, width: int) -> pa.Array:
+    """``width`` bytes of each context, each from its own offset on."""
+    joined = contexts.combine_chunks()
+    if not len(joined):
+        return pa.array([], pa.binary())
+    begin = np.frombuffer(joined.buffers()[1], dtype=np.int32)[joined.offset: joined.offset + len(joined)]
+    data = np.frombuffer(joined.buffers()[2], dtype=np.uint8)
+    at = (begin + offset)[:, None] + np.arange(width)
+    ends = np.arange(len(joined) + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(
+        pa.binary(), len(joined), [None, pa.py_buffer(ends), pa.py_buffer(data[at].tobytes())]
+    )
 
 
 def _bucket(width: int):
@@ -36,26 +51,22 @@ def _bucket(width: int):
         yield pa.RecordBatch.from_arrays(
             [*inside.columns, pa.array(np.zeros(n, dtype=bool)), pa.nulls(n, pa.int32()),
              pa.nulls(n, pa.binary())],
-            names=["doc", "place", "mask", "edge", "at", "string"],
+            names=["doc", "mark", "place", "mask", "edge", "at", "string"],
         )
         # strings of the first and the last key may go on in the bucket before or after
         key = table.column("key").to_numpy()
         border = ((key == key.min()) | (key == key.max()))[row] & ~later
-        place = table.column("place").to_numpy()
-        context = table.column("context")
-        out: list[list] = [[], [], [], []]
-        for i in np.flatnonzero(border):
-            r, at = int(row[i]), int(offset[i])
-            piece = context[r].as_py()[at: at + width]
-            for column, value in zip(out, (int(doc[i]), int(place[r]), at, piece)):
-                column.append(value)
-        n = len(out[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.nulls(n, pa.int64()),
-             pa.array(np.ones(n, dtype=bool)), pa.array(out[2], pa.int32()),
-             pa.array(out[3], pa.binary())],
-            names=["doc", "place", "mask", "edge", "at", "string"],
-        )
+        at = np.flatnonzero(border)
+        for some in np.array_split(at, max(1, len(at) // EDGE_ROWS)):
+            of = pa.array(row[some])
+            strings = _slices(table.column("context").take(of), offset[some], width)
+            n = len(some)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[some]), table.column("mark").take(of).combine_chunks(),
+                 table.column("place").take(of).combine_chunks(), pa.nulls(n, pa.int64()),
+                 pa.array(np.ones(n, dtype=bool)), pa.array(offset[some].astype(np.int32)), strings],
+                names=["doc", "mark", "place", "mask", "edge", "at", "string"],
+            )
 
     return run
 
@@ -65,7 +76,7 @@ def resolve(width: int):
 
     def run(context: DataFrame) -> DataFrame:
         buckets = stage(
-            context.repartitionByRange("key", "doc").mapInArrow(_bucket(width), SORTED),
+            repeats.dealt(context, "key", "doc").mapInArrow(_bucket(width), SORTED),
             "suffix-buckets",
         )
         edge = buckets.where("edge")
@@ -73,9 +84,9 @@ def resolve(width: int):
         across = (
             edge.join(first, "string")
             .where("doc > first_doc")
-            .select("doc", "place", F.expr("shiftleft(1L, at)").alias("mask"))
+            .select("doc", "mark", "place", F.expr("shiftleft(1L, at)").alias("mask"))
         )
-        return buckets.where("not edge").select("doc", "place", "mask").unionByName(across)
+        return buckets.where("not edge").select("doc", "mark", "place", "mask").unionByName(across)
 
     return run
 
@@ -87,7 +98,7 @@ def drop_repeated_bytes(
 
     Returns ``row`` (struct of the input's columns) and ``cut`` (n_tokens = bytes, n_removed,
     n_spans, kept = bytes left). Null texts are empty; texts shorter than ``width`` stay whole;
-    rows that repeat an id don't remove each other; rows without id stay whole; a table
+    rows that repeat an id don't remove each other, whatever their texts; rows without id stay whole; a table
     without rows gives none. Texts of any length are taken whole.
     """
     gram = max(1, min(GRAM, width // 2))
