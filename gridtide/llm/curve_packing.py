@@ -6,8 +6,10 @@
 2. Mean and spread of each number over all documents place a point in a grid of
    ``2 ** BITS`` cells a side with about equally many points along each side; its key is the
    cell's place on the Hilbert curve, so that near keys are near points.
-3. Documents are range-sorted by that key (Spark samples the bounds, and copies of one document
-   are told apart by their place in the table, so that no key is too hot for one task).
+3. Documents are range-sorted by that key. The curve is cut into ``1 << CELL_BITS`` stretches whose
+   bytes are summed over all documents; from these sums follow ranges of keys with equally many
+   bytes, one per task. What lies on a cut, which may be a large group of copies with one key,
+   is dealt to the ranges beside it in proportion, so no key is too hot for one task.
 4. A task takes its stretch of the curve document by document and fills one sequence after the
    other; a document goes on in the next one where it must. Every sequence is full but the last
    of a stretch, and that one is split into sequences whose sizes are powers of two, which need
@@ -37,6 +39,7 @@ BUCKETS = 1 << 12
 DIMS = 4
 BITS = 12
 SEED = 20
+CELL_BITS = 14
 TASK_BYTES = 32 << 20
 END = (1).to_bytes(4, "little")
 ROWS = 200
@@ -63,7 +66,13 @@ def points_of_block(data: np.ndarray, begins: np.ndarray, matrix: np.ndarray) ->
         return out
     bucket = (word_codes(data, start, end) % np.uint64(buckets)).astype(np.int64)
     doc = np.repeat(np.arange(n, dtype=np.int64), np.diff(first))
-    cell, count = np.unique(doc * buckets + bucket, return_counts=True)
+    cell = doc * buckets + bucket
+    if n * buckets <= 16 * len(cell):
+        counts = np.bincount(cell, minlength=n * buckets)
+        cell = np.flatnonzero(counts)
+        count = counts[cell]
+    else:
+        cell, count = np.unique(cell, return_counts=True)
     doc, bucket = cell // buckets, cell % buckets
     weight = (1 + np.log(count)).astype(np.float32)
     heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
@@ -81,20 +90,20 @@ def _points(dims: int):
                 np.arange(len(points) + 1, dtype=np.int32) * dims, pa.array(points.ravel())
             )
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1).cast(pa.string()), column],
-                names=["doc", "text", "point"],
+                [rows.column(0), rows.column(1).cast(pa.string()), column, pa.array(np.diff(begins))],
+                names=["doc", "text", "point", "size"],
             )
 
     return run
 
 
 def with_points(docs: DataFrame, id_column: str, text_column: str, dims: int = DIMS) -> DataFrame:
-    """(doc, text, point) of all documents."""
+    """(doc, text, point, size in bytes) of all documents."""
     rows = docs.select(
         column(docs, id_column).cast("long").alias("doc"),
         text_of(docs, text_column).cast("binary").alias("text"),
     )
-    return rows.mapInArrow(_points(dims), f"doc long, text string, point {POINT}")
+    return rows.mapInArrow(_points(dims), f"doc long, text string, point {POINT}, size long")
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -146,6 +155,22 @@ def curve_key(mean: list[float], spread: list[float], bits: int):
     return key
 
 
+def range_of(cells: np.ndarray, sizes: np.ndarray, shift: int, task_bytes: int):
+    """A column function from a key and a number in [0, 1) to the range of equally many bytes that
+    the key is in. ``cells`` (sorted) are the stretches with documents, ``sizes`` their bytes."""
+    before = np.cumsum(sizes) - sizes
+    tasks = max(1, -(-int(sizes.sum()) // task_bytes))
+    wide = max(1.0, float(sizes.sum())) / tasks
+
+    @F.arrow_udf("int")
+    def part(key: pa.Array, dice: pa.Array) -> pa.Array:
+        at = np.searchsorted(cells, key.to_numpy() >> shift)
+        place = before[at] + dice.to_numpy() * sizes[at]
+        return pa.array(np.minimum(place // wide, tasks - 1).astype(np.int32))
+
+    return part, tasks
+
+
 def along_curve(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", dims: int = DIMS,
     bits: int = BITS, task_bytes: int = TASK_BYTES,
@@ -154,16 +179,27 @@ def along_curve(
     placed = stage(with_points(docs, id_column, text_column, dims), "curve-points")
     numbers = [F.col("point")[i] for i in range(dims)]
     facts = placed.agg(
-        F.sum(F.octet_length("text")).alias("bytes"),
-        *(F.avg(x) for x in numbers), *(F.stddev_pop(x) for x in numbers),
+        *(F.avg(x) for x in numbers), *(F.stddev_pop(x) for x in numbers)
     ).first()
-    mean = [float(x or 0) for x in facts[1: 1 + dims]]
-    spread = [float(x or 0) for x in facts[1 + dims:]]
-    tasks = max(1, -(-(facts["bytes"] or 0) // task_bytes))
-    keyed = placed.select("doc", "text", curve_key(mean, spread, bits)("point").alias("key"))
-    by = ["key", "doc", "place"]
+    mean = [float(x or 0) for x in facts[:dims]]
+    spread = [float(x or 0) for x in facts[dims:]]
+    keyed = placed.withColumn("key", curve_key(mean, spread, bits)("point"))
+    shift = max(0, dims * bits - CELL_BITS)
+    # at most 1 << CELL_BITS rows, whatever the number of documents
+    cells = keyed.groupBy(F.shiftright("key", shift).alias("cell")).agg(
+        F.sum(F.col("size") + 1).alias("bytes")
+    ).toPandas().sort_values("cell")
+    part, tasks = range_of(
+        cells["cell"].to_numpy(np.int64), cells["bytes"].to_numpy(np.int64), shift, task_bytes
+    )
     numbered = keyed.withColumn("place", F.monotonically_increasing_id())
-    return numbered.repartitionByRange(tasks, *by).sortWithinPartitions(*by).drop("place")
+    dice = F.pmod(F.xxhash64("doc", "place"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    dealt = numbered.withColumn("part", part(F.col("key"), dice)).select("doc", "text", "key", "place", "part")
+    return (
+        dealt.repartitionById(tasks, "part")
+        .sortWithinPartitions("key", "doc", "place")
+        .select("doc", "text", "key")
+    )
 
 
 def powers_of_two(size: int) -> list[int]:
