@@ -4,8 +4,13 @@ Blocks of text (paragraphs and the like) pass points for their length and their
 elements around them: all to the parent, half to its parent, less further up. What an element
 has gathered is discounted by its link density, the part of its text that stands in links. The
 best element is the container of the main text; its siblings stay if they score well or read
-like prose. Within what is kept, elements that are named or built like menus, adverts, notices,
-forms or comments are left out.
+like prose, and so do headings right before what stays. Within what is kept, elements that are
+named or built like menus, adverts, notices, forms or comments are left out.
+
+Names can mislead: a wrapper of the whole page may be called "layout has-sidebar", and some pages
+lie in one form. So a name that tells of a state or of something missing counts for nothing, and
+if hardly any of the page's text would remain without forms and elements whose names also hold
+other words, the one of them that holds most of it stays.
 """
 
 from __future__ import annotations
@@ -15,7 +20,9 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
+
+from gridtide.llm.rows import column, whole_row
 
 # fixed values: HTML's own lists of elements
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,7 +44,7 @@ SIBLINGS = {
     "option": ({"option"}, {"select"}),
 }
 DROPPED = frozenset(
-    "head script style noscript template iframe textarea title nav footer aside form button "
+    "head script style noscript template iframe textarea title nav footer aside button "
     "select option input object embed applet canvas svg math audio video map menu dialog".split()
 )
 ROLES = frozenset(
@@ -53,6 +60,12 @@ OTHER = frozenset(
     "commentaires kommentare disqus replies reply respond form search skip toolbar copyright".split()
 )
 NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
+#: first words of a name that say that something is or isn't there, last words that tell a state
+WITH = frozenset("has have no not non is with without".split())
+STATES = frozenset("open opened closed enabled disabled on off active visible hidden by".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: what must be left of a page's text without what is dropped by an unclear name
+MIN_LEFT = 0.1
 TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
@@ -68,13 +81,15 @@ MIN_BLOCK = 25
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "parent", "children", "points", "size", "linked", "drop")
+    __slots__ = (
+        "tag", "attributes", "parent", "children", "points", "inside", "size", "linked", "drop", "stays",
+    )
 
     def __init__(self, tag: str, attributes: str, parent: "Element | None"):
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children: list = []
-        self.points, self.size, self.linked = 0.0, 0, 0
-        self.drop = False
+        self.points, self.inside, self.size, self.linked = 0.0, 0, 0, 0
+        self.drop = self.stays = False
 
 
 def _closable(stack: list[Element], tags, until) -> int | None:
@@ -145,23 +160,44 @@ def _attributes(element: Element) -> dict[str, str]:
     }
 
 
-def _other(element: Element, in_article: bool) -> bool:
-    """Whether an element is built or named like something else than the main text."""
+def _named_other(names: str) -> tuple[bool, bool]:
+    """Whether classes and ids name something else than the main text, clearly or among other
+    words."""
+    unclear = False
+    for name in names.split():
+        words = [word.lower() for word in NAME.findall(name)]
+        if not words or words[0] in WITH or len(words) > 1 and words[-1] in STATES:
+            continue
+        if "by" in words[1:-1]:  # side-by-side
+            continue
+        if all(word in OTHER for word in words):
+            return True, False
+        unclear = unclear or any(word in OTHER for word in words)
+    return False, unclear
+
+
+def _other(element: Element, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is built or clearly named like something else than the main text, and
+    whether it may be something else: a form, an unclear name."""
     if element.tag in DROPPED:
-        return True
+        return True, False
     if element.tag == "header" and not in_article:
-        return True
+        return True, False
+    if element.tag == "form":
+        return False, True
     if not element.attributes.strip():
-        return False
+        return False, False
     found = _attributes(element)
     if element.tag in ("html", "body", "article", "main"):
-        return False
+        return False, False
     if "hidden" in found or found.get("aria-hidden") == "true":
-        return True
-    if found.get("role", "").lower() in ROLES or HIDDEN_STYLE.search(found.get("style", "")):
-        return True
-    names = NAME.findall(found.get("class", "") + " " + found.get("id", ""))
-    return any(name.lower() in OTHER for name in names)
+        return True, False
+    if HIDDEN_STYLE.search(found.get("style", "")):
+        return True, False
+    role = found.get("role", "").lower()
+    if role in ROLES:
+        return role != "form", role == "form"
+    return _named_other(found.get("class", "") + " " + found.get("id", ""))
 
 
 def _blocks(element: Element, marked: bool) -> list[str]:
@@ -193,15 +229,25 @@ def _blocks(element: Element, marked: bool) -> list[str]:
     return out
 
 
-def _score(root: Element) -> list[Element]:
-    """Marks what to drop, gives points; elements with points in page order."""
-    todo = [(root, False, False, None)]
+def _score(root: Element) -> tuple[list[Element], list[Element], float]:
+    """Marks what to drop, gives points: elements with points in page order, elements dropped for
+    unclear reasons, and the size of the page's text outside links, those included."""
+    todo = [(root, False, False, None, False)]
     found: list[Element] = []
+    named: list[Element] = []
+    order: list[Element] = []
     while todo:
-        element, in_article, in_link, block = todo.pop()
-        element.drop = element.parent is not None and _other(element, in_article)
-        if element.drop:
+        element, in_article, in_link, block, inside = todo.pop()
+        element.points, element.inside = 0.0, 0
+        element.size = element.linked = 0
+        built, unclear = _other(element, in_article) if element.parent is not None else (False, False)
+        element.drop = built or unclear and not element.stays
+        if built:
             continue
+        order.append(element)
+        if element.drop and not inside:
+            named.append(element)
+        inside = inside or element.drop
         if element.tag in BLOCKS:
             block = element
         in_article = in_article or element.tag in ("article", "main")
@@ -210,29 +256,33 @@ def _score(root: Element) -> list[Element]:
         own = SPACE.sub(" ", entities.unescape(own)).strip() if own.strip() else ""
         if own:
             size, commas = len(own), sum(own.count(c) for c in ",،，、")
-            above = element
-            while above is not None:
-                above.size += size
-                if in_link:
-                    above.linked += size
-                above = above.parent
+            points = (1 + commas + min(size / 100, 3)) if size >= MIN_BLOCK else 0.0
+            element.inside = 0 if in_link else size
+            if not inside:
+                element.size = size
+                element.linked = size if in_link else 0
             holder = block if block is not None and block.parent is not None else element
             holder = holder.parent if holder.tag in ("p", "pre", "td", "li", "blockquote", "h1",
                                                      "h2", "h3", "h4", "h5", "h6") else holder
             share = 1.0
-            points = (1 + commas + min(size / 100, 3)) if size >= MIN_BLOCK else 0.0
             for _ in range(5):
-                if holder is None or holder.parent is None or not points:
+                if inside or holder is None or holder.parent is None or not points:
                     break
                 if not holder.points:
                     found.append(holder)
                 holder.points += points * share
                 holder, share = holder.parent, share / 2 if share == 1.0 else share / 1.5
         todo.extend(
-            (c, in_article, in_link, block) for c in reversed(element.children)
+            (c, in_article, in_link, block, inside) for c in reversed(element.children)
             if not isinstance(c, str)
         )
-    return found
+    for element in reversed(order):  # children before their parents
+        above = element.parent
+        if above is not None:
+            above.inside += element.inside
+            above.size += element.size
+            above.linked += element.linked
+    return found, named, root.inside
 
 
 def _density(element: Element) -> float:
@@ -242,7 +292,13 @@ def _density(element: Element) -> float:
 def extract(text: str | None) -> str:
     """The main text of a page: its blocks joined by \\n; empty if there is none."""
     root = parse(text or "")
-    scored = _score(root)
+    scored, named, whole = _score(root)
+    while named and sum(e.inside for e in named) > (1 - MIN_LEFT) * whole:
+        largest = max(named, key=lambda e: e.inside)
+        if 2 * largest.inside < whole:
+            break
+        largest.stays = True
+        scored, named, whole = _score(root)
     if not scored:
         # no block is long enough to score: all that is not marked otherwise
         return "\n".join(_blocks(root, True))
@@ -262,15 +318,18 @@ def extract(text: str | None) -> str:
     kept = [best]
     if best.parent is not None and best.tag not in ("body", "html"):
         limit = max(10.0, value(best) * 0.2)
-        kept = []
+        kept, headings = [], []
         for item in best.parent.children:
-            if item is best:
-                kept.append(item)
-            elif isinstance(item, Element) and not item.drop:
-                prose = item.tag == "p" and item.size > 80 and _density(item) < 0.25
-                same = item.tag == best.tag or best.tag == "div"
-                if prose or item.points and same and value(item) >= limit:
-                    kept.append(item)
+            if not isinstance(item, Element) or item.drop:
+                continue
+            if item.tag in HEADINGS:
+                headings.append(item)
+                continue
+            prose = item.tag == "p" and item.size > 80 and _density(item) < 0.25
+            same = item.tag == best.tag or best.tag == "div"
+            if item is best or prose or item.points and same and value(item) >= limit:
+                kept += [*headings, item]
+            headings = []
     return "\n".join(block for item in kept for block in _blocks(item, True))
 
 
@@ -290,7 +349,6 @@ def extract_main_text(pages: DataFrame, html_column: str = "html") -> DataFrame:
     rows without id need nothing more; pages of any length are read whole; no rows give none.
     """
     rows = pages.select(
-        F.struct(*(pages[c] for c in pages.columns)).alias("row"),
-        pages[html_column].cast("string").alias("html"),
+        whole_row(pages).alias("row"), column(pages, html_column).cast("string").alias("html")
     )
     return rows.mapInArrow(_extract_rows, T.StructType([rows.schema["row"]]).add("main_text", "string"))

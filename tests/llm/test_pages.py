@@ -125,3 +125,35 @@ def test_extract_rows(spark):
     assert got.select("row.*").columns == pages.columns
     assert sorted(r.main_text for r in got.collect()) == sorted(["", *["\n".join(["Title", *PROSE])] * 2])
     assert extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_names_that_mislead():
+    body = "".join(f"<p>{p.replace('&', '&amp;').replace('<', '&lt;')}</p>" for p in PROSE)
+    want = "\n".join(PROSE)
+    side = f"<div class='sidebar'><p>{NOISE}</p></div>"
+    for around in ("<div class='layout has-sidebar'>", "<div class='no-comments'>", "<div class='side-by-side'>",
+                   "<div class='post share-open'>", "<form id='aspnetForm'>", "<div id='sidebar-page'>"):
+        end = "</form>" if around.startswith("<form") else "</div>"
+        assert extract(f"<body>{around}{body}{end}</body>") == want, around
+        assert extract(f"<body>{around}{side}<div>{body}</div>{end}<footer>x</footer></body>") == want, around
+    assert extract(f"<body><div class='comments'><p>{NOISE}</p></div><div>{body}</div></body>") == want
+
+
+def test_headings_beside_the_best_container_stay():
+    body = "".join(f"<p>{p.replace('&', '&amp;').replace('<', '&lt;')}</p>" for p in PROSE)
+    want = "\n".join(["Flood", *PROSE])
+    assert extract(f"<body><div><h1>Flood</h1><div class='body'>{body}</div></div></body>") == want
+    other = f"<body><div><h2>Links</h2><ul><li>a</ul><h1>Flood</h1><div class='body'>{body}</div><h2>More</h2></div></body>"
+    assert extract(other) == want
+
+
+def test_depth_costs_no_more_than_length():
+    import time
+
+    def seconds(n):
+        begin = time.perf_counter()
+        extract("<div>some text that is long enough to score " * n)
+        return time.perf_counter() - begin
+
+    seconds(500)
+    assert seconds(8000) < 20 * max(seconds(1000), 0.01)
