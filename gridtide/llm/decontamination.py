@@ -7,6 +7,12 @@ of a document that align with an item in one place form a match; its slots must
 equal values of the item stand against equal values of the document. So a question with other
 numbers and names is caught, and a text that only shares the frame is not.
 
+A capitalised word that begins a sentence may be a name or not: its windows are joined in both
+readings. And every window is joined as it stands as well, in lower case and with nothing
+replaced, so that copies in any case and items of numbers and names alone are found; windows that
+are mostly placeholders meet in this form only. An item counts as held if enough of all its
+windows match, or if enough consecutive words of it are there as they stand.
+
 A fixed-size table of bits of the benchmark's window hashes lets tasks drop almost all windows
 before the join; whatever its load, no match is lost.
 """
@@ -18,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, Window as W
 
 from gridtide.llm.rows import TextRows, unpacked
 from gridtide.llm.windows import BYTE_CODES, _gram_hash, mix, range_hash, text_blocks, words_of
@@ -26,6 +32,8 @@ from gridtide.staging import stage
 
 WINDOW = 8
 MIN_SHARE = 0.5
+#: consecutive words of an item, as they stand, that are enough whatever their share
+MIN_RUN = 13
 BITS = 1 << 22
 # fixed values: units that may follow a number
 UNITS = frozenset(
@@ -36,7 +44,8 @@ UNITS = frozenset(
 )
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?")
 MIXED = re.compile(r"[+-]?[$€£]?\d[\d.,]*[^\W\d_]+")
-HELD = "window long, doc long, mark binary, at long, slots array<string>, size int"
+HELD = "window long, doc long, mark binary, at long, slots array<string>, size int, verbatim boolean"
+VERBATIM = np.uint64(1 << 20)
 
 
 SLOT_CODES = mix(np.array([11, 12, 13], dtype=np.uint64))
@@ -66,8 +75,9 @@ def _changed(data, at, low, low_at, live) -> np.ndarray:
 
 
 def canonical(data: np.ndarray, begins: np.ndarray):
-    """Of the texts of a block: canonical codes of all words, which of them are slots, the first
-    word of each text (with the end as last), and where each word's core lies."""
+    """Of the texts of a block: codes of all words as they stand and canonical ones, which of them
+    are slots, which open a sentence and may be names, the first word of each text (with the end
+    as last), and where each word's core lies."""
     whole = data.tobytes()
     lowered = [
         whole[a:b].decode("utf-8", "replace").lower().encode()
@@ -105,9 +115,10 @@ def canonical(data: np.ndarray, begins: np.ndarray):
     real = np.diff(first) > 0
     opens[first[:-1][real]] = True
     unit[first[:-1][real]] = False
-    name = capital & ~opens & ~number & ~unit
-    code = np.select([number, unit, name], list(SLOT_CODES), code)
-    return code, number | unit | name, first, begin, stop
+    capital &= ~number & ~unit
+    name = capital & ~opens
+    template = np.select([number, unit, name], list(SLOT_CODES), code)
+    return code, template, number | unit | name, capital & opens, first, begin, stop
 
 
 def _windows(sizes: tuple[int, ...], bits, whole_items: bool, window: int):
@@ -117,38 +128,49 @@ def _windows(sizes: tuple[int, ...], bits, whole_items: bool, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = None if bits is None else bits.value
         for batch, data, begins in text_blocks(batches):
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[] for _ in range(7)]
             ids, marks = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            code, slot, first, begin, stop = canonical(data, begins)
-            plain = np.append(0, np.cumsum(~slot))
+            code, template, slot, opener, first, begin, stop = canonical(data, begins)
             length = np.diff(first)
             owner = np.repeat(np.arange(len(length)), length)
+            named = np.where(opener, SLOT_CODES[2], template)
+            slots, openers = np.append(0, np.cumsum(slot)), np.append(0, np.cumsum(opener))
+            none = np.zeros(len(code), dtype=bool)
             for size in sizes:
                 if len(code) < size:
                     continue
-                with np.errstate(over="ignore"):
-                    hashed = mix(_gram_hash(code, size) + np.uint64(size))
-                n = len(hashed)
-                good = owner[:n] == owner[size - 1:]
-                good &= 2 * (plain[size:] - plain[:n]) >= size  # mostly words, not slots
-                if mask is not None:
-                    good &= mask[(hashed & np.uint64(BITS - 1)).astype(np.int64)]
+                n = len(code) - size + 1
+                inside = owner[:n] == owner[size - 1:]
                 if whole_items:
-                    good &= (length[owner[:n]] == size) | (size == window)
-                for i in np.flatnonzero(good).tolist():
-                    d = int(owner[i])
-                    values_at = [
-                        data[begin[k]: stop[k]].tobytes().decode("utf-8", "replace")
-                        for k in range(i, i + size) if slot[k]
-                    ]
-                    values = (int(hashed[i].astype(np.int64)), ids[d], marks[d],
-                              i - int(first[d]), values_at, size)
-                    for column, value in zip(out, values):
-                        column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.string()), pa.int32())
+                    inside &= (length[owner[:n]] == size) | (size == window)
+                n_slots, n_openers = slots[size:] - slots[:n], openers[size:] - openers[:n]
+                wordy = 2 * n_slots <= size  # mostly words, not slots
+                # as they stand; as templates; as templates with openers read as names
+                forms = (
+                    (code, none, inside, VERBATIM),
+                    (template, slot, inside & wordy & (n_slots > 0), np.uint64(0)),
+                    (named, slot | opener, inside & wordy & (n_openers > 0), np.uint64(0)),
+                )
+                for codes, at_slots, good, salt in forms:
+                    with np.errstate(over="ignore"):
+                        hashed = mix(_gram_hash(codes, size) + np.uint64(size) + salt)
+                    if mask is not None:
+                        good = good & mask[(hashed & np.uint64(BITS - 1)).astype(np.int64)]
+                    for i in np.flatnonzero(good).tolist():
+                        d = int(owner[i])
+                        values_at = [
+                            data[begin[k]: stop[k]].tobytes().decode("utf-8", "replace")
+                            for k in range(i, i + size) if at_slots[k]
+                        ]
+                        values = (int(hashed[i].astype(np.int64)), ids[d], marks[d],
+                                  i - int(first[d]), values_at, size, bool(salt))
+                        for column, value in zip(out, values):
+                            column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.string()), pa.int32(),
+                     pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=t) for c, t in zip(out, kinds)],
-                names=["window", "doc", "mark", "at", "slots", "size"],
+                names=["window", "doc", "mark", "at", "slots", "size", "verbatim"],
             )
 
     return run
@@ -157,13 +179,14 @@ def _windows(sizes: tuple[int, ...], bits, whole_items: bool, window: int):
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     item_column: str = "item_id", item_text: str = "text", window: int = WINDOW,
-    min_share: float = MIN_SHARE,
+    min_share: float = MIN_SHARE, min_run: int = MIN_RUN,
 ) -> DataFrame:
-    """(doc, mark, item_id, n_windows, share): documents that hold an item, as it is or with
+    """(doc, mark, item_id, n_windows, share, run): documents that hold an item, as it is or with
     other numbers, units and names.
 
     ``share`` is the part of the item's windows that consistent matches in the document cover;
-    pairs of at least ``min_share`` are returned. An item of fewer than ``window`` words is one
+    ``run`` the longest run of its words that the document holds as they stand (in any case, 0 if
+    shorter than a window). Pairs of at least ``min_share`` or ``min_run`` are returned. An item of fewer than ``window`` words is one
     window of them all. Null texts have no words; rows without id (of either table) are left
     out; rows that repeat an id count each by its own text (``mark``, :mod:`rows`), equal rows
     once; tables without rows give none.
@@ -174,23 +197,25 @@ def contaminated(
         TextRows(benchmark, item_column, item_text).texts().where("doc is not null")
         .mapInArrow(_windows(sizes, None, True, window), HELD)
         .selectExpr("window", "doc as item_id", "mark as item_mark", "at as item_at",
-                    "slots as item_slots", "size").distinct(),
+                    "slots as item_slots", "size", "verbatim").distinct(),
         "item-windows",
     )
     total = items.groupBy("item_id", "item_mark").agg(F.countDistinct("item_at").alias("total"))
-    used = items.select(
-        F.col("window").bitwiseAND(BITS - 1).alias("bit"), "size"
-    ).distinct().toPandas()  # at most BITS * window rows, whatever the size of the benchmark
-    table = np.zeros(BITS, dtype=bool)
-    table[used["bit"].to_numpy(dtype=np.int64)] = True
-    bits = spark.sparkContext.broadcast(table)
-    sizes = tuple(sorted({int(s) for s in used["size"]}, reverse=True))
+    # a bit per window hash, put together in Spark: at most BITS / 8 rows whatever the benchmark
+    bit = F.col("window").bitwiseAND(BITS - 1)
+    octets = items.groupBy(F.shiftright(bit, 3).alias("octet")).agg(
+        F.expr("bit_or(shiftleft(1, cast(window & 7 as int)))").alias("bits")
+    ).toPandas()
+    packed = np.zeros(BITS // 8, dtype=np.uint8)
+    packed[octets["octet"].to_numpy(dtype=np.int64)] = octets["bits"].to_numpy(dtype=np.uint8)
+    bits = spark.sparkContext.broadcast(np.unpackbits(packed, bitorder="little").astype(bool))
+    sizes = tuple(sorted({r["size"] for r in items.select("size").distinct().collect()}, reverse=True))
     found = (
         TextRows(docs, id_column, text_column).texts().where("doc is not null")
         .mapInArrow(_windows(sizes, bits, False, window), HELD)
     )
     match = stage(
-        found.drop("size").join(items, "window").withColumn("shift", F.col("at") - F.col("item_at"))
+        found.drop("size", "verbatim").join(items, "window").withColumn("shift", F.col("at") - F.col("item_at"))
         .drop("window", "at", "size"),
         "matches",
     )
@@ -203,16 +228,25 @@ def contaminated(
         .agg(F.min("pair.slots").alias("least"), F.max("pair.slots").alias("most"))
         .where("least != most").select(*place).distinct()
     )
-    sound = match.drop("slots", "item_slots").join(broken, place, "left_anti")
-    counted = sound.groupBy("doc", "mark", "item_id", "item_mark").agg(
-        F.countDistinct("item_at").alias("n_windows")
+    match = match.drop("slots", "item_slots")
+    sound = match.where("verbatim").unionByName(match.where("not verbatim").join(broken, place, "left_anti"))
+    whose = ["doc", "mark", "item_id", "item_mark"]
+    counted = sound.groupBy(*whose).agg(F.countDistinct("item_at").alias("n_windows"))
+    # neighbouring windows of one place: their numbers less their order are equal
+    order = W.partitionBy(*place).orderBy("item_at")
+    stretch = F.col("item_at") - F.row_number().over(order)
+    runs = (
+        match.where("verbatim").select(*place, "item_at").distinct()
+        .withColumn("stretch", stretch).groupBy(*place, "stretch").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*whose).agg((F.max("n") + (window - 1)).alias("run"))
     )
     share = F.col("n_windows") / F.col("total")
     return (
-        counted.join(total, ["item_id", "item_mark"]).withColumn("share", share)
-        .where(F.col("share") >= min_share)
+        counted.join(total, ["item_id", "item_mark"]).join(runs, whose, "left")
+        .withColumn("share", share).withColumn("run", F.coalesce("run", F.lit(0)))
+        .where((F.col("share") >= min_share) | (F.col("run") >= min_run))
         .groupBy("doc", "mark", "item_id")
-        .agg(F.max("n_windows").alias("n_windows"), F.max("share").alias("share"))
+        .agg(F.max("n_windows").alias("n_windows"), F.max("share").alias("share"), F.max("run").alias("run"))
     )
 
 
