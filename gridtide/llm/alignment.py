@@ -85,13 +85,15 @@ def piece_encoder(path: str) -> Callable[[str], bytes]:
         if len(known) > CACHE:
             known.clear()
             known.update(space)
-        out = []
-        for unit in UNIT.findall(" " + text):
-            ids = known.get(unit)
-            if ids is None:
-                ids = known[unit] = ids_of(unit[1:])  # the model adds that space again
-            out.append(ids)
-        return b"".join(out)
+        units = UNIT.findall(" " + text)
+        found = list(map(known.get, units))
+        if None in found:
+            new = list({unit for unit, ids in zip(units, found) if ids is None})
+            # the model adds the first space of a part again
+            for unit, ids in zip(new, model.encode([unit[1:] for unit in new], num_threads=1)):
+                known[unit] = np.asarray(ids, dtype=np.uint32).tobytes()
+            found = [known[unit] for unit in units]
+        return b"".join(found)
 
     return run
 

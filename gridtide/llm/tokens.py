@@ -11,8 +11,8 @@ from collections.abc import Callable
 SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-#: a space that has other white space or an edge of the text beside it
-ODD_SPACE = re.compile(r"\s | \s|\A | \Z")
+#: a space that has other white space or the end of the text beside it
+ODD_SPACE = re.compile(r"\s | \s| \Z")
 CACHE = 300_000
 
 
