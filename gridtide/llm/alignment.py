@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from gridtide.llm.rows import column, text_of
-from gridtide.llm.tokens import encoder, token_bytes
+from gridtide.llm.tokens import encoder, kept, token_bytes
 from gridtide.llm.windows import text_blocks
 from gridtide.staging import stage
 
@@ -213,7 +213,7 @@ class Aligner:
 
 def _align(a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(a_path, b_path)
+        aligner = kept(Aligner, a_path, b_path)
         for rows, _, _ in text_blocks(batches, BLOCK_BYTES):
             texts = rows.column(1).cast(pa.string()).to_pylist()
             out = aligner.align(texts).add_column(0, "doc", [rows.column(0)])
@@ -294,5 +294,5 @@ def align_documents(
     counts = pair_counts(rows).toPandas().sort_values("pair")
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((counts["pair"].to_numpy(), counts["n"].to_numpy()))
-    kept = ", ".join(field for field in ALIGNED.split(", ") if not field.startswith("pairs"))
-    return rows.mapInArrow(_counted(shared), f"{kept}, {FACTS}")
+    columns = ", ".join(field for field in ALIGNED.split(", ") if not field.startswith("pairs"))
+    return rows.mapInArrow(_counted(shared), f"{columns}, {FACTS}")

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from gridtide.llm.rows import column, text_of
-from gridtide.llm.tokens import encoder
+from gridtide.llm.tokens import encoder, kept
 from gridtide.llm.windows import text_blocks, word_codes, words_of
 from gridtide.staging import stage
 
@@ -266,7 +266,7 @@ class Stretch:
 
 def _fill(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, plain=False)
+        encode = kept(encoder, path, False)
         stretch = Stretch(length, TaskContext.get().partitionId() << 40)
         for batch in batches:
             for begin in range(0, batch.num_rows, ROWS):

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from gridtide.llm.rows import column, text_of
-from gridtide.llm.tokens import encoder
+from gridtide.llm.tokens import encoder, kept
 from gridtide.staging import stage
 
 LENGTH = 2048
@@ -39,7 +39,7 @@ def cut(size: int, length: int) -> list[tuple[int, int]]:
 
 def _pieces(path: str, length: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, plain=False)
+        encode = kept(encoder, path, False)
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 rows = batch.slice(begin, 500)

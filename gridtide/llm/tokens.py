@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from array import array
 from collections.abc import Callable
 
@@ -62,6 +63,17 @@ def token_bytes(path: str) -> list[bytes]:
     return [out.get(i, b"") for i in range(max(out) + 1)]
 
 
+def kept(make: Callable, *arguments):
+    """``make(*arguments)``, made once in a Python worker and kept over its tasks.
+
+    Functions travel to workers by value, with globals of their own; the interpreter's last."""
+    objects = vars(sys).setdefault("_gridtide_kept", {})
+    name = (make.__module__, make.__qualname__, *arguments)
+    if name not in objects:
+        objects[name] = make(*arguments)
+    return objects[name]
+
+
 def encoder(path: str, plain: bool = True) -> Callable[[str], bytes]:
     """Text to its ids as little-endian unsigned 32-bit numbers. ``plain``: the strings of
     special tokens in a text are ordinary text; else they are those tokens.
