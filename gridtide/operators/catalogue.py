@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
 
 from gridtide.functions.releases import release_key, release_month
 from gridtide.functions.text import strip
+from gridtide.operators.containment import containing
 from gridtide.schemas import CATALOGUES, FAMILIES, FILE_INDEX
 
 SEARCH_FIELDS = ["cat_no", "title", "description", "file_title", "table_title", "filename"]
-# Index rows of one catalogue are spread over this many slices when free-text requests
-# have to be compared with them.
-SLICES = 16
+
+REQUEST = "request_id INT, cat_no STRING, file STRING, release STRING, cube BOOLEAN"
 
 
 def key(text: Column) -> Column:
@@ -110,47 +110,63 @@ def select_files(index: DataFrame, requests: DataFrame) -> DataFrame:
 
     ``requests`` has ``request_id, cat_no, file, release, cube``: ``file`` (or null) is a
     text inside title or file name, or a table number; ``release`` (or null for the
-    latest) a key like ``apr-2024``. Later releases win, then the file name; a
-    time-series request without ``file`` prefers table 1. Requests without ``file`` meet
-    one pre-aggregated row per catalogue or release, never all files of a catalogue.
+    latest) a key like ``apr-2024``. A column ``release_day`` may give the release as a date
+    instead, which stands for its month; if the catalogue has none in that month, the reason names
+    the nearest ones. Later releases win, then the file name; a time-series request without
+    ``file`` prefers table 1.
+
+    Requests without ``file`` meet one pre-aggregated row per catalogue or release, never all
+    files of a catalogue; texts are looked up in an index of their parts, table numbers by
+    equality. Requests that say the same are answered once.
     """
     candidates = _candidates(index)
+    day = F.col("release_day").cast("date") if "release_day" in requests.columns else F.lit(None).cast("date")
     wanted = requests.select(
         "request_id", "cat_no",
         key(F.col("cat_no")).alias("cat_key"),
-        key(F.col("release")).alias("release_key"),
-        "cube",
-        key(F.col("file")).alias("file_key"),
+        F.coalesce(release_key(F.trunc(day, "month")), key(F.col("release"))).alias("release_key"),
+        day.alias("release_day"), "cube", key(F.col("file")).alias("file_key"),
     )
-    table_first = F.when(F.col("cube"), 0).otherwise(F.col("other_table"))
-    best = F.min(F.struct(table_first.alias("t"), "ranked"))["ranked"].alias("best")
     kind, dated = ["cat_key", "cube"], ["cat_key", "cube", "release_key"]
-    by_kind = candidates.groupBy(*kind).agg(best)
-    by_release = candidates.groupBy(*dated).agg(best)
+    best = F.min("ranked").alias("best")
 
+    table_first = F.when(F.col("cube"), 0).otherwise(F.col("other_table"))
+    preferred = F.min(F.struct(table_first.alias("t"), "ranked"))["ranked"].alias("best")
+    by_kind = candidates.groupBy(*kind).agg(preferred)
+    by_release = candidates.groupBy(*dated).agg(preferred)
     open_file, latest = F.col("file_key").isNull(), F.col("release_key").isNull()
     plain = wanted.where(open_file & latest).join(by_kind, kind)
     at_release = wanted.where(open_file & ~latest).join(by_release, dated)
 
-    # Requests that say the same are answered once, and a large catalogue is compared
-    # with them in slices.
-    spec = [*kind, "wanted_release", "file_key"]
-    asked = wanted.where(~open_file).withColumnRenamed("release_key", "wanted_release")
-    specs = asked.select(*spec).distinct().withColumn(
-        "slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)))
+    spec = [*dated, "file_key"]
+    specs = wanted.where(~open_file).select(*spec).distinct()
+    # what a request can name: texts to look inside, table numbers, and (blank) anything
+    titles = F.array("title_key", "filename_key")
+    named = candidates.select(*dated, "ranked", F.explode(titles).alias("text")).where("text is not null")
+    tables = candidates.select(*dated, "ranked", F.col("table_key").alias("text"))
+    needles = specs.select(*kind, F.col("file_key").alias("needle"))
+    inside = containing(named, needles, kind)
+
+    def answers(rows: DataFrame, names: DataFrame) -> DataFrame:
+        """Best file of each spec, from rows by ``text`` and the texts each ``needle`` names."""
+        of = names.withColumnRenamed("needle", "file_key")
+        newest = rows.groupBy(*kind, "text").agg(best).join(of, [*kind, "text"])
+        undated = specs.where(latest).join(newest, [*kind, "file_key"])
+        monthly = rows.groupBy(*dated, "text").agg(best).join(of, [*kind, "text"])
+        at_month = specs.where(~latest).join(monthly, spec)
+        return undated.select(*spec, "best").unionByName(at_month.select(*spec, "best"))
+
+    blank = named.withColumn("text", F.lit(""))
+    same_text = needles.withColumn("text", F.col("needle"))
+    found = (
+        answers(named, inside)
+        .unionByName(answers(tables, same_text.distinct()))
+        .unionByName(answers(blank, same_text.where("needle = ''").distinct()))
+        .groupBy(*spec).agg(F.min("best").alias("best"))
     )
-    slice_no = F.pmod(F.xxhash64("ranked.row.url"), F.lit(SLICES)).cast("int")
-    matches = candidates.withColumn("slice", slice_no).join(specs, [*kind, "slice"]).where(
-        (F.col("wanted_release").isNull() | (F.col("wanted_release") == F.col("release_key")))
-        & (
-            F.col("title_key").contains(F.col("file_key"))
-            | F.col("filename_key").contains(F.col("file_key"))
-            | (F.col("table_key") == F.col("file_key"))
-        )
-    )
-    answers = matches.groupBy(*spec).agg(F.min("ranked").alias("best"))
-    same = [asked[name].eqNullSafe(answers[name]) for name in spec]
-    by_file = asked.join(answers, same).select(asked["request_id"], answers["best"])
+    asked = wanted.where(~open_file)
+    same = [asked[name].eqNullSafe(found[name]) for name in spec]
+    by_file = asked.join(found, same).select(asked["request_id"], found["best"])
 
     chosen = (
         plain.select("request_id", "best")
@@ -165,11 +181,23 @@ def select_files(index: DataFrame, requests: DataFrame) -> DataFrame:
         .join(by_kind.select(*kind, F.lit(True).alias("has_kind")), kind, "left")
         .join(by_release.select(*dated, F.lit(True).alias("has_release")), dated, "left")
     )
+    no_release = F.lit("no files for release")
+    if "release_day" in requests.columns:
+        months = index.select(
+            key(F.col("cat_no")).alias("cat_no"), release_month(F.col("release_date")).alias("release_date")
+        )
+        missing = status.where(F.col("release_day").isNotNull() & F.col("has_release").isNull())
+        told = missing_release_messages(
+            missing.select(F.col("cat_key").alias("cat_no"), F.col("release_day").alias("requested")), months
+        )
+        of = (status["cat_key"] == told["cat_no"]) & (status["release_day"] == told["requested"])
+        status = status.join(told.select("cat_no", "requested", "message"), of, "left").drop(told["cat_no"])
+        no_release = F.coalesce("message", no_release)
     error = (
         F.when(F.col("found").isNotNull(), None)
         .when(F.col("has_cat").isNull(), "no files for catalogue")
         .when(F.col("has_kind").isNull(), "no files of this kind")
-        .when(~latest & F.col("has_release").isNull(), "no files for release")
+        .when(~latest & F.col("has_release").isNull(), no_release)
         .otherwise("no file matched")
     )
     return status.select(
@@ -188,21 +216,27 @@ def select_file(
 ) -> DataFrame:
     """The one-request form of :func:`select_files`."""
     spark = index.sparkSession
-    request = spark.createDataFrame(
-        [(1, cat_no, file, release, cube)],
-        "request_id INT, cat_no STRING, file STRING, release STRING, cube BOOLEAN",
-    )
-    return select_files(index, request)
+    return select_files(index, spark.createDataFrame([(1, cat_no, file, release, cube)], REQUEST))
+
+
+def family_request(
+    spark: SparkSession, family: str, selector: str | None = None, release: str | None = None
+) -> tuple[DataFrame, bool]:
+    """The request that a named family stands for, and whether it is for a cube. ``selector``
+    names the cube of a cube family; time-series families have one workbook."""
+    cat_no, kind, default = _family(family)
+    is_cube = kind == "cube"
+    file = (selector or default) if is_cube else None
+    request = spark.createDataFrame([(1, cat_no, file, release, is_cube)], REQUEST)
+    return request, is_cube
 
 
 def family_files(
     index: DataFrame, family: str, selector: str | None = None, release: str | None = None
 ) -> DataFrame:
     """File of a named family such as "cpi" or "lfs_cube"."""
-    cat_no, kind, default = _family(family)
-    if kind == "cube":
-        return select_file(index, cat_no, selector or default, release, cube=True)
-    return select_file(index, cat_no, None, release)
+    request, _ = family_request(index.sparkSession, family, selector, release)
+    return select_files(index, request)
 
 
 def family_view(observations: DataFrame, family: str) -> DataFrame:
@@ -229,8 +263,12 @@ def distinct_releases(rows: DataFrame) -> DataFrame:
     )
 
 
-def release_files(index: DataFrame, requests: DataFrame) -> DataFrame:
-    """Files of the requested release months (``cat_no``, ``release_month``)."""
+def release_files(index: DataFrame, requests: DataFrame, strict: bool = False) -> DataFrame:
+    """Files of the requested release months (``cat_no``, ``release_month``).
+
+    ``strict`` also gives a row for each request without files: ``error`` says so and names the
+    nearest releases, the columns of the index are null.
+    """
     dated = index.withColumns(
         {
             "cat_key": key(F.col("cat_no")),
@@ -240,7 +278,33 @@ def release_files(index: DataFrame, requests: DataFrame) -> DataFrame:
     wanted = requests.select(
         key(F.col("cat_no")).alias("cat_key"), F.col("release_month").cast("date")
     ).distinct()
-    return dated.join(wanted, ["cat_key", "release_month"]).drop("cat_key")
+    found = dated.join(wanted, ["cat_key", "release_month"])
+    if not strict:
+        return found.drop("cat_key")
+    left = wanted.join(dated, ["cat_key", "release_month"], "left_anti")
+    months = dated.select(F.col("cat_key").alias("cat_no"), F.col("release_month").alias("release_date"))
+    told = missing_release_messages(
+        left.select(F.col("cat_key").alias("cat_no"), F.col("release_month").alias("requested")), months
+    ).select("cat_no", F.col("requested").alias("release_month"), F.col("message").alias("error"))
+    return found.drop("cat_key").withColumn("error", F.lit(None).cast("string")).unionByName(
+        told, allowMissingColumns=True
+    )
+
+
+def missing_release_messages(requests: DataFrame, releases: DataFrame) -> DataFrame:
+    """(cat_no, requested, message): why a release is not there, with up to three nearest ones."""
+    near = nearest_releases(requests, releases).groupBy("cat_no", "requested").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "release_date"))).alias("near")
+    )
+    listed = F.array_join(F.transform("near", lambda x: x["release_date"].cast("string")), ", ")
+    message = F.concat(
+        F.lit("release "), F.col("requested").cast("string"),
+        F.when(F.col("near").isNull(), F.lit(" is not available; no releases are known")).otherwise(
+            F.concat(F.lit(" is not available; nearest known releases: "), listed)
+        ),
+    )
+    asked = requests.select("cat_no", F.col("requested").cast("date").alias("requested")).distinct()
+    return asked.join(near, ["cat_no", "requested"], "left").select("cat_no", "requested", message.alias("message"))
 
 
 def nearest_releases(requests: DataFrame, releases: DataFrame, k: int = 3) -> DataFrame:

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.functions.text import strip
+from gridtide.operators.containment import containing, spread_join
 
+# Sheets with one name or number that a task takes.
+HOT_ROWS = 100_000
 TABLE_TOKEN = r"[0-9]+[a-z]?"
 
 
@@ -38,11 +41,12 @@ def table_matches(sheet: Column, request: Column) -> Column:
     return (request_key != "") & ((sheet_key == request_key) | by_content)
 
 
-def match_tables(sheets: DataFrame, requests: DataFrame) -> DataFrame:
+def match_tables(sheets: DataFrame, requests: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sheets matched by each request, from ``sheet`` and ``request`` columns.
 
-    Equi-joins only: requests with a number meet sheets by number token and by key, and
-    names that requests can contain are first reduced to distinct keys.
+    Equi-joins only: requests with a number meet sheets by number token and by key; other ones
+    look names up by their rarest part. Names and tokens that more than ``hot_rows`` sheets share
+    are dealt over several tasks.
     """
     asked = requests.select("request").distinct().withColumns(
         {
@@ -51,29 +55,22 @@ def match_tables(sheets: DataFrame, requests: DataFrame) -> DataFrame:
         }
     ).where(F.col("key") != "")
     named = sheets.withColumn("key", table_key(F.col("sheet")))
-    by_key = named.join(asked.drop("number"), "key").drop("key")
+    by_key = spread_join(named, asked.drop("number"), "key", hot_rows).drop("key")
     tokens = F.array_distinct(F.regexp_extract_all(F.lower("sheet"), F.lit(TABLE_TOKEN), 0))
-    by_number = (
-        named.drop("key").withColumn("number", F.explode(tokens))
-        .join(asked.where(F.col("number") != "").drop("key"), "number")
-        .drop("number")
-    )
-    # A word must be part of the name: names offer their substrings of the lengths asked
-    # for (at most as many lengths as the longest request has letters).
+    numbered = named.drop("key").withColumn("number", F.explode(tokens))
+    numbers = asked.where(F.col("number") != "").drop("key")
+    by_number = spread_join(numbered, numbers, "number", hot_rows).drop("number")
     words = asked.where(F.col("number") == "").drop("number")
-    lengths = [row["n"] for row in words.select(F.length("key").alias("n")).distinct().collect()]
-
-    def substrings(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length("key") - (n - 1))
-        pieces = F.transform(starts, lambda i: F.substring(F.col("key"), i, F.lit(n)))
-        return F.when(F.length("key") >= n, pieces).otherwise(F.array().cast("array<string>"))
-
-    out = by_key.unionByName(by_number)
-    if lengths:
-        every = F.array_distinct(F.flatten(F.array(*[substrings(n) for n in lengths])))
-        by_word = named.withColumn("key", F.explode(every)).join(words, "key").drop("key")
-        out = out.unionByName(by_word)
-    return out.distinct()
+    inside = containing(
+        named.select(F.col("key").alias("text")), words.select(F.col("key").alias("needle")), []
+    )
+    answers = inside.join(words, inside["needle"] == words["key"]).select(
+        F.col("text").alias("key"), "request"
+    )
+    by_word = spread_join(named, answers, "key", hot_rows).drop("key")
+    names = [*sheets.columns, "request"]
+    found = by_key.select(*names).unionByName(by_number.select(*names))
+    return found.unionByName(by_word.select(*names)).distinct()
 
 
 def cells_of_tables(cells: DataFrame, tables: str | int | Sequence[str | int]) -> DataFrame:

@@ -335,10 +335,16 @@ WITH rows AS (
   FROM lineitem GROUP BY 1, 2),
 cut AS (
   SELECT l_suppkey, min(l_orderkey) AS footer FROM rows
-  WHERE (tax >= 0.08 AND quantity <= 2) OR (quantity = 50 AND tax = 0) GROUP BY 1)
-SELECT 'Supplier ' || l_suppkey AS sheet, l_orderkey + 2 AS row_no, quantity
-FROM rows JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN cut USING (l_suppkey)
-WHERE s_acctbal >= 0 AND (footer IS NULL OR l_orderkey < footer)""",
+  WHERE (tax >= 0.08 AND quantity <= 2) OR (quantity = 50 AND tax = 0) GROUP BY 1),
+kept AS (
+  SELECT 'Supplier ' || l_suppkey AS sheet, l_orderkey + 2 AS row_no, l_orderkey, quantity
+  FROM rows JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN cut USING (l_suppkey)
+  WHERE s_acctbal >= 0 AND (footer IS NULL OR l_orderkey < footer))
+SELECT sheet, row_no, 'Quantity' AS name, quantity AS num, CAST(NULL AS VARCHAR) AS text FROM kept
+UNION ALL
+SELECT sheet, row_no, 'Order', NULL, CAST(l_orderkey AS VARCHAR) FROM kept
+UNION ALL
+SELECT sheet, row_no, 'Remark', NULL, 'All cells in' FROM kept WHERE quantity = 50""",
     "series_lookup": OBS + """
 SELECT series_id, sheet, date, l_returnflag, value FROM obs
 WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)""",
@@ -578,4 +584,48 @@ SELECT a.source_file AS path, CASE WHEN any_value(a.book) % 3 = 0 THEN 'second'
        CASE WHEN bool_or(a.no_file) THEN 1 ELSE count(*) FILTER (a.broken) END AS n_errors, any_value(total) AS total
 FROM all_sheets a LEFT JOIN sheets s USING (source_file, sheet_no) LEFT JOIN totals t USING (source_file)
 GROUP BY a.source_file""",
+    "release_by_date": INDEX + f""",
+requests AS (
+  SELECT o_orderkey AS request_id, {REQUEST_CAT} AS cat_no, CAST({REQUEST_MONTH} AS DATE) AS month FROM orders),
+months AS (SELECT DISTINCT cat_no, CAST(DATE '2020-01-01' + INTERVAL (p_size) MONTH AS DATE) AS known FROM idx),
+candidates AS (
+  SELECT request_id, filename, row_number() OVER (PARTITION BY request_id ORDER BY
+           CASE WHEN table_no = '1' THEN 0 ELSE 1 END, filename) AS rn
+  FROM requests JOIN idx ON requests.cat_no = idx.cat_no AND NOT idx.is_cube
+   AND lower(strftime(month, '%b-%Y')) = release_date),
+near AS (
+  SELECT request_id, known, row_number() OVER (PARTITION BY request_id
+           ORDER BY abs(date_diff('day', month + 14, known)), known) AS rn
+  FROM requests JOIN months USING (cat_no)),
+told AS (
+  SELECT request_id, string_agg(CAST(known AS VARCHAR), ', ' ORDER BY rn) AS listed FROM near WHERE rn <= 3
+  GROUP BY request_id)
+SELECT request_id, filename,
+       CASE WHEN filename IS NOT NULL THEN NULL
+            WHEN cat_no NOT IN (SELECT cat_no FROM idx) THEN 'no files for catalogue'
+            WHEN cat_no NOT IN (SELECT cat_no FROM idx WHERE NOT is_cube) THEN 'no files of this kind'
+            ELSE 'release ' || (month + 14) || ' is not available; nearest known releases: ' || listed END AS error
+FROM requests LEFT JOIN (SELECT * FROM candidates WHERE rn = 1) USING (request_id)
+     LEFT JOIN told USING (request_id)""",
+    "request_to_obs": GRID + """,
+requests AS (
+  SELECT ascii(l_returnflag) AS request_id, ascii(l_returnflag) - 64 AS no, ascii(l_returnflag) AS letter
+  FROM (SELECT DISTINCT l_returnflag FROM lineitem)
+  UNION ALL
+  SELECT 1, max(ascii(l_returnflag)) - 64, max(ascii(l_returnflag)) FROM lineitem)
+SELECT request_id, 'lineitem-' || no || '.xlsx' AS source_file, '6202.0' AS cat_no,
+       lower(strftime(DATE '2020-01-01' + INTERVAL (letter) MONTH, '%b-%Y')) AS release_date, 'Table ' || no AS sheet,
+       m AS date, 'S' || lpad(CAST(supp AS VARCHAR), 7, '0') AS series_id, v AS value
+FROM requests JOIN down USING (no)""",
+    "cube_provenance": MATRIX + """,
+requests AS (
+  SELECT ascii(l_returnflag) AS request_id, ascii(l_returnflag) - 64 AS no, l_returnflag AS flag
+  FROM (SELECT DISTINCT l_returnflag FROM lineitem)
+  UNION ALL
+  SELECT 1, max(ascii(l_returnflag)) - 64, max(l_returnflag) FROM lineitem)
+SELECT request_id, 'matrix-' || r.no || '.xlsx' AS source_file, '6202.0' AS cat_no,
+       lower(strftime(DATE '2020-01-01' + INTERVAL (ascii(flag)) MONTH, '%b-%Y')) AS release_date,
+       'matrix-' || r.no || '.xlsx' AS "cube", 'Flag ' || flag AS cube_title, date, v AS value,
+       status AS "Status", nation AS "Nation_key"
+FROM requests r JOIN matrix ON sheet = 'Flows ' || r.no""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 
@@ -20,7 +21,7 @@ from gridtide.functions.urls import (
     absolute_url, extension, file_type, is_generic_label, table_no_from_filename, title_score,
     url_filename, without_query,
 )
-from gridtide.operators import catalogue, cubes, discovery, sdmx, series, timeseries
+from gridtide.operators import catalogue, cubes, discovery, requests, sdmx, series, timeseries
 from gridtide.operators.context import looks_like_table_title, sheet_context
 from gridtide.operators.sheets import infer_frequency
 from gridtide.operators.tables import match_tables
@@ -291,9 +292,9 @@ def cube_auto_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def footer_and_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = stored_cells(inputs.supplier_footer_cells(spark, sf_dir))
     records = cubes.generic_records(cubes.without_notes(cells))
-    return records.where(F.col("name") == "Quantity").select(
-        "sheet", "row_no", F.col("num").alias("quantity")
-    )
+    # the text of a number is as its writer spelt it
+    text = F.when(F.col("num").isNull(), F.col("text")).alias("text")
+    return records.select("sheet", "row_no", "name", "num", text)
 
 
 # ---------------------------------------------------------------- series
@@ -798,6 +799,83 @@ def ingest_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def release_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of releases given as dates, or why there are none."""
+    orders = table(spark, sf_dir, "orders")
+    number = F.lpad((F.col("o_custkey") % 30 + 1).cast("string"), 2, "0")
+    month = F.add_months(F.lit("2020-01-01").cast("date"), (F.col("o_orderkey") % 60).cast("int"))
+    requests = orders.select(
+        F.col("o_orderkey").alias("request_id"),
+        F.concat(F.lit("62"), number, F.lit(".0")).alias("cat_no"),
+        F.lit(None).cast("string").alias("file"), F.lit(None).cast("string").alias("release"),
+        F.date_add(month, 14).alias("release_day"), F.lit(False).alias("cube"),
+    )
+    found = catalogue.select_files(inputs.part_index(spark, sf_dir), requests)
+    return found.select("request_id", "filename", "error")
+
+
+def _flag_files(cells: DataFrame, prefix: str) -> DataFrame:
+    """Cells with a file for each return flag."""
+    number = (F.col("sheet_no") % 100).cast("string")
+    return cells.withColumn("source_file", F.concat(F.lit(prefix + "-"), number, F.lit(".xlsx")))
+
+
+def _flag_index(spark: SparkSession, sf_dir: str, prefix: str, is_cube: bool) -> DataFrame:
+    """Index rows of those files: one catalogue, a release each, the later the flag the later."""
+    flags = table(spark, sf_dir, "lineitem").select("l_returnflag").distinct()
+    number = (F.ascii("l_returnflag") - F.ascii(F.lit("A")) + 1).cast("string")
+    month = F.add_months(F.lit("2020-01-01").cast("date"), F.ascii("l_returnflag"))
+    null = F.lit(None).cast("string")
+    filename = F.concat(F.lit(prefix + "-"), number, F.lit(".xlsx"))
+    return flags.select(
+        F.lit("6202.0").alias("cat_no"), F.lit("Line items").alias("title"), null.alias("description"),
+        null.alias("page_url"), release_key(month).alias("release_date"),
+        F.concat(F.lit("Flag "), "l_returnflag").alias("file_title"),
+        F.concat(F.lit(BASE_URL + "/"), filename).alias("url"), filename.alias("filename"),
+        F.lit("xlsx").alias("file_type"), null.alias("table_no"), null.alias("table_title"),
+        F.lit(not is_cube).alias("is_timeseries"), F.lit(is_cube).alias("is_cube"),
+    )
+
+
+def _flag_requests(spark: SparkSession, sf_dir: str, is_cube: bool) -> DataFrame:
+    """A request by title for each flag, one for the latest release, one for a month without."""
+    flags = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag")).distinct()
+    by_title = flags.select(
+        F.ascii("flag").alias("request_id"), F.concat(F.lit("flag "), F.lower("flag")).alias("file"),
+        F.lit(None).cast("date").alias("release_day"),
+    )
+    others = spark.createDataFrame([(1, None, None), (2, None, datetime.date(1999, 1, 5))], by_title.schema)
+    return by_title.unionByName(others).select(
+        "request_id", F.lit("6202.0").alias("cat_no"), "file", F.lit(None).cast("string").alias("release"),
+        "release_day", F.lit(is_cube).alias("cube"),
+    )
+
+
+def request_to_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations of requested files, with what the index says about each."""
+    cells = _flag_files(stored_cells(inputs.supplier_month_cells(spark, sf_dir)), "lineitem")
+    found = requests.read_requests(
+        cells, _flag_index(spark, sf_dir, "lineitem", False), _flag_requests(spark, sf_dir, False)
+    )
+    return found.select(
+        "request_id", "source_file", "cat_no", "release_date", "sheet", "date", "series_id", "value"
+    )
+
+
+def cube_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cubes of requested files, each row with the provenance of its file."""
+    cells = _flag_files(stored_cells(inputs.nation_matrix_cells(spark, sf_dir)), "matrix")
+    found = requests.read_requested_cubes(
+        cells, _flag_index(spark, sf_dir, "matrix", True), _flag_requests(spark, sf_dir, True),
+        family="labelled_matrix",
+    )
+    named = cubes.dims_to_columns(found, ["Status", "Nation_key"])
+    return named.select(
+        "request_id", "source_file", "cat_no", "release_date", "cube", "cube_title", "date", "value",
+        "Status", "Nation_key",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "tidy_time_down": tidy_time_down,
     "tidy_time_across": tidy_time_across,
@@ -853,6 +931,9 @@ QUERIES: dict[str, Query] = {
     "union_by_name": union_by_name,
     "source_inventory": source_files,
     "incremental_ingest": incremental_ingest,
+    "release_by_date": release_by_date,
+    "request_to_obs": request_to_obs,
+    "cube_provenance": cube_provenance,
     "workbook_cells": workbook_cells,
     "workbook_sheets": workbook_sheets,
     "workbook_tables": workbook_tables,
