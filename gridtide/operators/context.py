@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.functions.releases import release_text
 from gridtide.functions.text import clean_text, metadata_key, table_no
-from gridtide.operators.sheets import first_by, infer_frequency, label_role, with_periods
+from gridtide.operators.sheets import (
+    first_by, infer_frequency, join_sheets, label_role, with_periods,
+)
 from gridtide.schemas import CATALOGUE_KEYS, RELEASE_KEYS, SHEET
+from gridtide.staging import stage
 
+# The head of a sheet has at least so many rows, whatever its dates.
 HEAD_ROWS = 30
+# What a title, a catalogue number and a release read like.
 TABLE_START = r"(?i)^tables?\s*[0-9]+[a-z]?\b"
 TABLE_INSIDE = r"(?i)\btable\s*[0-9]+[a-z]?\b"
 NUMBER = r"\b[0-9]{4}(?:\.[0-9]+)*\b"
@@ -43,52 +48,66 @@ def sheet_extent(cells: DataFrame) -> DataFrame:
     )
 
 
-def head_facts(cells: DataFrame) -> DataFrame:
-    """Catalogue number, release text and title found in the first 30 rows of each sheet.
+def head_facts(cells: DataFrame, extents: DataFrame) -> DataFrame:
+    """Catalogue number, release text and title in the head of each sheet: what is said first.
 
-    Cells are reduced to one row per sheet row first; the window then spans at most 30
-    rows of a sheet, however wide the sheet is.
+    The head is what lies above the first date of column 1, the whole sheet if there is none, and
+    ``HEAD_ROWS`` rows at least. Nothing is numbered or windowed: labels, texts that say a number or
+    a release, and titles are few and picked by filters; ordered minima of their rows choose.
     """
-    text = clean_text(F.col("text"))
-    head = with_periods(cells).where(F.col("row_no") <= HEAD_ROWS).select(
-        *SHEET, "row_no", "col_no", "period_date", text.alias("text")
-    )
-    first_cell, right = F.col("col_no") == 1, F.col("col_no") > 1
     text = F.col("text")
+    plain = cells.select(*SHEET, "row_no", "col_no", clean_text(text).alias("text"))
+    row = [*SHEET, "row_no"]
+    label = metadata_key(text)
+    labels = plain.where((F.col("col_no") == 1) & label.isin(CATALOGUE_KEYS + RELEASE_KEYS)).select(
+        *row, label.alias("row_key")
+    )
     number = F.regexp_extract(text, NUMBER, 0)
+    beside = plain.where((F.col("col_no") > 1) & text.isNotNull()).join(labels.select(*row), row)
+    right = beside.groupBy(*row).agg(
+        first_by(number != "", "col_no", number).alias("right_number"),
+        first_by(text.isNotNull(), "col_no", text).alias("right_text"),
+    )
     free_number = F.regexp_extract(text, CATALOGUE_TEXT, 1)
     free_release = F.regexp_extract(text, RELEASE_TEXT, 1)
-    title = F.struct(
-        (-table_title_score(text)).alias("rank"), F.col("col_no"), text.alias("value")
-    )
-    rows = head.groupBy(*SHEET, "row_no").agg(
-        F.max(F.when(first_cell, metadata_key(text))).alias("row_key"),
-        F.max(first_cell & F.col("period_date").isNotNull()).alias("dated"),
-        first_by(right & (number != ""), "col_no", number).alias("right_number"),
+    lower = F.lower(text)
+    saying = plain.where(lower.contains("catalogue") | lower.contains("release"))
+    free = saying.groupBy(*row).agg(
         first_by(free_number != "", "col_no", free_number).alias("free_number"),
-        first_by(right, "col_no", text).alias("right_text"),
         first_by(free_release != "", "col_no", free_release).alias("free_release"),
-        F.min(F.when(looks_like_table_title(text), title)).alias("title"),
     )
-    sheet = W.partitionBy(*SHEET)
-    date_row = F.min(F.when(F.col("dated"), F.col("row_no"))).over(sheet)
+    rows = labels.join(right, row, "left").join(free, row, "full")
     row_key = F.coalesce("row_key", F.lit(""))
     labelled = F.when(row_key.isin(CATALOGUE_KEYS), F.col("right_number"))
     # A release label row gives its first text to the right or nothing at all.
-    release = F.when(row_key.isin(RELEASE_KEYS), F.col("right_text")).otherwise(
-        F.col("free_release")
+    release = F.when(row_key.isin(RELEASE_KEYS), F.col("right_text")).otherwise(F.col("free_release"))
+    said = rows.select(
+        *row, F.coalesce(labelled, "free_number").alias("cat_no"), release.alias("release")
+    ).groupBy(*SHEET).agg(
+        F.min(F.when(F.col("cat_no").isNotNull(), F.struct("row_no", "cat_no"))).alias("cat"),
+        F.min(F.when(F.col("release").isNotNull(), F.struct("row_no", "release"))).alias("rel"),
     )
-    found = rows.select(
-        *SHEET, "row_no", "title", date_row.alias("date_row"),
-        F.coalesce(labelled, "free_number").alias("cat_no"),
-        release.alias("release"),
+    titles = plain.where(lower.contains("table") & looks_like_table_title(text))
+    above = F.col("first_date_row").isNull() | (F.col("row_no") < F.col("first_date_row"))
+    titled = join_sheets(titles, extents.select(*SHEET, "max_row", "first_date_row")).where(above)
+    best = titled.groupBy(*SHEET).agg(
+        first_by(
+            text.isNotNull(), (F.col("row_no") > HEAD_ROWS), -table_title_score(text), "row_no", "col_no", text
+        ).alias("title")
     )
-    above = F.col("date_row").isNull() | (F.col("row_no") < F.col("date_row"))
-    is_title = F.col("title").isNotNull() & above
-    return found.groupBy(*SHEET).agg(
-        first_by(F.col("cat_no").isNotNull(), "row_no", "cat_no").alias("found_cat_no"),
-        first_by(F.col("release").isNotNull(), "row_no", "release").alias("found_release"),
-        first_by(is_title, "title.rank", "row_no", "title.col_no", "title.value").alias("title"),
+
+    def in_head(name: str, value: str) -> Column:
+        row_no = F.col(f"{name}.row_no")
+        early = (row_no <= HEAD_ROWS) | F.col("first_date_row").isNull() | (row_no < F.col("first_date_row"))
+        return F.when(early, F.col(f"{name}.{value}"))
+
+    return (
+        extents.select(*SHEET, "first_date_row")
+        .join(said, SHEET, "left").join(best, SHEET, "left")
+        .select(
+            *SHEET, in_head("cat", "cat_no").alias("found_cat_no"),
+            in_head("rel", "release").alias("found_release"), "title",
+        )
     )
 
 
@@ -101,9 +120,10 @@ def sheet_facts(
     """
     cells = with_periods(cells)
     column_dates = cells.where((F.col("col_no") == 1) & F.col("period_date").isNotNull())
+    extents = stage(sheet_extent(cells), "extents")
     joined = (
-        sheet_extent(cells)
-        .join(head_facts(cells), SHEET, "left")
+        extents
+        .join(head_facts(cells, extents), SHEET, "left")
         .join(infer_frequency(column_dates, SHEET), SHEET, "left")
     )
     title = F.coalesce("title", "sheet")

@@ -20,6 +20,7 @@ FOOTER_STARTS = ["note", "source", "footnote", "comments", "©"]
 FOOTER_SENTENCE = "cells in this table"
 NOTES_NAMES = ["note", "contents", "cover"]
 NOTES_STARTS = ["note", "explanatory"]
+NOTES_ROWS = 3
 
 PROVENANCE = ["source_file", "cat_no", "release_date", "cube", "cube_title", "sheet"]
 
@@ -39,33 +40,33 @@ def row_starts(cells: DataFrame) -> DataFrame:
 def footer_rows(cells: DataFrame) -> DataFrame:
     """Rows that read as a note, source or copyright line.
 
-    The start of a row's text is the start of its first filled cell, and only cells with
-    such a start are looked up. The sentence may run over several cells, so rows holding
-    a possible beginning of it are read as one text, those rows only.
+    The start of a row's text is the start of its first filled cell; the sentence may run over
+    several cells. One pass over the cells finds those that may begin or hold such a text, which
+    are few; a second one reads the rows of the doubtful ones whole (at most the columns of a
+    sheet).
     """
-    text = clean_text(F.col("text"))
-    plain = cells.select(*SHEET, "row_no", "col_no", F.lower(text).alias("text"))
-    candidates = plain.where(_starts(F.col("text"), FOOTER_STARTS))
-    first = candidates.where(F.col("col_no") == 1)
-    later = candidates.where(F.col("col_no") > 1)
-    their_rows = plain.join(later.select(*SHEET, "row_no").distinct(), [*SHEET, "row_no"], "left_semi")
-    starts = later.join(row_starts(their_rows), [*SHEET, "row_no", "col_no"], "left_semi")
+    row = [*SHEET, "row_no"]
+    text = F.col("text")
+    plain = cells.select(*row, "col_no", F.lower(clean_text(text)).alias("text"))
     words = FOOTER_SENTENCE.split()
-    beginnings = [" ".join(words[:n]) for n in range(1, len(words))]
     opens = F.lit(False)
-    for beginning in beginnings:
-        opens = opens | F.col("text").endswith(beginning)
-    whole = plain.where(F.col("text").contains(FOOTER_SENTENCE))
-    split_rows = plain.where(opens).select(*SHEET, "row_no").distinct()
-    in_row = W.partitionBy(*SHEET, "row_no").orderBy("col_no")
-    following = [F.lead("text", n).over(in_row) for n in range(len(words))]
-    across = (
-        plain.join(split_rows, [*SHEET, "row_no"], "left_semi")
-        .withColumn("joined", F.concat_ws(" ", *following))
-        .where(F.col("joined").contains(FOOTER_SENTENCE))
+    for n in range(1, len(words)):
+        opens = opens | text.endswith(" ".join(words[:n]))
+    starts, whole = _starts(text, FOOTER_STARTS), text.contains(FOOTER_SENTENCE)
+    candidates = stage(
+        plain.where(starts | whole | opens).select(
+            *row, "col_no", (whole | (starts & (F.col("col_no") == 1))).alias("is_footer")
+        ),
+        "footer-candidates",
     )
-    found = [df.select(*SHEET, "row_no") for df in (first, starts, whole, across)]
-    return reduce(DataFrame.unionByName, found).distinct()
+    sure = candidates.where("is_footer").select(*row).distinct()
+    doubtful = candidates.where("not is_footer").select(*row).distinct()
+    rows = plain.where(text.isNotNull()).join(doubtful, row, "left_semi").groupBy(*row).agg(
+        F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("cells")
+    )
+    joined = F.array_join(F.transform("cells", lambda c: c["text"]), " ")
+    reads = _starts(F.col("cells")[0]["text"], FOOTER_STARTS) | joined.contains(FOOTER_SENTENCE)
+    return sure.unionByName(rows.where(reads).select(*row)).distinct()
 
 
 def with_footer(cells: DataFrame, header: DataFrame) -> DataFrame:
@@ -84,23 +85,37 @@ def first_footer(cells: DataFrame, header: DataFrame) -> DataFrame:
     return below.groupBy(*SHEET).agg(F.min("row_no").alias("footer_row"))
 
 
-def notes_sheets(cells: DataFrame) -> DataFrame:
-    """Sheets that hold notes, contents or a cover rather than data."""
+def notes_sheets(cells: DataFrame, extents: DataFrame | None = None) -> DataFrame:
+    """Sheets that hold notes, contents or a cover rather than data: by name, or by the beginning
+    of one of their first rows, counted from the first that holds anything."""
+    extents = stage(_extents(cells), "extents") if extents is None else extents
     name = F.lower(F.col("sheet"))
     named = F.lit(False)
     for word in NOTES_NAMES:
         named = named | name.contains(word)
-    head = cells.where(F.col("row_no") <= 3)
-    starts = head.where(_starts(clean_text(F.col("text")), NOTES_STARTS)).join(
-        row_starts(head), [*SHEET, "row_no", "col_no"], "left_semi"
+    filled = cells.where(clean_text(F.col("text")).isNotNull())
+    starts = join_sheets(
+        filled.where(_starts(clean_text(F.col("text")), NOTES_STARTS)).select(*SHEET, "row_no", "col_no"),
+        extents.select(*SHEET, "max_row", "min_row"),
+    ).where(F.col("row_no") < F.col("min_row") + NOTES_ROWS)
+    rows = filled.join(starts.select(*SHEET, "row_no").distinct(), [*SHEET, "row_no"], "left_semi")
+    first = starts.join(row_starts(rows), [*SHEET, "row_no", "col_no"], "left_semi")
+    found = [extents.where(named), first]
+    return reduce(DataFrame.unionByName, [df.select(*SHEET) for df in found]).distinct()
+
+
+def _extents(cells: DataFrame) -> DataFrame:
+    return cells.groupBy(*SHEET, "sheet").agg(
+        F.max("row_no").alias("max_row"),
+        F.min(F.when(clean_text(F.col("text")).isNotNull(), F.col("row_no"))).alias("min_row"),
     )
-    by_name = cells.where(named)
-    return by_name.select(*SHEET).unionByName(starts.select(*SHEET)).distinct()
 
 
 def without_notes(cells: DataFrame) -> DataFrame:
-    extents = cells.groupBy(*SHEET).agg(F.max("row_no").alias("max_row"))
-    notes = stage(extents.join(notes_sheets(cells), SHEET, "left_semi"), "notes-sheets")
+    extents = stage(_extents(cells), "extents")
+    notes = stage(extents.join(notes_sheets(cells, extents), SHEET, "left_semi"), "notes-sheets")
+    if notes.isEmpty():
+        return cells
     return join_sheets(cells, notes, "left_anti")
 
 

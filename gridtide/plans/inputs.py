@@ -222,7 +222,8 @@ def supplier_label_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def customer_head_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """One workbook per customer whose first rows tell catalogue, release and table."""
+    """One workbook per customer that tells catalogue, release and table, some right at the top,
+    some below a long preface, above the dates."""
     customer = table(spark, sf_dir, "customer").withColumns(
         {
             "source_file": F.concat(F.lit("customers/"), F.col("c_custkey").cast("string")),
@@ -237,17 +238,21 @@ def customer_head_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     free = customer.where(F.col("c_acctbal") < 0)
     title = F.concat(F.lit("Table "), F.col("c_nationkey").cast("string"), F.lit("b. "),
                      F.col("c_mktsegment"))
+    preface = F.when(F.col("c_custkey") % 3 == 0, 40).otherwise(0)
     return [
         part_cells(
-            customer, (1, 1, F.lit("Statistics of customers"), "s"), (5, 2, F.col("c_name"), "s")
+            customer, (1, 1, F.lit("Statistics of customers"), "s"),
+            (preface + 5, 2, F.col("c_name"), "s"), (preface + 6, 1, F.lit("Mar-2020"), "s"),
+            (preface + 7, 1, F.lit("Released: January 1999"), "s"),
         ),
         part_cells(
-            labelled, (2, 1, F.lit("Catalogue Number"), "s"), (2, 3, cat_no, "s"),
-            (3, 1, F.lit("Release Date"), "s"), (3, 2, release, "s"), (4, 1, title, "s"),
+            labelled, (preface + 2, 1, F.lit("Catalogue Number"), "s"), (preface + 2, 3, cat_no, "s"),
+            (preface + 3, 1, F.lit("Release Date"), "s"), (preface + 3, 2, release, "s"),
+            (preface + 4, 1, title, "s"),
         ),
         part_cells(
-            free, (2, 2, F.concat(F.lit("Catalogue No: "), cat_no), "s"),
-            (3, 1, F.concat(F.lit("Released: "), release), "s"),
+            free, (preface + 2, 2, F.concat(F.lit("Catalogue No: "), cat_no), "s"),
+            (preface + 3, 1, F.concat(F.lit("Released: "), release), "s"),
         ),
     ]
 
@@ -276,7 +281,12 @@ def supplier_footer_cells(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         F.col("l_orderkey").cast("string")
     )
     titles = ["Remark", "Order", "Quantity"]
+    # a second sheet in every workbook, nothing but notes, well below its top
+    notes = sheets.select(
+        "source_file", F.lit(2).alias("sheet_no"), F.concat(F.lit("More on "), "sheet").alias("sheet")
+    )
     return [
+        part_cells(notes, (8, 1, F.lit("Explanatory remarks"), "s"), (9, 1, F.lit("On quantities"), "s")),
         part_cells(sheets, *[(1, i, F.lit(n), "s") for i, n in enumerate(titles, 1)]),
         part_cells(rows, (row, 1, text, "s"), (row, 2, order, "s"), (row, 3, F.col("quantity"), "n")),
     ]

@@ -53,6 +53,7 @@ def test_notes_sheets(spark):
     sheets = {
         "Contents": [["a", "b"]], "Data": [["a", "b"]], "X": [[], [], ["Explanatory text"]],
         "Y": [["a"], ["b"], ["c"], ["Notes"]], "Z": [["a", "Notes"]], "Cover page": [["a"]],
+        "W": [[], [], [], [], [], [], ["Title"], [None, "Notes to users"], ["x"]],
     }
     kept = cubes.without_notes(cells_of(spark, n=sheets)).select("sheet").distinct().collect()
     assert {r["sheet"] for r in kept} == {"Data", "Y", "Z"}

@@ -236,3 +236,21 @@ def test_separate_series(spark):
             separate_series(df, names=bad)
     with pytest.raises(ValueError):
         separate_series(df, column="nothing")
+
+
+def test_facts_below_a_long_preface(spark):
+    preface = [[f"line {i}"] for i in range(45)]
+    rows = [*preface, ["Catalogue number", None, 7301.0], ["Release date", "March 2031"],
+            ["Table 7. Wells by depth"], ["Series ID", "W1"], ["Jan-2031", 1], ["Released: May 1999"],
+            ["Table 8. A far longer title below the first date"]]
+    late = [["Series ID", "V1"], ["Jan-2031", 1]] + [["x", i] for i in range(40)] + [["Catalogue No: 9999.0"]]
+    early = [["Table 1. Near"], ["Series ID", "U1"], ["Jan-2031", 1], ["Released: June 2031"]]
+    cells = cells_of(spark, f={"A": rows, "B": late, "C": early})
+    found = {r["sheet"]: (r["cat_no"], r["release_date"], r["table_title"]) for r in sheet_context(cells).collect()}
+    assert found == {
+        "A": ("7301.0", "mar-2031", "Table 7. Wells by depth"),  # above the first date
+        "B": (None, None, "B"),  # far below it
+        "C": (None, "jun-2031", "Table 1. Near"),  # below it, but among the first rows
+    }
+    plan = sheet_context(cells)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
