@@ -21,7 +21,8 @@ from gridtide.llm.samples import labelled_sample
 from gridtide.llm.windows import text_blocks
 
 SAMPLE = 1500
-SAMPLE_LINES = 60
+#: a longer text is several chains for the fit; decoding takes it whole
+CHAIN = 60
 MIN_WORDS = 50
 MIN_SHARE = 0.5
 COUNTS = (
@@ -68,12 +69,13 @@ def _sample_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         counts = count_block(data, begins)
         marks = rows.column(2).to_numpy(zero_copy_only=False)
         edges = np.searchsorted(counts.line_text, np.arange(len(marks) + 1))
-        lines = [
-            counts.line_features[a: min(b, a + SAMPLE_LINES)].ravel()
-            for a, b in zip(edges, edges[1:])
+        chains = [
+            (mark, counts.line_features[at: min(at + CHAIN, b)].ravel())
+            for mark, a, b in zip(marks.tolist(), edges, edges[1:]) for at in range(a, b, CHAIN)
         ]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(marks.astype(np.int32)), pa.array(lines, type=pa.list_(pa.float64()))],
+            [pa.array([mark for mark, _ in chains], type=pa.int32()),
+             pa.array([lines for _, lines in chains], type=pa.list_(pa.float64()))],
             names=["mark", "lines"],
         )
 
@@ -113,8 +115,13 @@ def _likelihood(x: np.ndarray, y: np.ndarray, real: np.ndarray, theta: np.ndarra
 
 
 def fit_field(docs: DataFrame, labels: DataFrame, steps: int = 150) -> Field:
-    """A field fitted on up to SAMPLE labelled documents of each mark (labels.quality) and the
-    first SAMPLE_LINES lines of each: a bounded sample, drawn by hashed id."""
+    """A field fitted on all lines of up to SAMPLE labelled documents of each mark
+    (labels.quality), drawn by hashed id.
+
+    Without documents of both marks, as in empty tables, all lines are content. Null labels and
+    rows without id are left out, null and empty texts have no lines, repeated rows take part
+    each, other columns are not read.
+    """
     rows = labelled_sample(docs, labels, "quality", SAMPLE).mapInArrow(
         _sample_lines, "mark int, lines array<double>"
     ).collect()
