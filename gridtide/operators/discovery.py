@@ -233,7 +233,8 @@ def seed_releases(seeds: DataFrame) -> DataFrame:
 def discover_releases(pages: DataFrame, seeds: DataFrame, base_url: str) -> DataFrame:
     """Releases of all seed catalogues from landing and archive pages.
 
-    A catalogue for which no page names a release keeps its seed release.
+    A catalogue for which no page names a release keeps its seed release. Order is left to the
+    caller.
     """
     outlines = stage(page_outlines(pages).drop("contexts"), "outlines")
     page_keys = pages.select(F.col("page_id").cast("bigint"), F.col("url").alias("page"))
@@ -253,10 +254,8 @@ def discover_releases(pages: DataFrame, seeds: DataFrame, base_url: str) -> Data
     ordered = links.withColumn("ord", F.struct("level", "ord"))
     found = stage(release_rows(ordered, seeds, base_url), "page-releases")
     missing = seeds.join(found.select("cat_no").distinct(), "cat_no", "left_anti")
-    return (
-        found.unionByName(seed_releases(missing))
-        .dropDuplicates(["cat_no", "release_date", "release_url"])
-        .orderBy("cat_no", "release_date")
+    return found.unionByName(seed_releases(missing)).dropDuplicates(
+        ["cat_no", "release_date", "release_url"]
     )
 
 

@@ -628,4 +628,42 @@ SELECT request_id, 'matrix-' || r.no || '.xlsx' AS source_file, '6202.0' AS cat_
        'matrix-' || r.no || '.xlsx' AS "cube", 'Flag ' || flag AS cube_title, date, v AS value,
        status AS "Status", nation AS "Nation_key"
 FROM requests r JOIN matrix ON sheet = 'Flows ' || r.no""",
+    "refresh_index": f"""
+WITH p AS (
+  SELECT *, '{BASE}/parts/' || p_partkey AS page, p_size + CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS now
+  FROM part)
+SELECT 'P' || p_partkey AS cat_no, 'Table ' || now || '. ' || p_name AS file_title,
+       page || '/apr-2024/t' || p_partkey || '.xlsx' AS url, CAST(now AS VARCHAR) AS table_no, false AS is_cube
+FROM p
+UNION ALL
+SELECT 'P' || p_partkey, p_type || ' data cube & more', page || '/apr-2024/c' || p_partkey || '.xls', '', true FROM p""",
+    "index_rows": INDEX + """
+SELECT cat_no, CASE WHEN starts_with(release_date, 'mar-') THEN upper(title) ELSE title END AS title,
+       release_date, filename, file_title AS table_title
+FROM idx""",
+    "unknown_catalogues": INDEX + """
+SELECT o_orderkey FROM orders
+WHERE '62' || lpad(CAST(o_custkey % 60 AS VARCHAR), 2, '0') || '.0' NOT IN (SELECT cat_no FROM idx)""",
+    "json_documents": "SELECT event_id, event_type, props FROM events",
+    "sheet_selection": """
+WITH labels AS (
+  SELECT s_nationkey, CAST(s_suppkey + 2 AS INTEGER) AS col_no, s_acctbal, s_suppkey, s_name FROM supplier
+  WHERE s_nationkey % 3 = 0),
+rows AS (
+  SELECT s_nationkey, 1 AS col_no, unnest([1, 2, 3, 4]) AS row_no,
+         unnest(['Series Number', 'Description', 'Units', 'Frequency']) AS text
+  FROM (SELECT DISTINCT s_nationkey FROM labels)
+  UNION ALL
+  SELECT s_nationkey, col_no, unnest([1, 2, 3, 4]),
+         unnest([CASE WHEN s_acctbal < 0 THEN 'draft-' ELSE 'B' END || lpad(CAST(s_suppkey AS VARCHAR), 7, '0'),
+                 s_name, 'Dollars', 'Biannual'])
+  FROM labels)
+SELECT 'suppliers' AS source_file, 'Nation ' || s_nationkey AS sheet, CAST(row_no AS BIGINT) AS row_no,
+       CAST(col_no AS INTEGER) AS col_no, text
+FROM rows""",
 }
+ORACLE["ordered_structure"] = f"""
+SELECT doc_id, dimension_id, code, CAST(row_number() OVER (PARTITION BY doc_id
+         ORDER BY position, code_position NULLS LAST) AS INTEGER) AS place
+FROM ({ORACLE["datastructure"]})"""
+ORACLE["refresh_releases"] = ORACLE["discover_releases"]

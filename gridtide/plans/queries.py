@@ -6,7 +6,7 @@ import datetime
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
 
 from gridtide.functions.numbers import text_number
 from gridtide.functions.periods import period_start, text_period
@@ -21,17 +21,18 @@ from gridtide.functions.urls import (
     absolute_url, extension, file_type, is_generic_label, table_no_from_filename, title_score,
     url_filename, without_query,
 )
-from gridtide.operators import catalogue, cubes, discovery, requests, sdmx, series, timeseries
+from gridtide.operators import catalogue, cubes, discovery, rebuild, requests, sdmx, series, timeseries
 from gridtide.operators.context import looks_like_table_title, sheet_context
 from gridtide.operators.sheets import infer_frequency
-from gridtide.operators.tables import match_tables
+from gridtide.operators.tables import match_tables, select_sheets
 from gridtide.plans import books, inputs
 from gridtide.plans.inputs import BASE_URL, month_of, stored_cells, table, wide_table
-from gridtide.sources import pages as page_source
+from gridtide.schemas import FILE_INDEX
+from gridtide.sources import inventory, pages as page_source
 from gridtide.sources.inventory import source_inventory
 from gridtide.sources.wide import cells_from_wide
 from gridtide.sources.workbooks import parse_workbooks, sheets_of
-from gridtide.staging import stage, staging_root
+from gridtide.staging import spread, stage, staging_root
 from gridtide.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -498,7 +499,10 @@ PART_PAGE = (
 
 def _part_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """One catalogue page per part and the seed it belongs to."""
-    part = wide_table(spark, sf_dir, "part")
+    return _pages_of_parts(wide_table(spark, sf_dir, "part"))
+
+
+def _pages_of_parts(part: DataFrame) -> tuple[DataFrame, DataFrame]:
     path = F.concat(F.lit("/parts/"), F.col("p_partkey").cast("string"))
     html: Column = F.lit(PART_PAGE)
     for field, value in {
@@ -540,7 +544,7 @@ def link_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.link_contexts(page_source.page_outlines(pages), BASE_URL)
 
 
-def discover_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _customer_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Landing and archive page per customer; a debit balance has no dated link at all."""
     customer = wide_table(spark, sf_dir, "customer")
     path = F.concat(F.lit("/customers/"), F.col("c_custkey").cast("string"))
@@ -574,6 +578,11 @@ def discover_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("C"), key.cast("string")).alias("cat_no"), F.col("c_name").alias("title"),
         page_url.alias("page_url"),
     ))
+    return pages, seeds
+
+
+def discover_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, seeds = _customer_pages(spark, sf_dir)
     return discovery.discover_releases(pages, seeds, BASE_URL)
 
 
@@ -876,6 +885,83 @@ def cube_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def refresh_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of all catalogues after pages landed twice and every second one changed later."""
+    store = f"{staging_root(spark)}/gridtide/index-{uuid.uuid4().hex}"
+    part = table(spark, sf_dir, "part")
+
+    def landing(rows: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
+        pages, seeds = _pages_of_parts(spread(rows))
+        own = pages.withColumn("page_id", F.col("page_id") + number * 10**12)
+        return own.withColumn("landed", F.lit(number)), seeds
+
+    older, seeds = landing(part.withColumn("p_size", F.col("p_size") + 100), 1)
+    newer, _ = landing(part, 2)
+    rebuild.refresh_index(spark, newer.unionByName(older), seeds, BASE_URL, store)
+    even = part.where(F.col("p_partkey") % 2 == 0).withColumn("p_size", F.col("p_size") + 1)
+    later, some = landing(even, 3)
+    rebuild.refresh_index(spark, newer.unionByName(later), some, BASE_URL, store)
+    return rebuild.stored_rows(spark, store).select("cat_no", "file_title", "url", "table_no", "is_cube")
+
+
+def refresh_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Releases of all catalogues as a refresh stores them."""
+    store = f"{staging_root(spark)}/gridtide/index-{uuid.uuid4().hex}"
+    pages, seeds = _customer_pages(spark, sf_dir)
+    rebuild.refresh_index(spark, pages.withColumn("landed", F.lit(1)), seeds, BASE_URL, store)
+    return rebuild.stored_rows(spark, store, "releases")
+
+
+def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored file index, the releases of one month of which were written again."""
+    store = f"{staging_root(spark)}/gridtide/index-{uuid.uuid4().hex}"
+    index = inputs.part_index(spark, sf_dir).select(*FILE_INDEX.names)
+    inventory.write_index(index, store)
+    again = index.where(F.col("release_date").startswith("mar-"))
+    inventory.write_index(again.withColumn("title", F.upper("title")).withColumn(
+        "table_title", F.lit(None).cast("string")), store)
+    return inventory.read_stored_index(spark, store).select(
+        "cat_no", "title", "release_date", "filename", "table_title"
+    )
+
+
+def unknown_catalogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that ask for a catalogue no part belongs to."""
+    number = F.lpad((F.col("o_custkey") % 60).cast("string"), 2, "0")
+    asked = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(F.lit(" 62"), number, F.lit(".0 ")).alias("cat_no")
+    )
+    seeds = inputs.part_index(spark, sf_dir).select("cat_no")
+    return catalogue.unknown_catalogues(asked, seeds).select("o_orderkey")
+
+
+def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as JSON files, read as whole documents."""
+    path = f"{staging_root(spark)}/gridtide/json-{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events")
+    body = F.to_json(F.struct("event_id", "event_type", "props")).alias("value")
+    events.select(body).write.text(path)
+    docs = inventory.json_documents(spark, path)
+    # a file holds a document per line here
+    line = F.explode(F.split(F.regexp_replace("json", "\n+$", ""), "\n")).alias("line")
+    fields = F.from_json("line", "event_id BIGINT, event_type STRING, props STRING")
+    return docs.select("doc_id", line).select(fields.alias("f")).select("f.*")
+
+
+def sheet_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of the sheets with given names."""
+    cells = stored_cells(inputs.supplier_label_cells(spark, sf_dir))
+    names = [f"Nation {i}" for i in range(0, 25, 3)]
+    return select_sheets(cells, names).select("source_file", "sheet", "row_no", "col_no", "text")
+
+
+def ordered_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of each code in the order that the operator gives."""
+    ordered = sdmx.ordered_structure(_nation_structure(spark, sf_dir)).withColumn("ord", F.monotonically_increasing_id())
+    place = F.row_number().over(W.partitionBy("doc_id").orderBy("ord"))
+    return ordered.select("doc_id", "dimension_id", "code", place.alias("place"))
+
+
 QUERIES: dict[str, Query] = {
     "tidy_time_down": tidy_time_down,
     "tidy_time_across": tidy_time_across,
@@ -931,6 +1017,13 @@ QUERIES: dict[str, Query] = {
     "union_by_name": union_by_name,
     "source_inventory": source_files,
     "incremental_ingest": incremental_ingest,
+    "refresh_index": refresh_index,
+    "refresh_releases": refresh_releases,
+    "index_rows": index_rows,
+    "unknown_catalogues": unknown_catalogues,
+    "json_documents": json_documents,
+    "sheet_selection": sheet_selection,
+    "ordered_structure": ordered_structure,
     "release_by_date": release_by_date,
     "request_to_obs": request_to_obs,
     "cube_provenance": cube_provenance,

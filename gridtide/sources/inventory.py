@@ -62,6 +62,15 @@ def read_releases(spark: SparkSession, path: str) -> DataFrame:
     return dated.select(*RELEASES.names)
 
 
+def stored_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table; empty where nothing was stored yet."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(target):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_index(index: DataFrame, path: str) -> None:
     """Store a file index, replacing the catalogues and releases it contains."""
     _overwrite(index, path, ["cat_no", "release_date"])

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from gridtide.operators.sheets import with_periods
 from gridtide.schemas import CELLS
+from gridtide.sources.inventory import stored_table
 from gridtide.sources.workbooks import open_workbooks, parse_workbooks, workbook_files
 from gridtide.staging import stage
 
@@ -73,18 +74,9 @@ def pending_sources(manifest: DataFrame, ingested: DataFrame) -> DataFrame:
     return manifest.join(ingested.select("fingerprint"), "fingerprint", "left_anti")
 
 
-def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A stored table; empty where nothing was stored yet."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(target):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
 def manifest_of(spark: SparkSession, store: str) -> DataFrame:
     """The newest manifest row of each fingerprint."""
-    rows = _table(spark, f"{store}/manifest", MANIFEST)
+    rows = stored_table(spark, f"{store}/manifest", MANIFEST)
     names = [field.split()[0] for field in MANIFEST.split(", ")]
     newest = F.max_by(F.struct(*names), F.struct("committed", "batch")).alias("newest")
     return rows.groupBy(F.col("fingerprint").alias("key")).agg(newest).select("newest.*")
@@ -167,7 +159,7 @@ def current_cells(
 ) -> DataFrame:
     """Stored cells of the files of ``listing`` as they are now; other batches are not read."""
     files = current_files(spark, listing, store, options).select("batch", "fingerprint")
-    stored = _table(spark, f"{store}/cells", f"{STORED}, batch STRING")
+    stored = stored_table(spark, f"{store}/cells", f"{STORED}, batch STRING")
     found = stored.join(files, ["batch", "fingerprint"], "left_semi")
     return with_periods(found.select(*CELLS.names))
 
