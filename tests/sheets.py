@@ -8,83 +8,71 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridtide.schemas import CELLS
 
-# Tables of an invented water board: one sheet a rule.
-SAMPLE = {
-    "Data1": [
-        ["Series ID", "R70001K", "R70002K", "R70003K"],
-        ["Data item", "Inflow ; Upper dam ; Total", "Outflow ; Upper dam", "Level"],
-        ["Unit", "Megalitres", "Megalitres", "Metres"],
-        ["Frequency", "Monthly", "Monthly", "Monthly"],
-        ["Series Type", "Trend", "Original", "Original"],
-        ["Data Type", "Flow", "Flow", "Stock"],
-        ["Collection Month", "November", "November", "November"],
-        ["Series Start", "Oct-2031", "Nov-2031", "Oct-2031"],
-        ["Oct-31", 70.25, None, 3],
-        ["Nov-31", "not read", -4.5, 3.5],
-        ["Dec-31", 71, 0, 4],
-    ],
-    "Table 5": [["Series ID", "R81234567"], ["2030-Q3", 17.0], ["2030-Q4", 18.0]],
-    "Data12": [["Series ID", "R99"], ["2029", 5.5]],
-    "Empty": [],
+def down(labels, dates, values, above=()):
+    """A sheet with dates down column 1: rows above, label rows, then a line per date."""
+    lines = [list(row) for row in above]
+    lines += [[name, *texts] for name, texts in labels]
+    return lines + [[date, *row] for date, row in zip(dates, values)]
+
+
+def across(columns, dates, lines, above=(), below=()):
+    """A sheet with dates across a header row: rows above, the header, a line per series."""
+    return [*map(list, above), [*columns, *dates], *map(list, lines), *map(list, below)]
+
+
+# Gauges on an invented river. Columns D and F of the first sheet are gaps, a line between two
+# dates is empty, one value can't be read; the third sheet has no dates at all.
+GAUGES = {
+    "Flow 3": down(
+        [
+            ("Frequency", ["Quarterly", "Quarterly", None, "Quarterly", None, "Quarterly"]),
+            ("Series Start", ["Jun-2041", "Sep-2041", None, "Jun-2041", None, "Dec-2041"]),
+            ("Units", ["Cumecs", "Cumecs", None, "Metres", None, "Degrees"]),
+            ("Series Number", ["G4400012V", "G4400013W", None, "G4400020X", None, "G4400031Y"]),
+            ("Description", ["Flow ; East weir", "Flow ; West weir", None, "Level ; East weir", None, "Warmth"]),
+        ],
+        ["Q2-2041", "Q3-2041", None, "Q4-2041"],
+        [[12.5, None, None, 1.25, None, None], [13, 6, None, "dry", None, None], [],
+         [-2, 7.5, None, 1.5, None, 8]],
+        above=[["River gauges"], []],
+    ),
+    "Flow 11a": down([("Series ID", ["G9"]), ("Freq", ["Annual"])], ["2038", "2039", "2040"], [[1], [2], [4]]),
+    "Legend": [["Cumecs are cubic metres in a second"], [None, "see also the yearbook"]],
 }
 PERIODS = {
-    "By month": [["Series ID", "RM1"], ["2028/11", 1], ["Dec-2028", 2], ["2029-01", 3]],
-    "By quarter": [["Series ID", "RQ1"], ["Q1-2027", 3], ["2027-Q2", 4], ["Sep-2027", 5], ["Q4 2027", 6]],
-    "By year": [["Series ID", "RY1"], ["2026", 6], ["2027", 7]],
+    "Months": down([("Title", ["wind"]), ("Series ID", ["PM7"])], ["2045/02", "Mar-2045", "2045-04", "May 2045"],
+                   [[1], [2], [3], [4]]),
+    "Quarters and years": down([("Series ID", ["PQ7", "PY7"])], ["2046-Q1", "Q2 2046", "Sep-2046", "Q4-2046"],
+                               [[1, 9], [2, 8], [3, 7], [4, 6]]),
+    "Years": down([("Series ID", ["PA7"])], ["2047", "2048"], [[5], [6]]),
 }
-LAYOUTS = {
-    "Rain Metadata": [
-        ["Rain gauges of the valley"],
-        ["Catalogue Number", "7100.0"],
-        ["Release Date", "February 2033"],
-        ["Table 6. Rain: totals by gauge"],
-        ["Series ID", "R3100001K", "R3200002K"],
-        ["Data item", "Gauge north", "Gauge south"],
-        ["Unit", "Millimetres", "Millimetres"],
-        ["Frequency", "Annual", "Annual"],
+REPORTS = {
+    "Harbours": across(
+        ["Series Number", "Title", "Units", "Freq"], ["Jan-2044", "Apr-2044", "Jul-2044", "Oct-2044"],
+        [["H1", "Ships in", "Ships", "Quarterly", 40, 41, "nil", 43], ["H2", "Ships out", "Ships", "Quarterly", 39, None, 42, 42],
+         ["H3", "Tonnage", "Kilotonnes", "Quarterly", 7.5, 8, 8.5, 9]],
+        above=[["Table 31b. Ships by harbour", None, "Catalogue No. 7510.0"], [], [None, "Release: May 2044"], []],
+    ),
+    "Tides": [
+        [None, "Harbour office"], ["Publication Date", None, "June 2045"], ["Cat No", "nr", "7520.0.55.003"], [],
+        ["Unit of measure", "Metres", "Metres", "Metres"], ["Series Number", "T5500001K", "draft", "T5500003M"],
+        ["Series", "High tide", "Guess", "Low tide"], ["Frequency", "Weekly", "Weekly", "Weekly"],
     ],
-    "Pumps": [
-        ["Catalogue Number", "7200.0"],
-        ["Release Date", "October 2032"],
-        ["Table 8. Pump hours"],
-        ["Series ID", "Series", "Unit", "Frequency", "Jun-2032", "Sep-2032", "Dec-2032"],
-        ["P1", "Main pump", "Hours", "Quarterly", 400.0, 410.0, None],
-        ["P2", "Spare pump", "Hours", "Quarterly", 4.0, "n/a", 6.0],
-    ],
-    "Old Levels": [
-        ["The water board"],
-        ["Catalogue No: 7300.0"],
-        ["Released: July 2021"],
-        ["Table 11. Levels of all dams"],
-        ["Series Number", "L5"],
-        ["Description", "Level of the lower dam"],
-        ["Units", "Metres"],
-        ["Frequency", "Biannual"],
-        ["Jul-2021", 12.0],
-    ],
-    "Leaks Metadata": [
-        ["Leaks reported by week"],
-        ["Catalogue Number", "7400.0.10.002"],
-        ["Table 2. Leaks"],
-        ["Series ID", "K7000007P"],
-        ["Series", "Leaks found"],
-        ["Unit of measure", "Number"],
-        ["Frequency", "Weekly"],
-    ],
-    "About": [],
+    "Table 40": down(
+        [("Series ID", ["B6000001Q", "B6000002R"]), ("Frequency", ["Biannual", "Biannual"])],
+        ["Jun-2043", "Dec-2043"], [[1, 2], [3, 4]],
+        above=[["Buoys out at sea"], ["Released: August 2043"]],
+    ),
 }
-MATRIX = {
-    "Meters": [
-        ["Meters in use by district"],
-        ["District", "Kind", "Size", "Sep-2030", "Dec-2030", "Mar-2031"],
-        ["East", "Smart", "small", 31, 32, 33],
-        ["East", "Plain", "large", "np", 22, 23],
-        ["West", "Smart", "large", 5, None, 7],
-        ["Source: meter register", None, None, 555],
-    ],
-    "Notes": [["Notes"], ["Meters are counted at the end of a quarter."]],
+FERRIES = {
+    "Ferries": across(
+        ["Route", "Day"], ["Jan-2044", "Feb-2044", "Mar-2044", "Apr-2044"],
+        [["North", "week", 10, 11, None, 13], ["North", "end", 4, 5, 6, ".."], [], ["South", "week", 20, 21, 22, 23]],
+        above=[["Trips by route"]], below=[["© harbour office", None, None, 99], ["East", "week", 1, 1, 1, 1]],
+    ),
+    "Cover": [["Trips are counted at noon."]],
 }
-CUBE = {"Cube 4": [["District", "Value"], ["East", 8.0], ["West", 9.0], ["North", 10.0]]}
+FLEET = {"Fleet": [["Name", "Built"], ["Gull", 2031.0], ["Tern", 2036.0]]}
 
 
 def cell(value):

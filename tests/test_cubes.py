@@ -6,33 +6,33 @@ import pytest
 
 from gridtide.operators import cubes
 from gridtide.schemas import CUBE
-from sheets import CUBE as CUBE_SHEETS
-from sheets import MATRIX, cells_of
+from sheets import FERRIES, FLEET, cells_of
 
 D = datetime.date
 
 
 def test_labelled_matrix(spark):
-    cube = cubes.read_cube(cells_of(spark, m=MATRIX), metadata={"cat_no": "7500.0", "cube": " "})
+    cube = cubes.read_cube(cells_of(spark, m=FERRIES), metadata={"cat_no": "7600.0", "cube": " "})
     assert cube.columns == [*CUBE, "dims"]
-    wide = cubes.dims_to_columns(cube, ["District", "Kind", "Size"]).orderBy("District", "Kind", "date").toPandas()
-    assert list(wide["Kind"]) == ["Plain"] * 3 + ["Smart"] * 6
-    assert list(wide["date"]) == [D(2030, 9, 1), D(2030, 12, 1), D(2031, 3, 1)] * 3
-    assert set(wide["frequency"]) == {"unknown"} and set(wide["cat_no"]) == {"7500.0"}
-    assert wide["value"].isna().tolist() == [True, *[False] * 6, True, False]
-    assert list(wide["value"].dropna()) == [22.0, 23.0, 31.0, 32.0, 33.0, 5.0, 7.0] and wide["cube"].isna().all()
+    wide = cubes.dims_to_columns(cube, ["Route", "Day"]).orderBy("Route", "Day", "date").toPandas()
+    assert list(zip(wide["Route"], wide["Day"])) == (
+        [("North", "end")] * 4 + [("North", "week")] * 4 + [("South", "week")] * 4)
+    assert list(wide["date"]) == [D(2044, m, 1) for m in (1, 2, 3, 4)] * 3
+    assert wide["value"].isna().tolist() == [False] * 3 + [True] + [False] * 2 + [True] + [False] * 5
+    assert list(wide["value"].dropna()) == [4, 5, 6, 10, 11, 13, 20, 21, 22, 23]  # nothing below the footer
+    assert set(wide["frequency"]) == {"unknown"} and set(wide["cat_no"]) == {"7600.0"} and wide["cube"].isna().all()
 
 
 def test_matrix_as_generic(spark):
-    cube = cubes.read_cube(cells_of(spark, m=MATRIX), family="generic")
+    cube = cubes.read_cube(cells_of(spark, m=FERRIES), family="generic")
     rows = [r["dims"] for r in cube.collect()]
-    assert len(rows) == 3 and all("Sep2030" in r and "District" in r for r in rows)
+    assert len(rows) == 3 and all("Jan2044" in r and "Route" in r for r in rows)
 
 
 def test_auto_takes_each_sheet_once(spark):
-    sheets = {**MATRIX, **CUBE_SHEETS, "Cube 9": [["District", "Value"], ["South", 3.0]]}
+    sheets = {**FERRIES, **FLEET, "Crew": [["Name", "Age"], ["Ada", 40.0]]}
     found = cubes.read_cube(cells_of(spark, m=sheets)).toPandas()
-    assert found.groupby("sheet").size().to_dict() == {"Cube 4": 3, "Cube 9": 1, "Meters": 9}
+    assert found.groupby("sheet").size().to_dict() == {"Fleet": 2, "Crew": 1, "Ferries": 12}
     with pytest.raises(ValueError):
         cubes.read_cube(cells_of(spark, m=sheets), family="unknown")
 

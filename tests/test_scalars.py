@@ -139,7 +139,7 @@ def test_titles(spark):
 @pytest.mark.parametrize("layout", ["sideways"])
 def test_unknown_layout_is_an_error(spark, layout):
     from gridtide.operators.timeseries import tidy
-    from sheets import SAMPLE, cells_of
+    from sheets import GAUGES, cells_of
 
     with pytest.raises(ValueError):
-        tidy(cells_of(spark, a=SAMPLE), layout=layout)
+        tidy(cells_of(spark, a=GAUGES), layout=layout)

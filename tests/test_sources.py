@@ -14,7 +14,7 @@ from gridtide.sources.wide import cells_from_csv, cells_from_wide
 from gridtide.sources.workbooks import read_cells, read_errors, sheet_names
 from gridtide.streaming import incremental
 from gridtide.streaming.incremental import ingest_workbooks
-from sheets import MATRIX, SAMPLE
+from sheets import FERRIES, GAUGES
 from xlsx import write_workbook
 
 D = datetime.date
@@ -24,9 +24,9 @@ D = datetime.date
 def lake(tmp_path):
     (tmp_path / "nested").mkdir()
     (tmp_path / "workbooks").mkdir()
-    write_workbook(str(tmp_path / "first.xlsx"), SAMPLE)
-    write_workbook(str(tmp_path / "nested" / "second.XLSX"), SAMPLE)
-    write_workbook(str(tmp_path / "workbooks" / "cached.xlsx"), MATRIX)
+    write_workbook(str(tmp_path / "first.xlsx"), GAUGES)
+    write_workbook(str(tmp_path / "nested" / "second.XLSX"), GAUGES)
+    write_workbook(str(tmp_path / "workbooks" / "cached.xlsx"), FERRIES)
     (tmp_path / "notes.txt").write_text("no workbook")
     return str(tmp_path)
 
@@ -38,14 +38,14 @@ def files(df):
 def test_reading_workbooks(spark, lake):
     first = os.path.join(lake, "first.xlsx")
     found = tidy(read_cells(spark, first)).toPandas()
-    assert found.groupby("sheet").size().to_dict() == {"Data1": 9, "Table 5": 2, "Data12": 1}
-    assert set(found["sheet_no"]) == {1, 2, 3}
+    assert found.groupby("sheet").size().to_dict() == {"Flow 3": 12, "Flow 11a": 3}
+    assert set(found["sheet_no"]) == {1, 2}
     both = [first, os.path.join(lake, "nested", "second.XLSX")]
-    assert tidy(read_cells(spark, both, tables=1)).count() == 18
-    metadata = series_metadata(read_cells(spark, first, tables=1)).toPandas()
-    assert len(metadata) == 3 and metadata["source_workbook"].str.endswith("first.xlsx").all()
+    assert tidy(read_cells(spark, both, tables=3)).count() == 24
+    metadata = series_metadata(read_cells(spark, first, tables=3)).toPandas()
+    assert len(metadata) == 4 and metadata["source_workbook"].str.endswith("first.xlsx").all()
     cube = read_cube(read_cells(spark, os.path.join(lake, "workbooks", "cached.xlsx")))
-    assert cube.count() == 9
+    assert cube.count() == 12
 
 
 def test_directories(spark, lake):
@@ -53,7 +53,7 @@ def test_directories(spark, lake):
     assert files(sheet_names(spark, lake, recursive=True)) == {"first.xlsx", "cached.xlsx", "second.XLSX"}
     assert files(sheet_names(spark, [lake, os.path.join(lake, "first.xlsx")])) == {"first.xlsx", "cached.xlsx"}
     names = sheet_names(spark, os.path.join(lake, "first.xlsx")).orderBy("sheet_no").collect()
-    assert [r["sheet"] for r in names] == ["Data1", "Table 5", "Data12", "Empty"]
+    assert [r["sheet"] for r in names] == ["Flow 3", "Flow 11a", "Legend"]
     os.mkdir(os.path.join(lake, "empty"))
     for bad in ([], [42], os.path.join(lake, "missing.xlsx"), os.path.join(lake, "notes.txt"),
                 os.path.join(lake, "empty")):
@@ -149,8 +149,8 @@ def test_strings_are_written_once_whatever_the_number_of_sheets(spark, tmp_path)
 
 def test_only_named_folders_are_listed(spark, lake):
     os.makedirs(os.path.join(lake, "odd [x]", "deep"))
-    write_workbook(os.path.join(lake, "odd [x]", "a{b}.xlsx"), SAMPLE)
-    write_workbook(os.path.join(lake, "odd [x]", "deep", "c.xlsx"), SAMPLE)
+    write_workbook(os.path.join(lake, "odd [x]", "a{b}.xlsx"), GAUGES)
+    write_workbook(os.path.join(lake, "odd [x]", "deep", "c.xlsx"), GAUGES)
     loaded = workbooks.workbook_files(spark, [lake, os.path.join(lake, "odd [x]")]).inputFiles()
     assert sorted(os.path.basename(f) for f in loaded) == ["a%7Bb%7D.xlsx", "cached.xlsx", "first.xlsx"]
     both = workbooks.workbook_files(spark, [lake, os.path.join(lake, "odd [x]")], recursive=True)

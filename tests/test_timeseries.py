@@ -11,7 +11,7 @@ from gridtide.operators.series import latest_date, lookup_series, separate_serie
 from gridtide.operators.tables import cells_of_tables, require_tables, select_sheets
 from gridtide.operators.timeseries import series_metadata, tidy
 from gridtide.schemas import CELLS, OBS, SERIES_META
-from sheets import LAYOUTS, PERIODS, SAMPLE, cells_of
+from sheets import GAUGES, PERIODS, REPORTS, cells_of
 
 D = datetime.date
 FOOTED = {
@@ -26,7 +26,7 @@ FOOTED = {
 
 @pytest.fixture(scope="module")
 def observations(spark):
-    cells = cells_of(spark, sample=SAMPLE, periods=PERIODS, layouts=LAYOUTS, footed=FOOTED)
+    cells = cells_of(spark, gauges=GAUGES, periods=PERIODS, reports=REPORTS, footed=FOOTED)
     rows = tidy(cells, ordinals=True).orderBy("source_file", "sheet_no", "col_no", "row_no")
     return rows.toPandas()
 
@@ -41,39 +41,43 @@ def test_columns_in_order(spark):
     assert tidy(cells_of(spark, a=PERIODS), cat_no="1").columns == ["source_file", *OBS]
 
 
-def test_sample_workbook(observations):
-    sample = of(observations, source_file="sample")
-    assert sample.groupby("sheet").size().to_dict() == {"Data1": 9, "Table 5": 2, "Data12": 1}
-    first = of(sample, series_id="R70001K")
-    assert list(first["date"]) == [D(2031, 10, 1), D(2031, 11, 1), D(2031, 12, 1)]
-    assert list(first["value"].isna()) == [False, True, False] and first["value"].iloc[2] == 71
-    assert list(of(sample, series_id="R70002K")["value"].isna()) == [True, False, False]
-    row = first.iloc[0]
-    assert row["frequency"] == "monthly" and row["collection_month"] == "November"
-    assert row["series"] == "Inflow ; Upper dam ; Total"
-    assert row["series_start"] == "Oct-2031" and row["series_type"] == "Trend"
-    assert set(of(sample, sheet="Table 5")["table_no"]) == {"5"}
+def test_dates_down_with_gaps(observations):
+    found = of(observations, source_file="gauges")
+    assert found.groupby("sheet").size().to_dict() == {"Flow 3": 12, "Flow 11a": 3}
+    dates = [D(2041, 4, 1), D(2041, 7, 1), D(2041, 10, 1)]
+    for series in ("G4400012V", "G4400013W", "G4400020X", "G4400031Y"):
+        assert list(of(found, series_id=series)["date"]) == dates  # a dense grid without the gaps
+    assert list(of(found, series_id="G4400012V")["value"]) == [12.5, 13, -2]
+    assert list(of(found, series_id="G4400020X")["value"].isna()) == [False, True, False]
+    assert list(of(found, series_id="G4400031Y")["value"].isna()) == [True, True, False]
+    west = of(found, series_id="G4400013W").iloc[0]
+    assert (west["unit"], west["series"], west["series_start"]) == ("Cumecs", "Flow ; West weir", "Sep-2041")
+    assert set(of(found, sheet="Flow 3")["frequency"]) == {"quarterly"}
+    assert set(of(found, sheet="Flow 11a")["frequency"]) == {"annual"}
 
 
 def test_periods(observations):
     found = of(observations, source_file="periods")
     dates = {k: list(g["date"]) for k, g in found.groupby("series_id")}
+    quarters = [D(2046, 1, 1), D(2046, 4, 1), D(2046, 7, 1), D(2046, 10, 1)]
     assert dates == {
-        "RM1": [D(2028, 11, 1), D(2028, 12, 1), D(2029, 1, 1)],
-        "RQ1": [D(2027, 1, 1), D(2027, 4, 1), D(2027, 7, 1), D(2027, 10, 1)],
-        "RY1": [D(2026, 1, 1), D(2027, 1, 1)],
+        "PM7": [D(2045, m, 1) for m in (2, 3, 4, 5)], "PQ7": quarters, "PY7": quarters,
+        "PA7": [D(2047, 1, 1), D(2048, 1, 1)],
     }
     assert dict(zip(found["series_id"], found["frequency"])) == {
-        "RM1": "monthly", "RQ1": "quarterly", "RY1": "annual"}
+        "PM7": "monthly", "PQ7": "quarterly", "PY7": "quarterly", "PA7": "annual"}
 
 
 def test_time_across(observations):
-    found = of(observations, source_file="layouts", sheet="Pumps")
-    main = of(found, series_id="P1")
-    assert list(main["value"][:2]) == [400.0, 410.0] and len(main) == 3
-    assert list(main["date"]) == [D(2032, 4, 1), D(2032, 7, 1), D(2032, 10, 1)]
-    assert list(of(found, series_id="P2")["value"].isna()) == [False, True, False]
-    assert set(found["unit"]) == {"Hours"} and set(found["cat_no"]) == {"7200.0"}
+    found = of(observations, source_file="reports", sheet="Harbours")
+    assert found.groupby("series_id").size().to_dict() == {"H1": 4, "H2": 4, "H3": 4}
+    assert list(of(found, series_id="H1")["value"].isna()) == [False, False, True, False]
+    assert list(of(found, series_id="H2")["value"].isna()) == [False, True, False, False]
+    third = of(found, series_id="H3")
+    assert list(third["value"]) == [7.5, 8, 8.5, 9] and set(third["unit"]) == {"Kilotonnes"}
+    assert list(third["date"]) == [D(2044, m, 1) for m in (1, 4, 7, 10)]
+    assert set(found["cat_no"]) == {"7510.0"} and set(found["release_date"]) == {"may-2044"}
+    assert set(found["table_no"]) == {"31b"} and set(of(found, series_id="H1")["series"]) == {"Ships in"}
     footed = of(observations, source_file="footed")
     # Without cutting, the source line is a series like any other.
     assert set(footed["series_id"]) == {"R4040404X", "bare line", "Source: the board"}
@@ -88,11 +92,10 @@ def test_cut_footers(spark):
 
 
 def test_without_metadata(spark):
-    found = tidy(cells_of(spark, s={"Data1": SAMPLE["Data1"]}), metadata=False).toPandas()
-    assert found["unit"].isna().all() and set(found["series"]) == {
-        "Column 2", "Column 3", "Column 4"}
-    assert set(found["frequency"]) == {"monthly"} and set(found["series_id"]) == {
-        "R70001K", "R70002K", "R70003K"}
+    found = tidy(cells_of(spark, s={"Flow 3": GAUGES["Flow 3"]}), metadata=False).toPandas()
+    assert found["unit"].isna().all() and set(found["frequency"]) == {"quarterly"}
+    assert dict(zip(found["series_id"], found["series"])) == {
+        "G4400012V": "Column 2", "G4400013W": "Column 3", "G4400020X": "Column 5", "G4400031Y": "Column 7"}
 
 
 def test_header_rules(spark):
@@ -109,24 +112,22 @@ def test_header_rules(spark):
 
 
 def test_metadata(spark):
-    found = series_metadata(cells_of(spark, layouts=LAYOUTS, sample={"Data1": SAMPLE["Data1"]}))
+    found = series_metadata(cells_of(spark, reports=REPORTS, gauges={"Flow 3": GAUGES["Flow 3"]}))
     assert found.columns == ["source_file", *SERIES_META]
     frame = found.toPandas()
-    layouts = of(frame, source_file="layouts").set_index("sheet")
-    assert len(layouts) == 6 and "About" not in layouts.index
-    one = layouts.groupby("sheet").first()
-    assert one["cat_no"].to_dict() == {
-        "Rain Metadata": "7100.0", "Pumps": "7200.0", "Old Levels": "7300.0",
-        "Leaks Metadata": "7400.0.10.002"}
-    assert one["release_date"]["Rain Metadata"] == "feb-2033"
-    assert one["release_date"]["Pumps"] == "oct-2032"
-    assert one["release_date"]["Old Levels"] == "jul-2021"
-    assert one["table_title"]["Old Levels"] == "Table 11. Levels of all dams"
+    assert len(of(frame, source_file="gauges")) == 4
+    reports = of(frame, source_file="reports")
+    assert reports.groupby("sheet")["series_id"].apply(sorted).to_dict() == {
+        "Harbours": ["H1", "H2", "H3"], "Tides": ["T5500001K", "T5500003M"],
+        "Table 40": ["B6000001Q", "B6000002R"]}  # a column of labels needs a series number
+    one = reports.groupby("sheet").first()
+    assert one["release_date"].to_dict() == {
+        "Harbours": "may-2044", "Tides": "jun-2045", "Table 40": "aug-2043"}
+    assert one["cat_no"].to_dict() == {"Harbours": "7510.0", "Tides": "7520.0.55.003", "Table 40": None}
     assert one["frequency"].to_dict() == {
-        "Rain Metadata": "annual", "Pumps": "quarterly",
-        "Old Levels": "semiannual", "Leaks Metadata": "weekly"}
-    assert one["table_no"]["Leaks Metadata"] == "2"
-    assert len(of(frame, source_file="sample")) == 3
+        "Harbours": "quarterly", "Tides": "weekly", "Table 40": "semiannual"}
+    assert one["table_title"]["Harbours"] == "Table 31b. Ships by harbour" and one["table_no"]["Table 40"] == "40"
+    assert one["unit"]["Tides"] == "Metres" and one["series"]["Tides"] in ("High tide", "Low tide")
 
 
 def test_context(spark):
@@ -192,12 +193,12 @@ def test_large_sheet_spreads_over_tiles(spark):
 
 
 def test_table_selection(spark):
-    cells = cells_of(spark, a=SAMPLE)
-    for request in (1, "1", "Table 1", ["Data1"]):
-        assert {r["sheet"] for r in cells_of_tables(cells, request).select("sheet").distinct().collect()} == {"Data1"}
+    cells = cells_of(spark, a=GAUGES)
+    for request in (3, "3", "Table 3", ["Flow 3"]):
+        assert {r["sheet"] for r in cells_of_tables(cells, request).select("sheet").distinct().collect()} == {"Flow 3"}
     assert select_sheets(cells).count() == cells.count()
-    assert select_sheets(cells, ["Data1", "Table 5"]).select("sheet").distinct().count() == 2
-    with pytest.raises(ValueError, match="Data12"):
+    assert select_sheets(cells, ["Flow 3", "Flow 11a"]).select("sheet").distinct().count() == 2
+    with pytest.raises(ValueError, match="Flow 11a"):
         require_tables(cells, 999)
 
 
@@ -207,12 +208,12 @@ def test_series_workflow(spark, observations):
         [tuple(None if v != v else v for v in row) for row in
          frame[["series_id", "date", "value"]].itertuples(index=False)],
         "series_id string, date date, value double")
-    assert lookup_series(df, [" r70001k"]).count() == 3
-    wanted = spark.createDataFrame([("R70001K",), ("R81234567",), ("missing",)], "series_id string")
+    assert lookup_series(df, [" g4400012v"]).count() == 3
+    wanted = spark.createDataFrame([("G4400012V",), ("PA7",), ("missing",)], "series_id string")
     assert lookup_series(df, wanted).count() == 5
     assert lookup_series(df, "missing").count() == 0
-    newest = lookup_series(df, "R70001K")
-    assert latest_date(newest).first()["latest_date"] == D(2031, 12, 1)
+    newest = lookup_series(df, "G4400012V")
+    assert latest_date(newest).first()["latest_date"] == D(2041, 10, 1)
     assert latest_date(df.where("false")).first()["latest_date"] is None
     with pytest.raises(ValueError):
         latest_date(df, "when")
