@@ -6,16 +6,21 @@ from pyspark.sql import Column, functions as F
 
 from gridtide.functions.text import TABLE_NO, collapse, strip
 
+# What a download link, and the wording around one, reads like.
 DOWNLOAD_HREF = r"(?i)\.(xlsx|xls|csv)(\?|$)"
 # Link labels that say nothing about the file behind them.
 GENERIC_LABELS = [
     "download", "download xlsx", "download xls", "download csv", "xlsx", "xls", "csv",
 ]
+# Fixed values, as above.
 TITLE_NOISE = (
     r"(?i)download\s*(xlsx|xls|csv)?\s*(\[[^\]]+\])?\s*(xlsx|xls|csv)?\s*(\[[^\]]+\])?"
 )
 TYPE_NOISE = r"(?i)\b(xlsx|xls|csv)\b\s*(\[[^\]]+\])?"
 
+# Points of a title and of a text around a link.
+TITLE_MOST, CONTEXT_MOST, TABLE_POINTS, GENERIC_TITLE, GENERIC_CONTEXT = 200, 300, 500, 1000, 500
+
 
 def absolute_url(url: Column, base: Column | str) -> Column:
     base = F.lit(base) if isinstance(base, str) else base
@@ -113,9 +118,9 @@ def context_title(context: Column, label: Column) -> Column:
 def context_score(text: Column) -> Column:
     plain = collapse(text)
     score = (
-        F.greatest(F.lit(0), F.lit(300) - F.length(plain))
-        + F.when(plain.rlike(TABLE_NO), 500).otherwise(0)
-        - F.when(_is_generic(plain), 500).otherwise(0)
+        F.greatest(F.lit(0), F.lit(CONTEXT_MOST) - F.length(plain))
+        + F.when(plain.rlike(TABLE_NO), TABLE_POINTS).otherwise(0)
+        - F.when(_is_generic(plain), GENERIC_CONTEXT).otherwise(0)
     )
     return F.when(plain == "", 0).otherwise(score)
 
@@ -123,9 +128,9 @@ def context_score(text: Column) -> Column:
 def title_score(text: Column) -> Column:
     plain = collapse(text)
     score = (
-        F.least(F.length(plain), F.lit(200))
-        + F.when(plain.rlike(TABLE_NO), 500).otherwise(0)
-        - F.when(_is_generic(plain), 1000).otherwise(0)
+        F.least(F.length(plain), F.lit(TITLE_MOST))
+        + F.when(plain.rlike(TABLE_NO), TABLE_POINTS).otherwise(0)
+        - F.when(_is_generic(plain), GENERIC_TITLE).otherwise(0)
     )
     return F.when(plain == "", 0).otherwise(score)
 

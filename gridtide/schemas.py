@@ -27,6 +27,7 @@ CELLS = _struct(
     "kind STRING, text STRING, num DOUBLE, date DATE"
 )
 
+# Names of the columns of observations, series, cubes and index tables.
 OBS = [
     "cat_no", "release_date", "table", "table_no", "table_title", "sheet", "sheet_no",
     "date", "series_id", "value", "unit", "series_type", "data_type", "frequency",
