@@ -14,6 +14,8 @@ from gridtide.operators.series import period_range
 from gridtide.schemas import DATASTRUCTURE
 from gridtide.staging import stage
 
+# Reasons that an error lists before it only says how many there are.
+ERRORS = 20
 _VALUES = "array<struct<id:string>>"
 _DIMS = f"array<struct<id:string,values:{_VALUES}>>"
 _OBSERVATIONS = "map<string,array<string>>"
@@ -138,10 +140,7 @@ def collect_named(documents: DataFrame, names: Sequence[str], step: int = 8) ->
     while True:
         for _ in range(step):
             level = _descend(level, names)
-        # variants are written as texts, which every table format holds
-        level = stage(level.withColumn("node", F.to_json("node")), "tree-levels").withColumn(
-            "node", F.try_parse_json("node")
-        )
+        level = stage(level, "tree-levels")  # Parquet holds variants as they are
         heads.append(level.where("done").select("doc_id", "node", "path"))
         level = level.where("not done")
         if level.isEmpty():
@@ -466,10 +465,11 @@ def filter_observations(
     """
     if filters:
         resolved = stage(resolve_filters(structure, _typed_requests(structure, filters)), "filters")
-        errors = resolved.where(F.col("error").isNotNull()).select("error").distinct().limit(20)
-        errors = sorted(row["error"] for row in errors.collect())
+        wrong = resolved.where(F.col("error").isNotNull()).select("error").distinct()
+        errors = [row["error"] for row in wrong.orderBy("error").limit(ERRORS).collect()]
         if errors:
-            raise ValueError("; ".join(errors))
+            more = wrong.count() - len(errors)
+            raise ValueError("; ".join(errors) + (f"; and {more} more" if more else ""))
         # one short row for each document: at most the codes that were typed
         by_dimension = resolved.groupBy("doc_id", "dimension_id").agg(
             F.collect_set(F.when(F.col("code") != "", F.col("code"))).alias("codes")
