@@ -236,7 +236,7 @@ def discover_releases(pages: DataFrame, seeds: DataFrame, base_url: str) -> Data
     A catalogue for which no page names a release keeps its seed release. Order is left to the
     caller.
     """
-    outlines = stage(page_outlines(pages).drop("contexts"), "outlines")
+    outlines = stage(page_outlines(pages, contexts=False).drop("contexts"), "outlines")
     page_keys = pages.select(F.col("page_id").cast("bigint"), F.col("url").alias("page"))
     keyed = outlines.select("page_id", "links").join(page_keys, "page_id")
     landing = keyed.join(seeds, F.col("page") == F.col("page_url")).select(

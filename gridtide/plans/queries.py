@@ -478,7 +478,7 @@ def page_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links found by the page parser, whole documents, compared with the expression form."""
-    outlines = page_source.page_outlines(wide_table(spark, sf_dir, "pages"))
+    outlines = page_source.page_outlines(wide_table(spark, sf_dir, "pages"), contexts=False)
     return outlines.select("page_id", F.inline("links")).select(
         "page_id", "href", collapse(F.col("label")).alias("label"),
         is_generic_label(F.col("label")).alias("is_generic"),

@@ -38,10 +38,12 @@ _CLOSES = {
 
 
 class _Outline(HTMLParser):
-    """One pass over a page: open elements on a stack, text pieces in one list."""
+    """One pass over a page: open elements on a stack, text pieces in one list. The texts around
+    links are put together only where they are asked for."""
 
-    def __init__(self) -> None:
+    def __init__(self, with_contexts: bool) -> None:
         super().__init__(convert_charrefs=True)
+        self.with_contexts = with_contexts
         self.pieces: list[str] = []
         self.stack: list[dict] = []
         self.links: list[tuple[int, str, str]] = []
@@ -60,8 +62,10 @@ class _Outline(HTMLParser):
         self._imply_ends(tag)
         self.count += 1
         classes = set(values.get("class", "").split())
-        selectors = [CONTEXT_TAGS[tag]] if tag in CONTEXT_TAGS else []
-        selectors += [rank for name, rank in CONTEXT_CLASSES.items() if name in classes]
+        selectors = []
+        if self.with_contexts:
+            selectors += [CONTEXT_TAGS[tag]] if tag in CONTEXT_TAGS else []
+            selectors += [rank for name, rank in CONTEXT_CLASSES.items() if name in classes]
         self.stack.append(
             {
                 "tag": tag, "ord": self.count, "start": len(self.pieces),
@@ -103,7 +107,7 @@ class _Outline(HTMLParser):
             self.links.append((element["ord"], element["href"], text))
         if element["tag"] == "h1" and self.h1 is None:
             self.h1 = text
-        inside = [href for _, href, _ in self.links[element["first_link"]:]]
+        inside = [href for _, href, _ in self.links[element["first_link"]:]] if element["selectors"] else []
         if inside:
             for rank in element["selectors"]:
                 self.contexts.append((rank, element["ord"], text, inside))
@@ -114,25 +118,30 @@ class _Outline(HTMLParser):
             self._close()
 
 
-def _outlines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for page_id, html in zip(batch["page_id"], batch["html"]):
-            page = _Outline()
-            page.feed(html or "")
-            page.finish()
-            links = [dict(ord=o, href=h, label=t) for o, h, t in sorted(page.links)]
-            contexts = [
-                dict(selector=s, ord=o, text=t, hrefs=h) for s, o, t, h in page.contexts
-            ]
-            rows.append((page_id, page.h1, page.description, links, contexts))
-        columns = ["page_id", "h1", "description", "links", "contexts"]
-        yield pd.DataFrame(rows, columns=columns)
-
-
-def page_outlines(pages: DataFrame) -> DataFrame:
-    """Links, contexts, first heading and description of each page, one parse per page."""
-    return pages.select(F.col("page_id").cast("bigint"), "html").mapInPandas(_outlines, OUTLINE)
+def _outlines(with_contexts: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for page_id, html in zip(batch["page_id"], batch["html"]):
+                page = _Outline(with_contexts)
+                page.feed(html or "")
+                page.finish()
+                links = [dict(ord=o, href=h, label=t) for o, h, t in sorted(page.links)]
+                contexts = [
+                    dict(selector=s, ord=o, text=t, hrefs=h) for s, o, t, h in page.contexts
+                ]
+                rows.append((page_id, page.h1, page.description, links, contexts))
+            columns = ["page_id", "h1", "description", "links", "contexts"]
+            yield pd.DataFrame(rows, columns=columns)
+
+    return run
+
+
+def page_outlines(pages: DataFrame, contexts: bool = True) -> DataFrame:
+    """Links, contexts, first heading and description of each page, one parse per page.
+    ``contexts=False`` leaves the contexts empty and does no work for them."""
+    rows = pages.select(F.col("page_id").cast("bigint"), "html")
+    return rows.mapInPandas(_outlines(contexts), OUTLINE)
 
 
 LINK = r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
