@@ -15,6 +15,7 @@ from gridtide.plans.queries import QUERIES
 HEAVY = {
     "tidy_time_across", "tidy_no_metadata", "tidy_fallback_mixed", "series_metadata",
     "cube_matrix", "cube_auto_fallback", "footer_and_notes", "discover_files", "api_key",
+    "refresh_index", "refresh_releases", "request_to_obs", "cube_provenance",
 }
 available = pytest.mark.skipif(not os.path.isdir(SMOKE_DIR), reason="no test tables here")
 
