@@ -3,6 +3,11 @@
 Stages, each over all that the one before kept: quality rules (documents that the rules reject
 go), near copies (one document of each class stays), repeated strings (cut out of the texts),
 benchmark items (documents that hold one go), packing (whole documents to sequences).
+
+In every stage: null texts count as empty; texts of any length are read whole; repeated rows and
+rows that share an id are judged each by its own text; rows without id are never copies of others
+nor contaminated; other columns, whatever their names, come through unchanged but for the last
+stage; a table without rows gives none.
 """
 
 from __future__ import annotations
@@ -19,13 +24,15 @@ from gridtide.staging import stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or are mostly boilerplate go."""
+    """Documents that fail the base rules (null and empty texts do) or are mostly boilerplate go.
+    Without labels of both kinds only the base rules decide."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return judge_quality(docs, fit_field(docs, labels)).where("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies stays, that of the least doc_id."""
+    """One document of each class of near copies stays, that of the least doc_id; of rows with
+    equal id and text one. Texts without words and rows without id stay."""
     return drop_near_copies(docs)
 
 
@@ -42,12 +49,14 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, also with other numbers and names, go."""
+    """Documents that hold a benchmark item, also with other numbers and names, or a long run of
+    its words go. Empty texts and rows without id stay; without items all rows do."""
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, placed in sequences of 2048 tokens."""
+    """Pieces of all documents, placed in sequences of 2048 tokens; an empty text is its closing
+    token."""
     return pack_documents(docs, tokenizer_path()).withColumnRenamed("doc", "doc_id")
 
 
