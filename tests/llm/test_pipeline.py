@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import random
 
+import pytest
+
 import corpus_pipeline as cp
 from gridtide.llm.packing import cut
 from gridtide.llm.queries_packing import tokenizer_path
 from gridtide.llm.tokens import encoder
 
+SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -65,3 +69,28 @@ def test_stages(spark, tmp_path):
         for n, (_, size) in enumerate(cut(len(encode(r.text)) // 4 + 1, 2048))
     )
     assert got == want
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
+@pytest.mark.parametrize("name, stage_of", cp.STAGES[:-1])
+def test_stages_take_odd_rows(spark, name, stage_of):
+    rng = random.Random(8)
+
+    def text():
+        words = ["".join(rng.choices(["ba", "ren", "to", "lis", "mo", "der", "an"], k=3)) for _ in range(120)]
+        return "\n".join(" ".join(words[i: i + 12]).capitalize() + "." for i in range(0, 120, 12))
+
+    prose, other = text(), text()
+    rows = [(1, prose), (1, other), (1, prose), (None, prose), (None, None), (2, None), (3, ""), (4, "two words")]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, mark string"
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", None if t is None else len(t), "x", "y") for i, t in rows], kinds)
+    got = stage_of(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    kept = {(r["doc_id"], r["text"]) for r in got.collect()}
+    if name == "quality_rules":  # too short ones fail, whatever their id
+        assert kept == {(1, prose), (1, other), (None, prose)}
+    else:
+        assert {(1, prose), (1, other), (None, prose)} <= kept and (4, "two words") in kept
+        assert got.count() == len(rows) - (name == "near_dedup")  # equal rows of one id count once there
+    assert stage_of(spark, docs.limit(0), SF_DIR).count() == 0
