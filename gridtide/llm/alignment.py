@@ -24,12 +24,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from gridtide.llm.rows import column, text_of
-from gridtide.llm.tokens import encoder, kept, token_bytes
+from gridtide.llm.tokens import encoder, token_bytes
 from gridtide.llm.windows import text_blocks
 from gridtide.staging import stage
 
 BLOCK_BYTES = 1 << 20
-CACHE = 300_000
+CACHE = 150_000
 BITS = 24
 PAIR_BOUND = 1 << 24
 SPACE = "▁"
@@ -150,7 +150,7 @@ class Aligner:
     """Both vocabularies of a task."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.encode_a, self.encode_b = encoder(a_path), piece_encoder(b_path)
+        self.encode_a, self.encode_b = encoder(a_path, cache=0), piece_encoder(b_path)
         self.a_table = pa.array(token_bytes(a_path), pa.binary())
         self.b_table = pa.array(piece_bytes(b_path), pa.binary())
         self.a_sizes = pc.binary_length(self.a_table).cast(pa.int64())
@@ -213,7 +213,7 @@ class Aligner:
 
 def _align(a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = kept(Aligner, a_path, b_path)
+        aligner = Aligner(a_path, b_path)
         for rows, _, _ in text_blocks(batches, BLOCK_BYTES):
             texts = rows.column(1).cast(pa.string()).to_pylist()
             out = aligner.align(texts).add_column(0, "doc", [rows.column(0)])

@@ -74,13 +74,14 @@ def kept(make: Callable, *arguments):
     return objects[name]
 
 
-def encoder(path: str, plain: bool = True) -> Callable[[str], bytes]:
+def encoder(path: str, plain: bool = True, cache: int = CACHE) -> Callable[[str], bytes]:
     """Text to its ids as little-endian unsigned 32-bit numbers. ``plain``: the strings of
     special tokens in a text are ordinary text; else they are those tokens.
 
     The ids are those of the file in ``tokenizers``. Where the file's ids follow its merges,
     ``tiktoken`` computes the same ones faster. A text is split at single spaces, which always
-    begin a new part, so that frequent words are encoded once.
+    begin a new part, so that frequent words are encoded once; up to ``cache`` of them are kept,
+    and with 0 texts are encoded as they are.
     """
     ranks, added = _ranks(path), _added(path)
     if ranks is None or (added is None and not plain):
@@ -98,9 +99,9 @@ def encoder(path: str, plain: bool = True) -> Callable[[str], bytes]:
     known: dict[str, bytes] = {}
 
     def run(text: str) -> bytes:
-        if ODD_SPACE.search(text):
+        if not cache or ODD_SPACE.search(text):
             return array("I", encode(text)).tobytes()
-        if len(known) > CACHE:
+        if len(known) > cache:
             known.clear()
         head, *rest = text.split(" ")
         out = [array("I", encode(head)).tobytes()]
