@@ -28,8 +28,8 @@ from gridtide.llm.tokens import encoder, token_bytes
 from gridtide.llm.windows import text_blocks
 from gridtide.staging import stage
 
-BLOCK_BYTES = 1 << 20
-CACHE = 150_000
+BLOCK_BYTES = 1 << 19
+CACHE = 100_000
 BITS = 24
 PAIR_BOUND = 1 << 24
 SPACE = "▁"
