@@ -150,9 +150,10 @@ def select_files(index: DataFrame, requests: DataFrame) -> DataFrame:
     def answers(rows: DataFrame, names: DataFrame) -> DataFrame:
         """Best file of each spec, from rows by ``text`` and the texts each ``needle`` names."""
         of = names.withColumnRenamed("needle", "file_key")
-        newest = rows.groupBy(*kind, "text").agg(best).join(of, [*kind, "text"])
+        # a row per text of the index: as many as files, too many to broadcast
+        newest = rows.groupBy(*kind, "text").agg(best).hint("merge").join(of, [*kind, "text"])
         undated = specs.where(latest).join(newest, [*kind, "file_key"])
-        monthly = rows.groupBy(*dated, "text").agg(best).join(of, [*kind, "text"])
+        monthly = rows.groupBy(*dated, "text").agg(best).hint("merge").join(of, [*kind, "text"])
         at_month = specs.where(~latest).join(monthly, spec)
         return undated.select(*spec, "best").unionByName(at_month.select(*spec, "best"))
 
@@ -166,7 +167,7 @@ def select_files(index: DataFrame, requests: DataFrame) -> DataFrame:
     )
     asked = wanted.where(~open_file)
     same = [asked[name].eqNullSafe(found[name]) for name in spec]
-    by_file = asked.join(found, same).select(asked["request_id"], found["best"])
+    by_file = asked.hint("merge").join(found, same).select(asked["request_id"], found["best"])
 
     chosen = (
         plain.select("request_id", "best")

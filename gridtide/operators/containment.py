@@ -3,13 +3,17 @@
 A text contains a needle only if it contains all parts of the needle. Texts offer their parts of
 up to three letters; a needle looks up the rarest of its parts only, and what is found there is
 verified. Joins are by equality of parts, so nothing is compared with everything, and a part
-that most texts have is never looked up unless it is all that the needle consists of.
+that most texts have is never looked up unless it is all that the needle consists of. Parts no
+needle has are dropped where they arise; the index, many times the size of what it is made of, is
+never sent to all tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gridtide.staging import stage
+
 GRAM = 3
 
 
@@ -31,18 +35,21 @@ def containing(texts: DataFrame, needles: DataFrame, keys: list[str]) -> DataFra
     """
     offered = texts.select(*keys, "text").where("text is not null").distinct()
     wanted = needles.select(*keys, "needle").where("needle != ''").distinct()
+    size = F.least(F.length("needle"), F.lit(GRAM))
+    asked = stage(wanted.withColumn("part", F.explode(_parts(F.col("needle"), size))), "needle-parts")
     every = F.flatten(F.array(*(_parts(F.col("text"), n) for n in range(1, GRAM + 1))))
-    index = offered.withColumn("part", F.explode(every))
+    index = offered.withColumn("part", F.explode(every)).join(
+        asked.select(*keys, "part").distinct(), [*keys, "part"], "left_semi"
+    )
     counts = index.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("n"))
-    size = F.least(F.length("needle"), F.lit(GRAM))
-    asked = wanted.withColumn("part", F.explode(_parts(F.col("needle"), size)))
     # a part no text has leaves the needle without a match
     rated = asked.join(counts, [*keys, "part"], "left").groupBy(*keys, "needle").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "part")).alias("rarest")
     )
     looked_up = rated.where("rarest.n > 0").select(*keys, "needle", F.col("rarest.part").alias("part"))
+    # Spark takes the exploded index for no larger than the texts, and would broadcast it
     return (
-        index.join(looked_up, [*keys, "part"])
+        index.hint("merge").join(looked_up, [*keys, "part"])
         .where(F.col("text").contains(F.col("needle")))
         .select(*keys, "text", "needle")
     )

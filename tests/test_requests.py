@@ -170,3 +170,15 @@ def test_read_family(spark, index):
         ("flows.xlsx", "Gross flows", "mar-2031")}
     with pytest.raises(ValueError, match="no files for catalogue"):
         requests.read_family(cells, index, "awe")
+
+
+def test_index_of_parts_is_not_broadcast(spark, tmp_path):
+    """Spark sees the size of the texts, not that of their parts: the join with them is told."""
+    texts = [("k", f"{i:05d}_statistics of basin {i}.xlsx") for i in range(2000)]
+    spark.createDataFrame(texts, "cat string, text string").write.parquet(f"{tmp_path}/texts")
+    needles = spark.createDataFrame([("k", "00017_"), ("k", "zz")], "cat string, needle string")
+    found = containing(spark.read.parquet(f"{tmp_path}/texts"), needles, ["cat"])
+    plan = found._jdf.queryExecution().sparkPlan().toString().splitlines()
+    assert [line for line in plan if "Contains(" in line and "SortMergeJoin" in line]
+    assert not [line for line in plan if "Contains(" in line and "Broadcast" in line]
+    assert [r["text"] for r in found.collect()] == ["00017_statistics of basin 17.xlsx"]
