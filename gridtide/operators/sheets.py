@@ -2,9 +2,10 @@
 
 Nothing here (or above it) collects a sheet: a single sheet may hold a large share
 of all cells. Per-sheet facts are aggregates with map-side combine, and a join
-between cells and per-sheet facts is keyed by *tile*, a block of rows and columns,
+between cells and per-sheet facts is keyed by *tile*, a block of rows or columns,
 so that one huge sheet spreads over many tasks. An ordinary sheet is one tile and
-pays nothing for it.
+pays nothing for it. Blocks are dealt over a fixed number of tiles, so facts are
+repeated that often at most, however far down the rows of a sheet lie.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 from gridtide.functions.periods import cell_period, month_index
 from gridtide.schemas import LABELS, SHEET
 
-# A tile is 2**14 rows by 2**10 columns.
+# A block is 2**14 rows by 2**10 columns.
 ROW_BITS, COL_BITS = 14, 10
+TILES = 16
 
 
 def block(ordinal: Column, bits: int) -> Column:
@@ -27,6 +29,24 @@ def blocks(last: Column, bits: int) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), block(last, bits)))
 
 
+def tile(ordinal: Column, bits: int) -> Column:
+    """Tile of a row or column in joins with facts; -1 of one above or left of the first."""
+    at = block(ordinal, bits)
+    return F.when(at < 0, F.lit(-1).cast("bigint")).otherwise(at % TILES)
+
+
+def tiled(facts: DataFrame, name: str, last: str, bits: int) -> DataFrame:
+    """Facts once for each tile up to the row or column ``last``, numbered in ``name``.
+
+    A join with a small table, not an explode, which Spark would take for no more rows than
+    before it: what is small enough to broadcast is to be seen from its size.
+    """
+    numbers = facts.sparkSession.range(-1, TILES).withColumnRenamed("id", name)
+    at, number = block(F.col(last), bits), F.col(name)
+    inside = ((number >= 0) & (number <= at)) | ((number < 0) & (at < 0))
+    return facts.join(F.broadcast(numbers), inside)
+
+
 def with_periods(cells: DataFrame) -> DataFrame:
     """Cells plus ``period_date`` and ``period_frequency``; parsed once, best stored so."""
     if "period_date" in cells.columns:
@@ -43,8 +63,8 @@ def join_sheets(df: DataFrame, sheets: DataFrame, how: str = "inner") -> DataFra
 
     ``sheets`` must carry ``max_row``.
     """
-    left = df.withColumn("row_block", block(F.col("row_no"), ROW_BITS))
-    right = sheets.withColumn("row_block", blocks(F.col("max_row"), ROW_BITS))
+    left = df.withColumn("row_block", tile(F.col("row_no"), ROW_BITS))
+    right = tiled(sheets, "row_block", "max_row", ROW_BITS)
     if how in ("left_anti", "left_semi"):
         right = right.select(*SHEET, "row_block")
     return left.join(right, [*SHEET, "row_block"], how).drop("row_block")
@@ -52,8 +72,8 @@ def join_sheets(df: DataFrame, sheets: DataFrame, how: str = "inner") -> DataFra
 
 def join_sheets_by_column(df: DataFrame, sheets: DataFrame) -> DataFrame:
     """As :func:`join_sheets` for rows that have ``col_no`` only."""
-    left = df.withColumn("col_block", block(F.col("col_no"), COL_BITS))
-    right = sheets.withColumn("col_block", blocks(F.col("max_col"), COL_BITS))
+    left = df.withColumn("col_block", tile(F.col("col_no"), COL_BITS))
+    right = tiled(sheets, "col_block", "max_col", COL_BITS)
     return left.join(right, [*SHEET, "col_block"]).drop("col_block")
 
 
@@ -81,15 +101,15 @@ def dense_grid(rows: DataFrame, cols: DataFrame, values: DataFrame) -> DataFrame
 
 def join_column_facts(df: DataFrame, cols: DataFrame) -> DataFrame:
     """Attach per-column facts to cells; a long column is split by row block."""
-    left = df.withColumn("row_block", block(F.col("row_no"), ROW_BITS))
-    right = cols.withColumn("row_block", blocks(F.col("max_row"), ROW_BITS)).drop("max_row")
+    left = df.withColumn("row_block", tile(F.col("row_no"), ROW_BITS))
+    right = tiled(cols, "row_block", "max_row", ROW_BITS).drop("max_row")
     return left.join(right, [*SHEET, "col_no", "row_block"]).drop("row_block")
 
 
 def join_row_facts(df: DataFrame, rows: DataFrame) -> DataFrame:
     """Attach per-row facts to cells; a wide row is split by column block."""
-    left = df.withColumn("col_block", block(F.col("col_no"), COL_BITS))
-    right = rows.withColumn("col_block", blocks(F.col("max_col"), COL_BITS)).drop("max_col")
+    left = df.withColumn("col_block", tile(F.col("col_no"), COL_BITS))
+    right = tiled(rows, "col_block", "max_col", COL_BITS).drop("max_col")
     return left.join(right, [*SHEET, "row_no", "col_block"]).drop("col_block")
 
 

@@ -255,3 +255,25 @@ def test_facts_below_a_long_preface(spark):
     }
     plan = sheet_context(cells)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_facts_of_far_rows_are_repeated_a_bounded_number_of_times(spark):
+    """Row numbers may be sparse: what a sheet says is repeated for tiles, not for all its blocks,
+    and Spark sees that it is."""
+    from gridtide.operators import sheets
+
+    far = 9_000_000
+    facts = spark.createDataFrame(
+        [("f", 1, far, "far"), ("f", 2, 3, "near"), ("f", 3, 0, "above")],
+        "source_file string, sheet_no int, max_row long, fact string")
+    rows = spark.createDataFrame(
+        [("f", 1, r) for r in (1, 16_384, 16_385, 5_000_000, far)]
+        + [("f", 2, r) for r in (1, 3)] + [("f", 3, 0)],
+        "source_file string, sheet_no int, row_no long")
+    joined = sheets.join_sheets(rows, facts)
+    assert joined.count() == rows.count() == joined.select("source_file", "sheet_no", "row_no").distinct().count()
+    assert {(r["sheet_no"], r["fact"]) for r in joined.collect()} == {(1, "far"), (2, "near"), (3, "above")}
+    right = sheets.tiled(facts, "row_block", "max_row", sheets.ROW_BITS)
+    assert right.count() == sheets.TILES + 2
+    size = lambda df: int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    assert size(right) >= sheets.TILES * size(facts)
