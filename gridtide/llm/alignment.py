@@ -32,6 +32,8 @@ BLOCK_BYTES = 1 << 19
 CACHE = 100_000
 BITS = 24
 PAIR_BOUND = 1 << 24
+#: pairs looked at together; Spark hands over thousands of texts at once
+PAIRS_AT_ONCE = 1 << 17
 SPACE = "▁"
 #: spaces, and the sign that stands for them in pieces, belong to what follows them
 UNIT = re.compile(f"[ {SPACE}]*[^ {SPACE}]+|[ {SPACE}]+")
@@ -233,10 +235,22 @@ def aligned(
     return rows.mapInArrow(_align(a_path, b_path), ALIGNED)
 
 
+def _slices(batch: pa.RecordBatch, name: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of about ``PAIRS_AT_ONCE`` entries of a list column."""
+    lists = batch.column(batch.schema.get_field_index(name))
+    ends = lists.offsets.to_numpy()
+    first = 0
+    while first < batch.num_rows:
+        last = int(np.searchsorted(ends, ends[first] + PAIRS_AT_ONCE, side="right")) - 1
+        last = min(max(last, first + 1), batch.num_rows)
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's pairs, merged batch by batch."""
+    """Counts of a task's pairs, merged slice by slice."""
     total = None
-    for batch in batches:
+    for batch in (part for batch in batches for part in _slices(batch, "pairs")):
         pairs = pa.table({"pair": pc.list_flatten(batch.column(0))})
         some = pairs.group_by("pair", use_threads=False).aggregate([([], "count_all")])
         some = some.select(["pair", "count_all"]).rename_columns(["pair", "n"])
@@ -261,11 +275,10 @@ def _counted(shared):
         most = np.zeros(int(token.max()) + 1 if len(token) else 1, dtype=np.int64)
         np.maximum.at(most, token, count)
         best = (count == most[token]).astype(np.int64) if len(token) else count
-        for batch in batches:
+        for batch in (part for batch in batches for part in _slices(batch, "pairs")):
             lists = batch.column(batch.schema.get_field_index("pairs"))
             at = np.searchsorted(pair, pc.list_flatten(lists).to_numpy())
-            parents = pc.list_parent_indices(lists).to_numpy()
-            edges = np.searchsorted(parents, np.arange(batch.num_rows + 1))
+            edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names) if name != "pairs"}
             for name, values in (("n_best", best), ("count_sum", count)):
                 upto = np.concatenate([[0], np.cumsum(values[at])])

@@ -100,3 +100,25 @@ def test_pair_bound():
     assert pair_bound([b"ab", b"b", b"c"], [b"b", b"b", b"aab", b"x"]) == 3 + 3
     a, b = token_bytes(tokenizer_path()), piece_bytes(piece_model_path())
     assert pair_bound(a, b) < alignment.PAIR_BOUND
+
+
+def test_large_batches_are_taken_in_slices(monkeypatch):
+    """Thousands of texts come in one batch: their pairs are looked at some at a time."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(alignment, "PAIRS_AT_ONCE", 4)
+    lists = [[1, 2, 1], [], [2], [3, 3, 3, 3, 3, 3], [], [1], [2, 1], []]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(8)), "pairs": pa.array(lists, pa.list_(pa.int64()))})
+    whole = batch.slice(1)
+    sizes = [len(part.column(1).flatten()) for part in alignment._slices(whole, "pairs")]
+    assert sizes == [1, 6, 3]
+
+    class Shared:
+        value = np.array([1, 2, 3]), np.array([4, 3, 6])
+
+    out = pa.Table.from_batches(alignment._counted(Shared)(iter([batch, whole])))
+    sums = [sum({1: 4, 2: 3, 3: 6}[p] for p in row) for row in lists]
+    assert out.column("count_sum").to_pylist() == sums + sums[1:]
+    assert out.column("doc").to_pylist() == [*range(8), *range(1, 8)]
+    parts = pa.Table.from_batches(alignment._partial(iter([batch.select(["pairs"])]))).to_pydict()
+    assert dict(zip(parts["pair"], parts["n"])) == {1: 4, 2: 3, 3: 6}
