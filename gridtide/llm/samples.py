@@ -1,4 +1,4 @@
-"""A bounded sample of labelled documents to fit a model on."""
+"""Labelled documents to fit a model on: their marks, and a bounded sample of them."""
 
 from __future__ import annotations
 
@@ -7,6 +7,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 LIMIT = 3000
 
 
+def marks(labels: DataFrame, label: str, where: Column | None = None) -> DataFrame:
+    """(doc, mark): the documents labelled 0 or 1 that fulfil ``where``, a condition on the column
+    ``doc``; one labelled both ways counts as 0. Null labels and ids are left out."""
+    known = labels.select(
+        labels["doc_id"].cast("long").alias("doc"), labels[label].cast("int").alias("mark")
+    ).where("doc is not null and mark in (0, 1)")
+    if where is not None:
+        known = known.where(where)
+    return known.groupBy("doc").agg(F.min("mark").alias("mark"))
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, limit: int = LIMIT,
     where: Column | None = None,
@@ -17,12 +28,7 @@ def labelled_sample(
     Labels that are null or neither 0 nor 1, and null ids, are left out; a document labelled
     both ways counts as 0; one with several texts takes part with each.
     """
-    known = labels.select(
-        labels["doc_id"].cast("long").alias("doc"), labels[label].cast("int").alias("mark")
-    ).where("doc is not null and mark in (0, 1)")
-    if where is not None:
-        known = known.where(where)
-    known = known.groupBy("doc").agg(F.min("mark").alias("mark"))
+    known = marks(labels, label, where)
     text = F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")
     rows = docs.select(docs["doc_id"].cast("long").alias("doc"), text.alias("text"))
     chosen = None

@@ -128,3 +128,30 @@ def test_ranking_on_held_out(spark, documents):
     same = fit_ranking(docs, labels.limit(0), F.lit(True))
     assert {r.predicted for r in rank_quality(docs, same).collect()} == {1}
     assert rank_quality(documents([]), ranking).count() == 0
+
+
+def test_ranking_learns_from_all_labelled_documents(spark, documents):
+    """Mean, scale and threshold are those of all labelled documents, also of many."""
+    from gridtide.llm.lines import count_block
+    from gridtide.llm.ranking import CUT, features_of
+
+    rng = random.Random(5)
+    n, bad = 8000, 3500
+    rows = []
+    for i in range(n):
+        words = [f"w{rng.randrange(700)}" for _ in range(rng.randrange(3, 40))]
+        junk = i < bad and rng.random() < 0.9
+        rows.append((i, " ".join(w + "%%" if junk and rng.random() < 0.5 else w for w in words) + f" {i}", "x", "y"))
+    docs = documents(rows, ("quality", "mark"))
+    labels = spark.createDataFrame([(i, int(i >= bad), 0) for i in range(n)], "doc_id long, quality int, toxic int")
+    ranking = fit_ranking(docs, labels, F.lit(True))
+    data = [row[1].encode() for row in rows]
+    begins = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    features = features_of(count_block(np.frombuffer(b"".join(data), np.uint8), begins))
+    assert np.allclose(ranking.mean, features.mean(axis=0), atol=1e-8)
+    assert np.allclose(ranking.scale, features.std(axis=0) + 1e-3, atol=1e-5)
+    scores = ranking.scores(features)
+    ordered = np.sort(scores)
+    last = ordered[bad - 1]
+    assert last < CUT <= ordered[ordered > last + 1e-9][0]
+    assert np.mean(scores[bad:] >= CUT) > 0.9
