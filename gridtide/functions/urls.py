@@ -115,8 +115,8 @@ def context_title(context: Column, label: Column) -> Column:
     return _context_title(collapse(context), label)
 
 
-def context_score(text: Column) -> Column:
-    plain = collapse(text)
+def context_score(plain: Column) -> Column:
+    """Points of a collapsed text around a link."""
     score = (
         F.greatest(F.lit(0), F.lit(CONTEXT_MOST) - F.length(plain))
         + F.when(plain.rlike(TABLE_NO), TABLE_POINTS).otherwise(0)

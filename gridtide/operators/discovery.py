@@ -40,11 +40,14 @@ def link_contexts(outlines: DataFrame, base_url: str) -> DataFrame:
             lambda href: without_query(absolute_url(href, base_url)),
         )
     )
-    candidates = contexts.where(F.col("text") != "").withColumn("urls", urls)
+    # scored once, however many links a text has
+    candidates = contexts.where(F.col("text") != "").select(
+        "page_id", "selector", "ord", "text", urls.alias("urls"),
+        context_score(F.col("text")).alias("score"),
+    )
     single = candidates.select(
         "page_id", F.explode("urls").alias("url"), "selector", "ord", "text",
-        (F.size("urls") > 1).alias("shared"),
-        context_score(F.col("text")).alias("score"),
+        (F.size("urls") > 1).alias("shared"), "score",
     )
     # All candidates of one URL on one page: a handful of enclosing elements.
     ordered = F.array_sort(F.collect_list(F.struct("selector", "ord", "shared", "score", "text")))
@@ -146,14 +149,17 @@ def archive_links(landing: DataFrame, base_url: str) -> DataFrame:
     ).distinct()
 
 
-def discover_files(pages: DataFrame, seeds: DataFrame, base_url: str) -> DataFrame:
+def discover_files(
+    pages: DataFrame, seeds: DataFrame, base_url: str, outlines: DataFrame | None = None
+) -> DataFrame:
     """File index of all seed catalogues from landed pages (``page_id, url, html``).
 
     A catalogue takes the files of its landing page; without any, those of the first
-    release page that has some; without that, its seed row.
+    release page that has some; without that, its seed row. ``outlines`` are those of the pages
+    with contexts, where they are there already.
     """
     # Each page is parsed once; its outline is small and read several times.
-    outlines = stage(page_outlines(pages), "outlines")
+    outlines = stage(page_outlines(pages), "outlines") if outlines is None else outlines
     page_keys = pages.select(F.col("page_id").cast("bigint"), F.col("url").alias("page"))
     downloads = page_downloads(outlines, base_url)
     described = outlines.select("page_id", "h1", "description", "links").join(page_keys, "page_id")
@@ -165,6 +171,8 @@ def discover_files(pages: DataFrame, seeds: DataFrame, base_url: str) -> DataFra
         F.coalesce(clean_text(F.col("h1")), "title").alias("page_title"),
         F.coalesce(clean_text(F.col("description")), "seed_description").alias("description"),
     )
+    # read three times below
+    landing = stage(landing, "landing-pages")
     facts = landing.select(
         "cat_no", "description", "seed_url", F.col("page_title").alias("title")
     )
@@ -230,13 +238,16 @@ def seed_releases(seeds: DataFrame) -> DataFrame:
     )
 
 
-def discover_releases(pages: DataFrame, seeds: DataFrame, base_url: str) -> DataFrame:
+def discover_releases(
+    pages: DataFrame, seeds: DataFrame, base_url: str, outlines: DataFrame | None = None
+) -> DataFrame:
     """Releases of all seed catalogues from landing and archive pages.
 
     A catalogue for which no page names a release keeps its seed release. Order is left to the
-    caller.
+    caller. ``outlines`` are those of the pages, where they are there already.
     """
-    outlines = stage(page_outlines(pages, contexts=False).drop("contexts"), "outlines")
+    if outlines is None:
+        outlines = stage(page_outlines(pages, contexts=False).drop("contexts"), "outlines")
     page_keys = pages.select(F.col("page_id").cast("bigint"), F.col("url").alias("page"))
     keyed = outlines.select("page_id", "links").join(page_keys, "page_id")
     landing = keyed.join(seeds, F.col("page") == F.col("page_url")).select(

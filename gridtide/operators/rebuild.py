@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gridtide.operators.discovery import discover_files, discover_releases
 from gridtide.schemas import FILE_INDEX, RELEASES
 from gridtide.sources.inventory import stored_table
+from gridtide.sources.pages import page_outlines
+from gridtide.staging import spread, stage
 
 VERSIONS = "cat_no STRING, version STRING, committed BIGINT"
 TABLES = {"files": FILE_INDEX, "releases": RELEASES}
@@ -41,10 +43,12 @@ def refresh_index(
     Other catalogues of the store stay as they are. Returns the name of the version.
     """
     version = uuid.uuid4().hex
-    current = newest_landings(pages, landed)
+    # found, moved and parsed once for all that reads them
+    current = stage(newest_landings(pages, landed).select("page_id", "url", "html"), "newest-pages")
+    outlines = stage(page_outlines(spread(current)), "outlines")
     found = {
-        "files": discover_files(current, seeds, base_url),
-        "releases": discover_releases(current, seeds, base_url),
+        "files": discover_files(current, seeds, base_url, outlines),
+        "releases": discover_releases(current, seeds, base_url, outlines),
     }
     for name, rows in found.items():
         rows.select(*TABLES[name].names).write.parquet(f"{store}/{name}/version={version}")

@@ -58,3 +58,16 @@ def test_refresh(spark, tmp_path, monkeypatch):
     assert stored(spark, store) == [("A", "next.xlsx"), ("B", "bee.xlsx")]  # never seen
     rebuild.refresh_index(spark, pages(spark, first + last), seeds(spark, "b"), BASE, store)
     assert stored(spark, store) == [("A", "next.xlsx"), ("B", "lost.xlsx")]
+
+
+def test_refresh_parses_pages_once(spark, tmp_path, monkeypatch):
+    """Files and releases are read from the same outlines."""
+    from gridtide.sources import pages as source
+
+    store, parses, made = str(tmp_path / "store"), [], source._outlines
+    monkeypatch.setattr(source, "_outlines", lambda contexts: parses.append(contexts) or made(contexts))
+    rows = [page(1, "a", "A", "jun-2031", "x", 1), page(2, "a", "A", "jul-2031", "y", 2)]
+    rebuild.refresh_index(spark, pages(spark, rows), seeds(spark, "a"), BASE, store)
+    assert parses == [True]
+    assert stored(spark, store) == [("A", "y.xlsx")]
+    assert [str(r["release_date"]) for r in rebuild.stored_rows(spark, store, "releases").collect()] == ["2031-07-01"]
