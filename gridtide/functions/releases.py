@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from gridtide.functions.periods import month_number
-from gridtide.functions.text import collapse, strip
+from gridtide.functions.text import collapse, let, strip
 from gridtide.functions.urls import without_query
 
 MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
@@ -19,14 +19,26 @@ def _first_of(year: Column, month: Column) -> Column:
 
 def release_month(text: Column) -> Column:
     """First of the month named anywhere in a text, ``April 2024`` or ``2024 April``."""
-    plain = F.lower(collapse(text))
-    forward = _first_of(
-        F.regexp_extract(plain, MONTH_FIRST, 2), month_number(F.regexp_extract(plain, MONTH_FIRST, 1))
-    )
-    backward = _first_of(
-        F.regexp_extract(plain, YEAR_FIRST, 1), month_number(F.regexp_extract(plain, YEAR_FIRST, 2))
-    )
-    return F.when(plain.rlike(MONTH_FIRST), forward).when(plain.rlike(YEAR_FIRST), backward)
+
+    def forward(found: Column) -> Column:
+        return _first_of(F.right(found, F.lit(4)), month_number(F.left(found, F.lit(3))))
+
+    def backward(found: Column) -> Column:
+        month = F.ltrim(F.substr(found, F.lit(5)), F.lit("- "))
+        return _first_of(F.left(found, F.lit(4)), month_number(F.left(month, F.lit(3))))
+
+    def named(plain: Column) -> Column:
+        second = let(
+            F.regexp_extract(plain, YEAR_FIRST, 0), lambda found: F.when(found != "", backward(found))
+        )
+        first = let(
+            F.regexp_extract(plain, MONTH_FIRST, 0),
+            lambda found: F.when(found != "", forward(found)).otherwise(second),
+        )
+        # without a year there is no month to look for
+        return F.when(plain.rlike("[0-9]{4}"), first)
+
+    return let(F.lower(collapse(text)), named)
 
 
 def release_key(month: Column) -> Column:
@@ -42,7 +54,7 @@ def release_text(text: Column) -> Column:
 def release_from_url(url: Column) -> Column:
     """``apr-2024`` out of ``.../apr-2024/...``, else null."""
     found = F.regexp_extract(F.lower(url), "/([a-z]{3}-[0-9]{4})/", 1)
-    return F.when(found != "", found)
+    return let(found, lambda key: F.when(key != "", key))
 
 
 def release_page(url: Column) -> Column:
@@ -56,10 +68,13 @@ def release_page(url: Column) -> Column:
 
 def is_release_url(url: Column, page_url: Column) -> Column:
     """Whether a link leads to a dated release below a catalogue page."""
-    clean = without_query(url)
-    below = clean.startswith(F.concat(page_url, F.lit("/")))
-    dated = clean.rlike("(?i)/[a-z]{3}-[0-9]{4}/?$")
-    named = release_month(release_from_url(clean)).isNotNull()
-    return below & (dated | F.coalesce(named, F.lit(False)))
+
+    def leads(clean: Column) -> Column:
+        below = clean.startswith(F.concat(page_url, F.lit("/")))
+        dated = clean.rlike("(?i)/[a-z]{3}-[0-9]{4}/?$")
+        named = release_month(release_from_url(clean)).isNotNull()
+        return below & (dated | F.coalesce(named, F.lit(False)))
+
+    return let(without_query(url), leads)
 
 

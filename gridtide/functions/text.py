@@ -2,11 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 TABLE_NO = r"(?i)\btables?\s*([0-9]+[a-z]?)\b"
 # Characters stripped from both ends of a cell.
 BLANKS = " \t\n\r\x0b\x0c\x85\xa0"
+# One of these is in every text with a run of blanks that is not a single plain one.
+UNEVEN = ["  ", "\t", "\n", "\x0b", "\f", "\r"]
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with the value computed once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def holds_any(text: Column, words: list[str]) -> Column:
+    """Whether one of the words is in a text; far cheaper than a pattern."""
+    return reduce(Column.__or__, [text.contains(word) for word in words])
+
+
+def squeeze(text: Column) -> Column:
+    """Runs of blanks become one plain blank."""
+    return let(
+        text,
+        lambda plain: F.when(holds_any(plain, UNEVEN), F.regexp_replace(plain, r"\s+", " ")).otherwise(plain),
+    )
 
 
 def strip(text: Column) -> Column:
@@ -39,8 +62,7 @@ def normalise_name(text: Column) -> Column:
 
 def collapse(text: Column) -> Column:
     """Non-breaking blanks become blanks, runs of blanks become one, ends trimmed."""
-    plain = F.translate(text, "\xa0", " ")
-    return F.trim(F.regexp_replace(plain, r"\s+", " "))
+    return F.trim(squeeze(F.replace(text, F.lit("\xa0"), F.lit(" "))))
 
 
 def looks_like_series_id(text: Column) -> Column:
@@ -73,5 +95,4 @@ def normalise_frequency(text: Column) -> Column:
 
 def table_no(text: Column) -> Column:
     """``2b`` out of ``Tables 2b to 9b``; null when no table number is present."""
-    found = F.regexp_extract(text, TABLE_NO, 1)
-    return F.when(found != "", found)
+    return let(F.regexp_extract(text, TABLE_NO, 1), lambda found: F.when(found != "", found))

@@ -100,7 +100,10 @@ def _candidates(index: DataFrame) -> DataFrame:
         F.lower("file_title").alias("title_key"),
         F.lower("filename").alias("filename_key"),
         F.lower("table_no").alias("table_key"),
-        F.struct(age.alias("age"), "filename", row.alias("row")).alias("ranked"),
+        # names given as such: beside a generator Spark drops the aliases of what is not resolved yet
+        F.named_struct(
+            F.lit("age"), age, F.lit("filename"), F.col("filename"), F.lit("row"), row
+        ).alias("ranked"),
         other_table.alias("other_table"),
     )
 

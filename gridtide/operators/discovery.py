@@ -12,12 +12,12 @@ from gridtide.functions.releases import (
 from gridtide.functions.text import clean_text, collapse, strip, table_no
 from gridtide.functions.urls import (
     DOWNLOAD_HREF, absolute_url, context_score, file_title, file_type, indexed_filename,
-    looks_like_cube, table_no_from_filename, table_title, title_score, without_query,
+    looks_like_cube, table_no_from_filename, table_title, title_score, url_filename, without_query,
 )
 from gridtide.operators.catalogue import distinct_releases
 from gridtide.schemas import FILE_INDEX, RELEASES
 from gridtide.sources.pages import page_outlines
-from gridtide.staging import stage
+from gridtide.staging import settle, stage
 
 SEED = [
     "cat_no", "title", "description", "page_url", "file_title", "url", "filename",
@@ -31,9 +31,8 @@ def link_contexts(outlines: DataFrame, base_url: str) -> DataFrame:
     Candidates come in selector order, then document order. A text replaces the one kept
     so far when it scores higher; a text shared by several downloads only fills a gap.
     """
-    contexts = outlines.select("page_id", F.inline("contexts")).withColumn(
-        "text", collapse(F.col("text"))
-    )
+    contexts = outlines.select("page_id", F.inline("contexts"))
+    contexts = settle(contexts, text=collapse(F.col("text")))
     urls = F.array_distinct(
         F.transform(
             F.filter("hrefs", lambda href: href.rlike(DOWNLOAD_HREF)),
@@ -82,12 +81,14 @@ def file_rows(downloads: DataFrame) -> DataFrame:
     ``downloads`` has ``page_key, ord, url, label, context`` and the catalogue columns
     ``cat_no, title, description, page_url, seed_url``.
     """
-    url, title = F.col("url"), F.col("file_title")
-    rows = downloads.withColumn("file_title", file_title(F.col("label"), F.col("context"), url))
+    url, title, name = F.col("url"), F.col("file_title"), F.col("url_name")
+    rows = downloads.withColumns(
+        {"file_title": file_title(F.col("label"), F.col("context"), url), "url_name": url_filename(url)}
+    )
     rows = rows.withColumn("table_title", table_title(title, F.col("context")))
     number = F.coalesce(
         table_no(title), table_no(F.col("context")), table_no(url),
-        table_no_from_filename(F.col("cat_no"), url), F.lit(""),
+        table_no_from_filename(F.col("cat_no"), url, name), F.lit(""),
     )
     release = F.coalesce(
         release_from_url(url), release_from_url(F.col("page_url")),
@@ -97,8 +98,8 @@ def file_rows(downloads: DataFrame) -> DataFrame:
     rows = rows.withColumns(
         {
             "release_date": release,
-            "filename": indexed_filename(F.col("cat_no"), url, title),
-            "file_type": file_type(url, title),
+            "filename": indexed_filename(F.col("cat_no"), url, title, name),
+            "file_type": file_type(url, title, name),
             "table_no": number,
             "is_timeseries": ~cube,
             "is_cube": cube,
@@ -125,28 +126,28 @@ def release_links(landing: DataFrame, base_url: str) -> DataFrame:
     ``landing`` has ``cat_no, title, page_url`` and a ``links`` array.
     """
     links = landing.select("cat_no", "title", "page_url", F.inline("links"))
-    url = absolute_url(F.col("href"), base_url)
+    links = settle(links, url=absolute_url(F.col("href"), base_url))
     path = F.replace(F.col("page_url"), F.lit(base_url), F.lit(""))
-    below = url.startswith(F.concat(F.col("page_url"), F.lit("/"))) | F.col("href").startswith(
-        F.concat(path, F.lit("/"))
-    )
+    below = F.col("url").startswith(F.concat(F.col("page_url"), F.lit("/"))) | F.col(
+        "href"
+    ).startswith(F.concat(path, F.lit("/")))
     name = F.lower(F.substring_index("title", ",", 1))
     named = F.lower(strip(F.col("label"))).contains(name)
-    found = links.where(below & named).select("cat_no", url.alias("url"), "ord")
+    found = links.where(below & named).select("cat_no", "url", "ord")
     return found.groupBy("cat_no", "url").agg(F.min("ord").alias("ord"))
 
 
 def archive_links(landing: DataFrame, base_url: str) -> DataFrame:
     """Links of a landing page to lists of earlier releases."""
     links = landing.select("cat_no", "page_url", F.inline("links"))
-    url = without_query(absolute_url(F.col("href"), base_url))
-    words = F.lower(F.concat_ws(" ", url, collapse(F.col("label"))))
+    links = settle(links, url=without_query(absolute_url(F.col("href"), base_url)))
+    links = links.where(F.col("url").startswith(F.col("page_url")))
+    links = settle(links, words=F.lower(F.concat_ws(" ", "url", collapse(F.col("label")))))
+    words = F.col("words")
     archive = words.contains("archive") | words.contains("previous") | words.contains(
         "past releases"
     )
-    return links.where(url.startswith(F.col("page_url")) & archive).select(
-        "cat_no", url.alias("url")
-    ).distinct()
+    return links.where(archive).select("cat_no", "url").distinct()
 
 
 def discover_files(
@@ -202,16 +203,16 @@ def release_rows(links: DataFrame, seeds: DataFrame, base_url: str) -> DataFrame
     """
     known = seeds.select("cat_no", F.col("title").alias("seed_title"), "page_url")
     url = without_query(absolute_url(F.col("href"), base_url))
-    placed = links.withColumns({"release_url": url, "label": collapse(F.col("label"))})
+    placed = settle(links, release_url=url, label=collapse(F.col("label")))
     if "cat_no" in links.columns:
         joined = placed.join(known, "cat_no")
     else:
         # The catalogue page is the release URL up to one of its slashes.
         placed = placed.withColumn("page_url", F.explode(url_prefixes(F.col("release_url"))))
         joined = placed.join(known, "page_url")
-    dated = joined.where(is_release_url(F.col("release_url"), F.col("page_url"))).withColumn(
-        "release_date",
-        F.coalesce(
+    dated = settle(
+        joined.where(is_release_url(F.col("release_url"), F.col("page_url"))),
+        release_date=F.coalesce(
             release_month(F.col("label")),
             release_month(release_from_url(F.concat(F.col("release_url"), F.lit("/")))),
         ),

@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _local_root: str | None = None
 
@@ -40,6 +40,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once for each row.
+
+    Spark moves a filter below the columns it names and puts their expressions into it, each as
+    often as it is named. It does not move one below a generator, so a filter on these columns
+    reads their values.
+    """
+    old = [name for name in df.columns if name not in columns]
+    return df.withColumns(columns).select(*old, F.inline(F.array(F.struct(*columns))))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over at least as many partitions as there are cores.
 

@@ -225,3 +225,32 @@ def test_shared_context_only_fills_gaps(spark):
 def test_unknown_catalogues(spark, site):
     asked = spark.createDataFrame([("7720.0",), ("1.0",)], "cat_no string")
     assert [r["cat_no"] for r in catalogue.unknown_catalogues(asked, site[1]).collect()] == ["1.0"]
+
+
+def test_texts_are_searched_once(spark, site):
+    """Patterns of a row come a few times in a plan, not once for each place that names the text."""
+    links = spark.createDataFrame([("7710.0", 1, "/sea/buoys/feb-2031", "x")],
+                                  "cat_no string, ord int, href string, label string")
+    releases = discovery.release_rows(links, site[1], BASE)
+    facts = ["cat_no", "title", "description", "page_url", "seed_url", "url", "label", "context"]
+    downloads = spark.createDataFrame([(0, 1, *facts)], ["page_key", "ord", *facts])
+    for found, pattern, most in ((releases, "(jan|feb", 8), (discovery.file_rows(downloads), "[^\\w.\\-]+", 5)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert 0 < plan.count(pattern) <= most
+
+
+def test_plain_tags_read_as_by_the_parser():
+    """Pages are outlined alike whether their plain tags are told apart first or not."""
+    odd = ["<!-- <p> -->", "<!doctype html>", "<script>'<li>'</script>", "<title>a &lt</title>", "<a href='b.csv'>",
+           "<br/>", "</p x>", "<a\x0bhref=\"c.xls\">", "&am", "< ", "<a href=\"un"]
+    plain = ("<META name=\"Description\" content=\"1 &lt; 2\"><h1>A &amp; B</h1><p>one<section class=\"x downloads\">"
+             "<table><tr><td>t<td><A HREF=\"a.xls?x=1&amp;y\" href=\"no\">get</a>\xa0</table></section>"
+             "<a class=\"download\" href=\"d.csv\">d</a><li>two")
+    for text in [plain, *[plain + x + plain for x in odd], *[x + plain for x in odd]]:
+        fast, slow = pages._Outline(True), pages._Outline(True)
+        fast.read(text)
+        slow.feed(text)
+        slow.read("")  # nothing but the end
+        assert (fast.h1, fast.description, fast.links, fast.contexts) == (
+            slow.h1, slow.description, slow.links, slow.contexts)
+        assert fast.links and (text != plain or (fast.h1, fast.description) == ("A & B", "1 < 2"))
